@@ -30,3 +30,8 @@ def flag_as_double(flag: Column) -> Column:
 def count_true(condition: Column) -> Column:
     """Number of rows where the condition is true; null is not true."""
     return F.sum(F.when(condition, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+
+
+def whole_division(value: Column, by: int) -> Column:
+    """Integer quotient of a non-negative whole number, exact at any size."""
+    return F.call_function("div", value, F.lit(by)).cast("bigint")

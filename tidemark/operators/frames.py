@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import round_half_away
+from tidemark.functions.numeric import round_half_away, whole_division
 from tidemark.operators.ranking import position_in
 
 # --- Fixed values: rates, digits, states --------------------------------------
@@ -47,7 +47,7 @@ def assign_frames(
 ) -> DataFrame:
     """Number consecutive groups of ``samples`` rows of each stream as ``frame``."""
     placed = position_in(df, order, [stream], name="_position", partitions=partitions)
-    frame = F.floor(F.col("_position") / F.lit(samples)).cast("bigint")
+    frame = whole_division(F.col("_position"), samples)
     return placed.withColumn("frame", frame).drop("_position")
 
 
@@ -148,7 +148,7 @@ def idle_frames(
         .filter((micros >= F.lit(origin)) & (micros < F.lit(stop)))
         .select(
             stream,
-            F.floor((micros - F.lit(origin)) / F.lit(step_us)).cast("bigint").alias("frame"),
+            whole_division(micros - F.lit(origin), step_us).alias("frame"),
             F.col(value).cast("double").alias("_value"),
         )
     )
@@ -182,7 +182,7 @@ def frame_history(
     reach = length - 1
     if chunk < reach:
         raise ValueError("a chunk must be at least as long as the history")
-    home = F.floor(F.col("frame") / F.lit(chunk)).cast("bigint")
+    home = whole_division(F.col("frame"), chunk)
     next_too = F.pmod(F.col("frame"), F.lit(chunk)) >= F.lit(chunk - reach)
     copies = F.when(next_too, F.array(home, home + 1)).otherwise(F.array(home))
     spread = frames.select("*", F.explode(copies).alias("_chunk"))
