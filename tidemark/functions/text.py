@@ -44,12 +44,17 @@ def extract_terms(text: Column, vocabulary: Mapping[str, Sequence[str]]) -> Colu
 
 
 def display(column: Column, kind: T.DataType) -> Column:
-    """Text of a value in a chunk: None, True/False, numbers and lists as cast.
+    """Text of a value in a chunk: ``None``, ``True``/``False``, digits, ``[a, b]``.
 
-    Floats print their shortest single-precision digits, lists as ``[a, b]``.
+    Single-precision numbers print the digits of the same number as a double.
     """
     if isinstance(kind, T.BooleanType):
         text = F.when(column, "True").when(~column, "False")
+    elif isinstance(kind, T.FloatType):
+        text = column.cast("double").cast("string")
+    elif isinstance(kind, T.ArrayType):
+        items = F.transform(column, lambda v: display(v, kind.elementType))
+        text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
     else:
         text = column.cast("string")
     return F.coalesce(text, F.lit("None"))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.embedding import DIGEST_BACKBONE, Embedder
 from tidemark.functions.numeric import whole_division
+from tidemark.functions.text import display
 from tidemark.operators.ranking import position_in
 from tidemark.profiles import FAILURE_TAGS, ROBOTICS, Profile, declare
 
@@ -79,7 +80,7 @@ def embed_episodes(
     key = F.concat_ws(
         "|",
         F.coalesce("camera_frame_uri", F.lit("")),
-        F.coalesce(F.col("joint_positions").cast("string"), F.lit("None")),
+        display(F.col("joint_positions"), T.ArrayType(T.FloatType())),
     )
     keyed = signals.select(*columns, key.alias("_key"))
     if limit is not None:

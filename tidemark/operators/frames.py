@@ -95,7 +95,8 @@ def signal_downsample(
     nearly sorted, so partial aggregation shrinks them ``samples`` to one.
     """
     check_mode(mode)
-    narrow = drop_nulls_in_signal(df.select(stream, *order, value), value)
+    needed = dict.fromkeys([stream, *order, value])
+    narrow = drop_nulls_in_signal(df.select(*needed), value)
     framed = assign_frames(narrow, stream, order, samples, partitions)
     grouped = framed.groupBy(stream, "frame").agg(*partials(value))
     return grouped.select(stream, "frame", *frame_columns(profile, label, mode))
@@ -193,7 +194,7 @@ def frame_history(
         F.count(F.lit(1)).over(recent).alias("history_count"),
         F.min("metric_value").over(recent).alias("history_min"),
         F.max("metric_value").over(recent).alias("history_max"),
-        round_half_away(F.avg("metric_value").over(recent), METRIC_DIGITS).alias("history_avg"),
+        F.avg("metric_value").over(recent).alias("history_avg"),
     ).filter(F.col("_chunk") == home)
 
     first_idle = frames.groupBy(stream).agg(

@@ -42,14 +42,17 @@ class Staged:
 class Lakehouse:
     """Reads and writes the tier tables of one profile below one root folder."""
 
-    def __init__(self, spark: SparkSession, profile: Profile, root: str) -> None:
+    def __init__(
+        self, spark: SparkSession, profile: Profile, root: str, prefix: str | None = None
+    ) -> None:
         self.spark = spark
         self.profile = profile
-        self.root = f"{root.rstrip('/')}/{profile.database_prefix}"
+        self.prefix = prefix or profile.database_prefix
+        self.root = f"{root.rstrip('/')}/{self.prefix}"
 
     # --- names -----------------------------------------------------------------
     def database(self, tier: str) -> str:
-        return f"{self.profile.database_prefix}_{tier}"
+        return f"{self.prefix}_{tier}"
 
     def identifier(self, tier: str, table: str) -> str:
         return f"{self.database(tier)}.{table}"

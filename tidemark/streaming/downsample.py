@@ -62,6 +62,7 @@ class CountFrames:
     only the open frame of each key (count, sum, maximum) is carried over, as a
     small table per micro-batch. Output and state of a batch are written under
     its number, so a replay after a failure overwrites instead of repeating.
+    ``folder`` belongs to one stream checkpoint; start both anew together.
     """
 
     def __init__(
@@ -105,7 +106,8 @@ class CountFrames:
 
     def process(self, rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        signal = drop_nulls_in_signal(rows.select(self.key, *self.order, self.value), self.value)
+        needed = dict.fromkeys([self.key, *self.order, self.value])
+        signal = drop_nulls_in_signal(rows.select(*needed), self.value)
         carried = self._carried(spark, batch, signal.schema[self.key].dataType)
         # Positions go on where the carried frame stands.
         start = carried.select(
@@ -134,6 +136,9 @@ class CountFrames:
                 F.sum("_count").alias("_count"),
             )
         )
+        # Written under the batch number: read twice below, computed once.
+        merged.write.mode("overwrite").parquet(self._path("partial", batch))
+        merged = spark.read.schema(merged.schema).parquet(self._path("partial", batch))
         full = merged.filter(F.col("_count") == self.samples)
         (
             full.select(self.key, "frame", *frame_columns(self.profile, self.label, self.mode))
