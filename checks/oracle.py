@@ -404,7 +404,7 @@ def oracle() -> dict[str, str]:
             newest AS (SELECT event_type, max(frame) AS latest_frame, bool_or(status = 'idle') AS alert
                        FROM hourly GROUP BY 1)
             SELECT event_type, latest_frame, count(*)::INTEGER AS points,
-              sum(metric_value)::DECIMAL(18, 3)::DOUBLE AS total,
+              sum(round(metric_value * 10000)::BIGINT)::BIGINT AS total,
               arg_max(metric_value, frame) AS newest,
               CASE WHEN any_value(alert) THEN 'ALERT_PENDING' ELSE 'AUTONOMOUS' END AS hardware_status
             FROM hourly JOIN newest USING (event_type)

@@ -26,7 +26,7 @@ from tidemark.profiles import (
     ROBOTICS,
     Profile,
 )
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, spread
 from tidemark.sources import star_tables
 from tidemark.sources.alignment import align_to_schema as align
 from tidemark.sources.lakehouse import Lakehouse
@@ -400,7 +400,12 @@ def latest_history(spark, folder):
         "event_type",
         "latest_frame",
         F.size("history").alias("points"),
-        F.aggregate("history", F.lit(0.0), lambda a, v: a + v).cast("decimal(18,3)").cast("double").alias("total"),
+        # In whole ten-thousandths: the sum must not depend on its order.
+        F.aggregate(
+            F.transform("history", lambda v: F.round(v * 10_000).cast("bigint")),
+            F.lit(0).cast("bigint"),
+            lambda total, v: total + v,
+        ).alias("total"),
         F.element_at("history", -1).alias("newest"),
         "hardware_status",
     )
@@ -470,10 +475,10 @@ def stream_bronze_ingest(spark, folder):
 @query
 def extract_terms(spark, folder):
     """Terms in whole documents and conversation turns."""
-    documents = _table(spark, folder, "documents").select(
+    documents = spread(_table(spark, folder, "documents"), "doc_id").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("source_id"), "text"
     )
-    turns = _table(spark, folder, "conversations").select(
+    turns = spread(_table(spark, folder, "conversations"), "conv_id").select(
         F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("source_id"), "text"
     )
     from tidemark.functions.text import extract_terms as terms
@@ -482,8 +487,13 @@ def extract_terms(spark, folder):
     return found.select("source_id", *[F.col("filters")[f].alias(f) for f in WORDS])
 
 
+def _spread_accounts(spark, folder):
+    raw = spread(star_tables.subscription_events_raw(spark, folder), "customer_id_hashed")
+    return governance.mask_sensitive(raw, COMMERCIAL, _key(spark))
+
+
 def _chunks(spark, folder):
-    return retrieval.build_chunks(_bronze(spark, folder, COMMERCIAL), COMMERCIAL)
+    return retrieval.build_chunks(_spread_accounts(spark, folder), COMMERCIAL)
 
 
 @query
@@ -554,7 +564,7 @@ def _answers_flat(answers: DataFrame) -> DataFrame:
 
 @query
 def retrieve(spark, folder):
-    bronze = _bronze(spark, folder, COMMERCIAL)
+    bronze = _spread_accounts(spark, folder)
     embedder = hashed_words()
     index = retrieval.embed_text(retrieval.build_chunks(bronze, COMMERCIAL), embedder)
     answers = retrieval.retrieve(
@@ -568,7 +578,8 @@ def retrieve(spark, folder):
 def ask(spark, folder):
     """The same answers through a stored Bronze table and index."""
     lake = _lake(spark, COMMERCIAL)
-    medallion.ingest(lake, star_tables.subscription_events_raw(spark, folder), CHECK_SALT)
+    raw = spread(star_tables.subscription_events_raw(spark, folder), "customer_id_hashed")
+    medallion.ingest(lake, raw, CHECK_SALT)
     assistant.build_index(lake)
     return _answers_flat(assistant.ask(lake, _questions(spark, folder)))
 
@@ -577,7 +588,7 @@ def ask(spark, folder):
 @query
 def digest_vector(spark, folder):
     """Digest vectors of whole documents, one row per component."""
-    vectors = _table(spark, folder, "documents").select(
+    vectors = spread(_table(spark, folder, "documents"), "doc_id").select(
         "doc_id", digest_embedding(F.col("text")).alias("vector")
     )
     return vectors.select("doc_id", F.posexplode("vector").alias("place", "v")).select(

@@ -7,21 +7,23 @@ so a model can be plugged in as a pandas or Arrow UDF.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.text import tokens
-
-# --- Fixed values of the digest vector ----------------------------------------
+# --- Fixed values: digest vector, word break -------------------------------------
 DIGEST_DIM = 128
 DIGEST_BYTES = 32
 NORM_GUARD = 1e-8
+WORD_BREAK = r"[^\p{L}\p{N}_]+"
 # ------------------------------------------------------------------------------
 
 
@@ -33,25 +35,30 @@ class Embedder:
     embed: Callable[[Column], Column]
 
 
-def word_buckets(text: Column, dim: int) -> Column:
-    """The bucket of every word: its MD5's first 32 bits modulo ``dim``."""
-    return F.transform(
-        tokens(text),
-        lambda w: F.pmod(
-            F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint"), F.lit(dim)
-        ).cast("int"),
-    )
+def word_bucket(word: str, dim: int) -> int:
+    """The bucket of a word: its MD5's first 32 bits modulo ``dim``."""
+    return int(hashlib.md5(word.encode("utf-8")).hexdigest()[:8], 16) % dim
+
+
+def _vectors(values: np.ndarray, rows: int, dim: int) -> pa.Array:
+    offsets = np.arange(0, (rows + 1) * dim, dim, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def _counter(dim: int):
+def _word_counter(dim: int):
     @F.arrow_udf(T.ArrayType(T.FloatType()))
-    def count(buckets: pa.Array) -> pa.Array:
-        lengths = buckets.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(len(buckets), dtype=np.int64), lengths)
-        cells = rows * dim + buckets.flatten().to_numpy(zero_copy_only=False)
-        counts = np.bincount(cells, minlength=len(buckets) * dim).astype(np.float32)
-        offsets = np.arange(0, (len(buckets) + 1) * dim, dim, dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts))
+    def count(text: pa.Array) -> pa.Array:
+        split = pc.split_pattern_regex(pc.utf8_lower(text.fill_null("")), WORD_BREAK)
+        lengths = split.value_lengths().to_numpy(zero_copy_only=False)
+        words = split.flatten().dictionary_encode()
+        # Each distinct word of a batch is hashed once; "" gets no bucket.
+        buckets = np.array(
+            [word_bucket(w, dim) if w else -1 for w in words.dictionary.to_pylist()], np.int64
+        )
+        found = buckets[words.indices.to_numpy(zero_copy_only=False)]
+        cells = np.repeat(np.arange(len(text), dtype=np.int64) * dim, lengths) + found
+        counts = np.bincount(cells[found >= 0], minlength=len(text) * dim)
+        return _vectors(counts.astype(np.float32), len(text), dim)
 
     return count
 
@@ -62,25 +69,30 @@ def hashed_words(dim: int = 256) -> Embedder:
     Left unnormalised on purpose: the counts are whole numbers, so dot products
     are exact and a cosine does not depend on how the rows were batched.
     """
-    count = _counter(dim)
-    return Embedder(f"hashed-words-{dim}", lambda text: count(word_buckets(text, dim)))
+    return Embedder(f"hashed-words-{dim}", _word_counter(dim))
+
+
+@cache
+def _digest_tiler():
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def tile(digests: pa.Array) -> pa.Array:
+        present = np.frombuffer(b"".join(digests.to_pylist()), dtype=np.uint8)
+        values = np.tile(
+            present.reshape(len(digests), DIGEST_BYTES) / 255.0, (1, DIGEST_DIM // DIGEST_BYTES)
+        )
+        norms = np.sqrt((values * values).sum(axis=1, keepdims=True)) + NORM_GUARD
+        return _vectors((values / norms).astype(np.float32).ravel(), len(digests), DIGEST_DIM)
+
+    return tile
 
 
 def digest_embedding(key: Column) -> Column:
-    """Deterministic vector of a text: its SHA-256 bytes, tiled and normalised."""
-    digest = F.sha2(key, 256)
-    values = F.array(
-        *[
-            F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("double") / F.lit(255.0)
-            for i in range(DIGEST_BYTES)
-        ]
-    )
-    tiles = DIGEST_DIM // DIGEST_BYTES
-    norm = F.sqrt(
-        F.aggregate(values, F.lit(0.0), lambda total, v: total + v * v) * F.lit(float(tiles))
-    )
-    unit = F.transform(values, lambda v: (v / (norm + F.lit(NORM_GUARD))).cast("float"))
-    return F.flatten(F.array_repeat(unit, tiles))
+    """Deterministic vector of a text: its SHA-256 bytes, tiled and normalised.
+
+    Hashing stays in the JVM, so only 32 bytes per row travel to Python; a null
+    text is embedded like an empty one.
+    """
+    return _digest_tiler()(F.unhex(F.sha2(F.coalesce(key, F.lit("")), 256)))
 
 
 DIGEST_BACKBONE = Embedder("digest/sha256", digest_embedding)

@@ -60,12 +60,6 @@ def display(column: Column, kind: T.DataType) -> Column:
     return F.coalesce(text, F.lit("None"))
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case words of a text."""
-    words = F.split(F.lower(text), rf"[^\p{{L}}\p{{N}}_]+")
-    return F.filter(words, lambda w: w != "")
-
-
 def quoted(text: Column) -> Column:
     """Text in quotes with backslashes and control characters escaped.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import product
+from math import prod
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ NO_FILTER = "no specific filter"
 BRIEF = "Profile '{profile}' brief for: {question}\n  Applied filter: {scope}\n  Retrieved {count} matching record(s) from the lakehouse."
 # ------------------------------------------------------------------------------
 
+#: Most filter combinations broadcast; a few hundred bytes each at the utmost.
+BROADCAST_SCOPES = 10_000
 _ANY = "*"
 _MERGE_GROUPS = 64
 
@@ -90,11 +93,27 @@ def filter_by_terms(
     return limit_rows(df if condition is None else df.filter(condition), order, n)
 
 
-def _scope(fields: Sequence[str], values: Sequence[Column]) -> Column:
+def _scope(values: Sequence[Column]) -> Column:
     """Key of a filter combination, ``*`` where a field is not filtered."""
     return F.concat_ws("\x1f", *[F.coalesce(v, F.lit(_ANY)) for v in values])
 
 
+def _top_per_scope(rows: DataFrame, n: int) -> DataFrame:
+    """First ``n`` rows per scope through bounded groups; each task sends at most
+    ``n`` rows per group, however large a scope is."""
+    part = Window.partitionBy("scope", "_group").orderBy("row")
+    whole = Window.partitionBy("scope").orderBy("row")
+    return (
+        rows.withColumn("_group", F.pmod(F.xxhash64("row"), F.lit(_MERGE_GROUPS)))
+        .withColumn("_n", F.row_number().over(part))
+        .filter(F.col("_n") <= n)
+        .drop("_n", "_group")
+        .withColumn("_n", F.row_number().over(whole))
+        .filter(F.col("_n") <= n)
+        .drop("_n")
+    )
+
+
 def matching_rows(
     bronze: DataFrame,
     profile: Profile,
@@ -105,33 +124,28 @@ def matching_rows(
     """First ``n`` rows of every asked filter combination, as one array per scope.
 
     A row belongs to at most two to the number of fields combinations: each field
-    either at its own value or unfiltered. Only asked ones go on, and a partial
-    top-n runs in every task before anything is shuffled.
+    either at its own value or unfiltered. How many scopes can be asked follows
+    from the vocabulary; if few, they are broadcast and sort out rows before
+    anything else, if many, the partial top-n comes first and the join after.
     """
     fields = list(profile.vocabulary)
     masks = F.array(
         *[
-            _scope(fields, [F.col(f) if keep else F.lit(None) for f, keep in zip(fields, mask)])
+            _scope([F.col(f) if keep else F.lit(None) for f, keep in zip(fields, mask)])
             for mask in product((True, False), repeat=len(fields))
         ]
     )
     rows = bronze.select(
         F.explode(F.array_distinct(masks)).alias("scope"),
         F.struct(*order, *[c for c in bronze.columns if c not in order]).alias("row"),
-    ).join(scopes.select("scope").distinct(), "scope", "left_semi")
-    group = F.pmod(F.xxhash64("row"), F.lit(_MERGE_GROUPS))
-    part = Window.partitionBy("scope", "_group").orderBy("row")
-    whole = Window.partitionBy("scope").orderBy("row")
-    return (
-        rows.withColumn("_group", group)
-        .withColumn("_n", F.row_number().over(part))
-        .filter(F.col("_n") <= n)
-        .drop("_n", "_group")
-        .withColumn("_n", F.row_number().over(whole))
-        .filter(F.col("_n") <= n)
-        .groupBy("scope")
-        .agg(F.sort_array(F.collect_list("row")).alias("rows"))
     )
+    asked = scopes.select("scope").distinct()
+    possible = prod(len(terms) + 1 for terms in profile.vocabulary.values())
+    if possible <= BROADCAST_SCOPES:
+        best = _top_per_scope(rows.join(F.broadcast(asked), "scope", "left_semi"), n)
+    else:
+        best = _top_per_scope(rows, n).join(asked, "scope", "left_semi")
+    return best.groupBy("scope").agg(F.sort_array(F.collect_list("row")).alias("rows"))
 
 
 def brief(profile: Profile, question: Column, filters: Column, count: Column) -> Column:
@@ -172,7 +186,7 @@ def retrieve(
     """
     fields = list(profile.vocabulary)
     asked = extract_terms(questions.select("question_id", "question"), profile)
-    asked = asked.withColumn("scope", _scope(fields, [F.col("filters")[f] for f in fields]))
+    asked = asked.withColumn("scope", _scope([F.col("filters")[f] for f in fields]))
 
     vectors = embed_text(asked, embedder, "question").withColumns(
         {f"_q_{f}": F.col("filters")[f] for f in fields}

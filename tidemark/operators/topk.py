@@ -41,6 +41,7 @@ class _Block:
 
     @classmethod
     def of(cls, table: pa.Table, fields: list[str]) -> "_Block":
+        table = table.filter(pc.is_valid(table.column("vector"))).combine_chunks()
         vectors = _matrix(table.column("vector").combine_chunks(), None)
         terms = {}
         for f in fields:
@@ -109,6 +110,8 @@ def _search(block: _Block, k: int, id_type: pa.DataType):
             floor[full] = lowest[full]
 
         for batch in batches:
+            if batch.column("vector").null_count:
+                batch = batch.filter(batch.column("vector").is_valid())
             for start in range(0, batch.num_rows, step):
                 rows = min(step, batch.num_rows - start)
                 vectors = _matrix(batch.column("vector").slice(start, rows), dim)
@@ -192,12 +195,14 @@ def vector_topk(
     that size, one scan each, so neither a task nor the driver ever holds more.
     """
     fields = list(where or {})
-    wanted = queries.filter(F.col(query_vector).isNotNull()).select(
+    # Rows without a vector are skipped in the scan: a filter here would run an
+    # embedding function in front of it a second time.
+    wanted = queries.select(
         F.col(query_id).alias("query"),
         F.col(query_vector).alias("vector"),
         *[F.col(q).cast("string").alias(f"term_{f}") for f, (q, _) in (where or {}).items()],
     )
-    scanned = corpus.filter(F.col(corpus_vector).isNotNull()).select(
+    scanned = corpus.select(
         F.col(corpus_id).alias("id"),
         F.col(corpus_vector).alias("vector"),
         *[F.col(c).cast("string").alias(f"field_{f}") for f, (_, c) in (where or {}).items()],
