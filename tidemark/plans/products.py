@@ -63,8 +63,11 @@ class ProductLine:
     gold: Product
 
 
-def _extended(profile: Profile, **extra: T.DataType) -> T.StructType:
-    return T.StructType([*profile.schema.fields, *declare(**extra).fields])
+def _extended(profile: Profile, after: str | None = None, **extra: T.DataType) -> T.StructType:
+    """The Bronze columns and the derived ones, at the end or after a column."""
+    fields = list(profile.schema.fields)
+    place = len(fields) if after is None else profile.schema.names.index(after) + 1
+    return T.StructType([*fields[:place], *declare(**extra).fields, *fields[place:]])
 
 
 def _silver(build, contract, not_null, accepted) -> Product:
@@ -84,7 +87,7 @@ _LINES = (
         ROBOTICS,
         _silver(
             silver.silver_robot_signals,
-            _extended(ROBOTICS, peak_joint_pos=T.FloatType()),
+            _extended(ROBOTICS, after="joint_positions", peak_joint_pos=T.FloatType()),
             ("timestamp", "robot_id", "robot_model_id", "success_flag"),
             {"robot_model_id": ROBOT_MODELS, "failure_type_tag": (*FAILURE_TAGS, NO_FAILURE)},
         ),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,17 +48,19 @@ def append_scores(
     lake: Lakehouse,
     events: DataFrame,
     checkpoint: str,
-    feed: str = "scores",
+    feed: str | None = None,
     once: bool = False,
     interval: str = "30 seconds",
 ) -> StreamingQuery:
     """Append a stream of inference events to the live table, batch by batch.
 
-    The last appended batch of a feed is kept as a table property, so a batch
-    that Spark replays after a restart is not appended twice. Should the driver
-    fail between append and mark, that one batch repeats; ids then tell.
+    The last appended batch of a feed (named after its checkpoint unless told
+    otherwise) is kept as a table property, so a batch that Spark replays after a
+    restart is not appended twice. Should the driver fail between append and
+    mark, that one batch repeats; ids then tell.
     """
-    mark = f"tidemark.batch.{feed}"
+    name = feed or hashlib.sha256(checkpoint.encode("utf-8")).hexdigest()[:16]
+    mark = f"tidemark.batch.{name}"
 
     def append(batch: DataFrame, number: int) -> None:
         if lake.exists("bronze", LIVE_TABLE):
