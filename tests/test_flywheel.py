@@ -93,7 +93,7 @@ def test_closed_loop_over_tables(spark, lake, salt):
 def test_shards(spark, tmp_path):
     episodes = flywheel.embed_episodes(_signals(spark))
     folder = f"file://{tmp_path}/shards"
-    out = flywheel.write_training_shards(episodes, folder, samples_per_shard=7, partitions=3).collect()
+    out = flywheel.write_training_shards(episodes, folder, samples_per_shard=7).collect()
     assert [(r.shard, r.samples) for r in out] == [(0, 7), (1, 7), (2, 2)]
     files = sorted((tmp_path / "shards").iterdir())
     assert [f.name for f in files] == ["shard-00000.tar", "shard-00001.tar", "shard-00002.tar"]
@@ -115,7 +115,7 @@ def test_shards(spark, tmp_path):
                     }
     assert sorted(names) == sorted(stored) and names != sorted(names)
     before = [f.read_bytes() for f in files]
-    flywheel.write_training_shards(episodes, folder, samples_per_shard=7, partitions=2)
+    flywheel.write_training_shards(episodes.repartition(3), folder, samples_per_shard=7)
     assert [f.read_bytes() for f in sorted((tmp_path / "shards").iterdir())] == before
     order = [r.episode_id for r in flywheel.shard_manifest(episodes, 7, 1).orderBy("shard", "place").collect()]
     assert order != names and sorted(order) == sorted(names)

@@ -71,7 +71,7 @@ def test_count_frames_carry_over_and_replay(spark, tmp_path):
         framer.process(df, i)  # a replayed batch changes nothing
     got = {(r.k, r.frame): (r.metric_value, r.sample_count) for r in framer.frames(spark).collect()}
     assert got == {("a", 0): (8.0, 17), ("a", 1): (25.0, 17), ("a", 2): (42.0, 17), ("b", 0): (8.0, 17)}
-    state = {r.k: (r.frame, r._count) for r in spark.read.parquet(f"{tmp_path}/state/batch=3").collect()}
+    state = {r.k: (r.frame, r._count) for r in spark.read.parquet(f"{tmp_path}/state/slot=1").collect()}
     assert state == {"a": (3, 6), "b": (1, 0), "c": (0, 3)}
 
 

@@ -97,4 +97,7 @@ class MaskingKey:
         if unmask_role is not None and role == unmask_role:
             return value
         token = F.concat(F.lit(TOKEN_PREFIX), F.substring(self.hmac_hex(value), 1, length))
-        return F.when(value == "", value).otherwise(token)
+        # Only the last branch is computed, and it is never null: a test for null
+        # on the token then folds to one on the plaintext, without any hashing.
+        empty = F.lit("")
+        return F.when(value == empty, empty).when(value.isNotNull(), F.coalesce(token, empty))

@@ -5,10 +5,12 @@ from __future__ import annotations
 import io
 import json
 import tarfile
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +18,9 @@ from pyspark.sql import types as T
 from tidemark.functions.embedding import DIGEST_BACKBONE, Embedder
 from tidemark.functions.numeric import whole_division
 from tidemark.functions.text import display
-from tidemark.operators.ranking import position_in
+from tidemark.operators.ranking import position_by_digest, position_in
 from tidemark.profiles import FAILURE_TAGS, ROBOTICS, Profile, declare
+from tidemark.session import materialize
 
 # --- Fixed values: schemas, score constants, shard layout ---------------------
 EPISODES_TABLE = "vla_episodes"
@@ -158,16 +161,15 @@ def shard_manifest(
     episodes: DataFrame,
     samples_per_shard: int = SAMPLES_PER_SHARD,
     shuffle_seed: int = SHUFFLE_SEED,
-    partitions: int | None = None,
 ) -> DataFrame:
     """Episodes with their shard and place in it after a global shuffle.
 
     The shuffle is an order by a seeded digest of the id, so it is the same on
-    every run and cluster size; positions come from range partitions.
+    every run and cluster size.
     """
     seeded = F.sha2(F.concat_ws(":", F.lit(str(shuffle_seed)), F.col("episode_id")), 256)
     keyed = episodes.withColumn("_shuffle", seeded)
-    placed = position_in(keyed, ["_shuffle", "episode_id"], partitions=partitions)
+    placed = position_by_digest(keyed, "_shuffle", ["episode_id"])
     return (
         placed.withColumn("shard", whole_division(F.col("position"), samples_per_shard))
         .withColumn("place", F.pmod(F.col("position"), F.lit(samples_per_shard)).cast("int"))
@@ -201,7 +203,6 @@ def write_training_shards(
     folder: str,
     samples_per_shard: int = SAMPLES_PER_SHARD,
     shuffle_seed: int = SHUFFLE_SEED,
-    partitions: int | None = None,
 ) -> DataFrame:
     """Write one tar of .npy and .json members per shard; returns (shard, path, samples).
 
@@ -212,10 +213,6 @@ def write_training_shards(
     """
 
     def write(samples: pd.DataFrame) -> pd.DataFrame:
-        import uuid
-
-        from pyarrow import fs
-
         number = int(samples["shard"].iloc[0])
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
@@ -226,12 +223,10 @@ def write_training_shards(
         store.move(part, path)
         return pd.DataFrame({"shard": [number], "path": [path], "samples": [len(samples)]})
 
-    manifest = shard_manifest(episodes, samples_per_shard, shuffle_seed, partitions)
+    manifest = shard_manifest(episodes, samples_per_shard, shuffle_seed)
     narrow = manifest.select("shard", "place", "episode_id", "vla_feature_vector", *SHARD_METADATA)
     written = narrow.groupBy("shard").applyInPandas(
         write, "shard bigint, path string, samples bigint"
     )
-    # Run the writing once, now; the result is the small list of shards.
-    from tidemark.session import materialize
-
+    # Run the writing once, now; the result is the list of shards.
     return materialize(written, "shards").orderBy("shard")

@@ -27,24 +27,29 @@ def position_in(
     name: str = "position",
     partitions: int | None = None,
     start: DataFrame | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row within ``by`` in ``order``.
 
     ``order`` must be total for a repeatable result. ``start`` may give, per key
     of ``by``, a column ``name`` that the counting begins at (absent: 0).
-    ``partitions`` defaults to ``spark.sql.shuffle.partitions``; size it so that
-    a sorted partition fits a task.
+    Without ``partitions`` there are ``spark.sql.shuffle.partitions`` ranges,
+    neighbours being merged at run time up to the advisory partition size.
+    ``store`` names the path for the placed rows, else one is made up.
     """
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*by, *order]
-    placed = (
-        df.repartitionByRange(partitions, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(_SPOT, F.monotonically_increasing_id())
+    ranged = (
+        df.repartitionByRange(*keys)
+        if partitions is None
+        else df.repartitionByRange(partitions, *keys)
+    )
+    placed = ranged.sortWithinPartitions(*keys).withColumn(
+        _SPOT, F.monotonically_increasing_id()
     )
     # Both uses below must see one and the same partitioning: store it.
-    placed = materialize(placed, "positions").withColumn(_PART, F.shiftright(_SPOT, _PART_SHIFT))
+    placed = materialize(placed, "positions", store).withColumn(
+        _PART, F.shiftright(_SPOT, _PART_SHIFT)
+    )
 
     # One row per (partition, key): at most partitions + distinct keys rows.
     runs = placed.groupBy(_PART, *by).agg(
@@ -66,6 +71,30 @@ def position_in(
     return joined.select(*df.columns, position.alias(name))
 
 
+def position_by_digest(
+    df: DataFrame, digest: str, tie: Sequence[str] = (), name: str = "position"
+) -> DataFrame:
+    """Add the 0-based position in the order of a hex digest column, then ``tie``.
+
+    Digests are uniform, so their first 16 bits cut the rows in even, bounded
+    groups without sampling or storing anything; counts per group (65,536 rows
+    at most, hence broadcast) give each group its offset.
+    """
+    grouped = df.withColumn(_PART, F.conv(F.substring(digest, 1, 4), 16, 10).cast("int"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy(_PART).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = (
+        grouped.groupBy(_PART)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(_PART, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(_BEFORE))
+    )
+    within = Window.partitionBy(_PART).orderBy(digest, *tie)
+    placed = grouped.withColumn(_SPOT, F.row_number().over(within) - 1)
+    position = (F.col(_BEFORE) + F.col(_SPOT)).cast("bigint")
+    return placed.join(F.broadcast(offsets), _PART).select(*df.columns, position.alias(name))
+
+
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join that matches null keys too and keeps the left key columns."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})

@@ -59,15 +59,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder (or over ``path``) and read it back.
 
     This cuts lineage like a checkpoint, but columnar: readers prune columns,
     and the planner knows the true size. Use it where two consumers must see the
     very same partitioning, which recomputation would not promise.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    path = path or scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

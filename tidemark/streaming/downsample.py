@@ -20,6 +20,7 @@ from tidemark.operators.frames import (
     partials,
 )
 from tidemark.operators.ranking import position_in
+from tidemark.session import materialize
 
 
 def stream_downsample_time(
@@ -60,8 +61,9 @@ class CountFrames:
     A keyed state operator would feed every row of a hot key through one task,
     one after another. Here each micro-batch is placed by range partitions, and
     only the open frame of each key (count, sum, maximum) is carried over, as a
-    small table per micro-batch. Output and state of a batch are written under
-    its number, so a replay after a failure overwrites instead of repeating.
+    small table per micro-batch. Output is written under the batch's number and
+    state in one of two slots, so a replay after a failure overwrites instead of
+    repeating, and only output grows with time.
     ``folder`` belongs to one stream checkpoint; start both anew together.
     """
 
@@ -83,8 +85,9 @@ class CountFrames:
         self.mode, self.profile, self.label = mode, profile, label
         self.samples, self.partitions = samples, partitions
 
-    def _path(self, kind: str, batch: int) -> str:
-        return f"{self.folder}/{kind}/batch={batch}"
+    def _state_path(self, batch: int) -> str:
+        # Two slots in turn: a replay needs the batch before, never an older one.
+        return f"{self.folder}/state/slot={batch % 2}"
 
     def _state_schema(self, key_type: T.DataType) -> T.StructType:
         return T.StructType(
@@ -102,7 +105,7 @@ class CountFrames:
         schema = self._state_schema(key_type)
         if batch == 0:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self._path("state", batch - 1))
+        return spark.read.schema(schema).parquet(self._state_path(batch - 1))
 
     def process(self, rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
@@ -121,6 +124,7 @@ class CountFrames:
             name="_position",
             partitions=self.partitions,
             start=start,
+            store=f"{self.folder}/work/placed",
         )
         fresh = (
             placed.withColumn("frame", whole_division(F.col("_position"), self.samples))
@@ -136,14 +140,13 @@ class CountFrames:
                 F.sum("_count").alias("_count"),
             )
         )
-        # Written under the batch number: read twice below, computed once.
-        merged.write.mode("overwrite").parquet(self._path("partial", batch))
-        merged = spark.read.schema(merged.schema).parquet(self._path("partial", batch))
+        # Read twice below, computed once.
+        merged = materialize(merged, "partial", f"{self.folder}/work/partial")
         full = merged.filter(F.col("_count") == self.samples)
         (
             full.select(self.key, "frame", *frame_columns(self.profile, self.label, self.mode))
             .write.mode("overwrite")
-            .parquet(self._path("frames", batch))
+            .parquet(f"{self.folder}/frames/batch={batch}")
         )
         # Open frames, or the next empty one where a key ended on a full frame.
         last = merged.groupBy(self.key).agg(
@@ -157,7 +160,7 @@ class CountFrames:
             F.when(~closed, F.col("_last._max")).alias("_max"),
             F.when(closed, F.lit(0)).otherwise(F.col("_last._count")).cast("bigint").alias("_count"),
         )
-        open_frames.write.mode("overwrite").parquet(self._path("state", batch))
+        open_frames.write.mode("overwrite").parquet(self._state_path(batch))
 
     def start(
         self, stream: DataFrame, checkpoint: str, once: bool = False, interval: str = "30 seconds"
