@@ -357,6 +357,9 @@ def oracle() -> dict[str, str]:
             FROM placed GROUP BY facility_id, frame""",
         "mask_sensitive": f"""
             SELECT c_custkey, {_mask('c_name')} AS customer_id_hashed, c_mktsegment FROM customer""",
+        "mask_column": f"""
+            SELECT c_custkey, {_mask('c_name')} AS token, 'masked_sha256:' || {_hmac('c_name')} AS long_token,
+              {_mask('c_name')} AS for_others, c_name AS for_security FROM customer""",
         "masked_join": f"""
             SELECT o_orderkey, {_mask('o_custkey::VARCHAR')} AS masked_id, c_name, c_mktsegment
             FROM orders JOIN customer ON o_custkey = c_custkey""",
@@ -367,6 +370,17 @@ def oracle() -> dict[str, str]:
         "row_security_filter": f"""WITH {SUBS_RAW}
             SELECT * EXCLUDE (customer_id_hashed), {hidden} FROM subs_raw WHERE false""",
         "secure_view_deny": f"WITH {SUBS_RAW} SELECT * EXCLUDE (customer_id_hashed) FROM subs_raw",
+        "publish_tiers": f"""WITH {SILVER_ROBOT}
+            SELECT 'silver.silver_robot_signals' AS table_name, count(*) AS row_count FROM silver
+            UNION ALL SELECT 'gold.gold_robot_health', count(DISTINCT robot_model_id) FROM silver
+            UNION ALL SELECT 'silver.silver_plc_registers', count(*) FROM lineitem
+            UNION ALL SELECT 'gold.gold_facility_health', count(DISTINCT l_linestatus) FROM lineitem
+            UNION ALL SELECT 'silver.silver_wearable_biometrics', count(*) FROM events
+            UNION ALL SELECT 'gold.gold_cohort_summary', count(DISTINCT user_id % 3) FROM events
+            UNION ALL SELECT 'silver.silver_subscription_events', count(*) FROM orders
+            UNION ALL SELECT 'gold.gold_account_health', count(DISTINCT o_custkey % 3) FROM orders
+            UNION ALL SELECT 'silver.silver_ecrf_observations', count(*) FROM events
+            UNION ALL SELECT 'gold.gold_study_safety', count(DISTINCT event_id % 3) FROM events""",
         "test_not_null": f"""WITH {DIRTY}
             SELECT sum((anomaly_flag IS NULL)::INT)::BIGINT AS failing FROM dirty""",
         "test_accepted_values": f"WITH {DIRTY} SELECT {UNKNOWN_FACILITY} AS failing FROM dirty",
@@ -384,6 +398,7 @@ def oracle() -> dict[str, str]:
             UNION ALL SELECT 'accepted:facility_id', {UNKNOWN_FACILITY} FROM dirty
             UNION ALL SELECT 'unique:order_key', {REPEATED_KEYS}""",
         "assign_frames": f"WITH {PLACED} SELECT * FROM placed",
+        "drop_nulls_in_signal": f"WITH {HRV} SELECT * FROM hrv WHERE hrv BETWEEN 5 AND 200",
         "signal_downsample": f"WITH {COUNT_FRAMES} SELECT * FROM framed",
         "signal_downsample_max": """WITH placed AS (
               SELECT label AS model, list_max(embedding[1:7])::DOUBLE AS peak,
@@ -433,6 +448,11 @@ def oracle() -> dict[str, str]:
         "filter_by_terms": f"""WITH {SUBS}
             SELECT * FROM subs WHERE plan_tier = 'PRO' AND region = 'EU'
             ORDER BY "timestamp", customer_id_hashed, monthly_revenue LIMIT 20""",
+        "metadata_prefilter": f"""WITH {SUBS}
+            SELECT * FROM subs WHERE plan_tier = 'ENTERPRISE' AND region = 'APAC'""",
+        "limit_rows": """
+            SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id LIMIT 64""",
+        "embed_text": _buckets("documents", "doc_id", "text").replace("% 256", "% 64"),
         "vector_topk": """WITH parts AS (
               SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS place
               FROM embeddings),
@@ -450,7 +470,7 @@ def oracle() -> dict[str, str]:
             SELECT query_id, rank, vec_id, round(score, 6) AS score FROM ranked WHERE rank <= 5""",
         "retrieve": _retrieve("SELECT * FROM chunks"),
         "ask": _retrieve("SELECT DISTINCT * FROM chunks"),
-        "digest_vector": """WITH bytes AS (
+        "digest_embedding": """WITH bytes AS (
               SELECT doc_id, i AS place,
                 ('0x' || substr(sha256(text), 2 * (i % 32) + 1, 2))::INTEGER / 255.0::DOUBLE AS b
               FROM documents, range(128) t(i)),
@@ -476,6 +496,14 @@ def oracle() -> dict[str, str]:
               FROM embeddings)
             SELECT n // 64 AS shard, episode_id, (n % 64)::INTEGER AS place,
               count(*) OVER (PARTITION BY n // 64) AS samples FROM placed""",
+        "read_run_results": f"""WITH {COSTS},
+            given AS (
+              SELECT position, CASE WHEN position = 0 THEN node END AS unique_id,
+                nullif(status, '?') AS status, CASE WHEN position = 0 THEN seconds END AS seconds
+              FROM results)
+            SELECT 'HEALTH_TECH' AS data_product, position, unique_id, status, count(*) AS results,
+              count(seconds) AS timed, max(seconds) AS longest
+            FROM given GROUP BY ALL""",
         "cost_attribution": f"WITH {COSTS} SELECT * FROM costs",
         "total_cost": f"""WITH {COSTS}
             SELECT data_product, node, round(sum(estimated_cost_usd), 4) AS total_cost_usd

@@ -5,12 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.embedding import digest_embedding, hashed_words
+from tidemark.functions.embedding import digest_embedding as digest
+from tidemark.functions.embedding import hashed_words
 from tidemark.functions.masking import MaskingKey
+from tidemark.functions.text import extract_terms as terms
 from tidemark.operators import costs, flywheel, frames, gold, governance, quality, retrieval, silver
 from tidemark.operators.topk import vector_topk as nearest
 from tidemark.plans import assistant, medallion, signals
@@ -31,6 +34,7 @@ from tidemark.sources import star_tables
 from tidemark.sources.alignment import align_to_schema as align
 from tidemark.sources.lakehouse import Lakehouse
 from tidemark.sources.run_results import parse_run_results
+from tidemark.sources.run_results import read_run_results as read_results
 from tidemark.streaming.downsample import CountFrames
 from tidemark.streaming.downsample import stream_downsample_time as time_frames
 from tidemark.streaming.ingest import append_scores as stream_scores
@@ -243,6 +247,20 @@ def mask_sensitive(spark, folder):
     return governance.mask_sensitive(df, COMMERCIAL, _key(spark))
 
 
+@query
+def mask_column(spark, folder):
+    """A token, a longer one, and what the unmasking role reads."""
+    key, name = _key(spark), F.col("c_name")
+    role = governance.SECURITY_OPERATIONS
+    return _table(spark, folder, "customer").select(
+        "c_custkey",
+        key.mask(name).alias("token"),
+        key.mask(name, length=64).alias("long_token"),
+        key.mask(name, "ML_RESEARCHER", role).alias("for_others"),
+        key.mask(name, role, role).alias("for_security"),
+    )
+
+
 @query
 def masked_join(spark, folder):
     key = _key(spark)
@@ -285,6 +303,24 @@ def secure_view_deny(spark, folder):
     return governance.secure_view(_accounts(spark, folder), COMMERCIAL, "ML_RESEARCHER", "deny")
 
 
+@query
+def publish_tiers(spark, folder):
+    """Every table of every domain, built, published and counted."""
+    counts = []
+    for name, line in PRODUCT_LINES.items():
+        lake = _lake(spark, line.profile)
+        medallion.ingest(lake, star_tables.raw(spark, folder, name), CHECK_SALT)
+        medallion.enforce(lake, CHECK_SALT)
+        for product in (line.silver, line.gold):
+            counts.append(
+                lake.read_product(product.tier, product.name).agg(
+                    F.lit(f"{product.tier}.{product.name}").alias("table_name"),
+                    F.count(F.lit(1)).alias("row_count"),
+                )
+            )
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- data tests ---------------------------------------------------------------
 def _dirty(spark, folder):
     """Controller readings with missing and unknown facilities and a missing flag."""
@@ -355,6 +391,12 @@ def assign_frames(spark, folder):
     return frames.assign_frames(_heart_rates(spark, folder), "event_type", ["ts", "event_id"])
 
 
+@query
+def drop_nulls_in_signal(spark, folder):
+    signal = silver.null_out_of_range(_heart_rates(spark, folder), {"hrv": (5, 200)})
+    return frames.drop_nulls_in_signal(signal, "hrv")
+
+
 @query
 def signal_downsample(spark, folder):
     return frames.signal_downsample(
@@ -481,8 +523,6 @@ def extract_terms(spark, folder):
     turns = spread(_table(spark, folder, "conversations"), "conv_id").select(
         F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("source_id"), "text"
     )
-    from tidemark.functions.text import extract_terms as terms
-
     found = documents.unionByName(turns).withColumn("filters", terms(F.col("text"), WORDS))
     return found.select("source_id", *[F.col("filters")[f].alias(f) for f in WORDS])
 
@@ -512,6 +552,30 @@ def filter_by_terms(spark, folder):
     )
 
 
+@query
+def metadata_prefilter(spark, folder):
+    condition = retrieval.metadata_prefilter({"plan_tier": "ENTERPRISE", "region": "APAC"})
+    return _bronze(spark, folder, COMMERCIAL).filter(condition)
+
+
+@query
+def limit_rows(spark, folder):
+    events = _table(spark, folder, "events").select("event_id", "ts", "event_type")
+    return retrieval.limit_rows(events, [F.col("ts").desc(), "event_id"], 64)
+
+
+@query
+def embed_text(spark, folder):
+    """The non-zero components of the word vectors of whole documents."""
+    documents = spread(_table(spark, folder, "documents"), "doc_id").select("doc_id", "text")
+    vectors = retrieval.embed_text(documents, hashed_words(64))
+    return (
+        vectors.select("doc_id", F.posexplode("embedding").alias("place", "v"))
+        .filter("v > 0")
+        .select("doc_id", F.col("place").cast("bigint").alias("bucket"), F.col("v").cast("double").alias("tf"))
+    )
+
+
 @query
 def vector_topk(spark, folder):
     """The five vectors nearest to each label's centre, within the label."""
@@ -586,10 +650,10 @@ def ask(spark, folder):
 
 # --- flywheel -----------------------------------------------------------------
 @query
-def digest_vector(spark, folder):
+def digest_embedding(spark, folder):
     """Digest vectors of whole documents, one row per component."""
     vectors = spread(_table(spark, folder, "documents"), "doc_id").select(
-        "doc_id", digest_embedding(F.col("text")).alias("vector")
+        "doc_id", digest(F.col("text")).alias("vector")
     )
     return vectors.select("doc_id", F.posexplode("vector").alias("place", "v")).select(
         "doc_id", F.col("place").cast("bigint").alias("place"), F.round(F.col("v").cast("double"), 6).alias("v")
@@ -671,16 +735,11 @@ def append_scores(spark, folder):
 def write_training_shards(spark, folder):
     """Which episode went to which shard, and the shards written."""
     episodes = _signed_episodes(spark, folder)
-    written = flywheel.write_training_shards(episodes, "file://" + _local(spark, "tars"))
+    written = flywheel.write_training_shards(episodes, scratch_path(spark, "tars"))
     manifest = flywheel.shard_manifest(episodes).select("episode_id", "shard", "place")
     return manifest.join(written.select("shard", "samples"), "shard")
 
 
-def _local(spark: SparkSession, label: str) -> str:
-    path = scratch_path(spark, label)
-    return path[len("file:"):].replace("//", "/") if path.startswith("file:") else path
-
-
 # --- costs --------------------------------------------------------------------
 def _runs(spark, folder):
     """Every event as a run artifact: a JSON document with one or two results."""
@@ -703,6 +762,19 @@ def _runs(spark, folder):
     )
 
 
+@query
+def read_run_results(spark, folder):
+    """The artifacts written as files, one document per line, and read back."""
+    path = scratch_path(spark, "artifacts")
+    _runs(spark, folder).select(F.col("document").alias("value")).write.text(path)
+    results = read_results(spark, path, "HEALTH_TECH", one_per_line=True)
+    return results.groupBy("data_product", "position", "unique_id", "status").agg(
+        F.count(F.lit(1)).alias("results"),
+        F.count("execution_time").alias("timed"),
+        F.max("execution_time").alias("longest"),
+    )
+
+
 @query
 def cost_attribution(spark, folder):
     results = parse_run_results(_runs(spark, folder), "document")

@@ -74,6 +74,10 @@ def test_upsert_replaces_by_key(spark, lake):
     assert house.upsert_product("gold", "t", fresh, "k") == 3
     got = {tuple(r) for r in house.read_product("gold", "t").collect()}
     assert got == {(1, "a"), (2, "B"), (3, "c")}
+    versions = spark.createDataFrame([(1, "new", 2), (1, "old", 1), (9, "z", 1)], "k int, v string, n int")
+    assert house.upsert_product("gold", "t", versions, "k", "n") == 4
+    got = {tuple(r) for r in house.read_product("gold", "t").collect()}
+    assert got == {(1, "new"), (2, "B"), (3, "c"), (9, "z")}
 
 
 def test_losing_the_create_race_still_appends(spark, lake, monkeypatch):

@@ -198,6 +198,13 @@ def _tar(samples: pd.DataFrame) -> bytes:
     return buffer.getvalue()
 
 
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI; a plain path is a mounted one."""
+    if "://" in folder:
+        return fs.FileSystem.from_uri(folder)
+    return fs.LocalFileSystem(), folder.removeprefix("file:")
+
+
 def write_training_shards(
     episodes: DataFrame,
     folder: str,
@@ -207,14 +214,14 @@ def write_training_shards(
     """Write one tar of .npy and .json members per shard; returns (shard, path, samples).
 
     Each task writes whole shards of a fixed number of samples. ``folder`` is a
-    URI every executor can reach. A shard is written under a temporary name and
+    place every executor can reach; use a new one per run. A shard is written under a temporary name and
     moved into place, and its bytes are the same on a retry, so a lost executor
     leaves neither half nor doubled shards.
     """
 
     def write(samples: pd.DataFrame) -> pd.DataFrame:
         number = int(samples["shard"].iloc[0])
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = _store(folder)
         store.create_dir(root, recursive=True)
         path = f"{root.rstrip('/')}/{SHARD_NAME.format(number)}"
         part = f"{path}.{uuid.uuid4().hex}.part"

@@ -45,8 +45,16 @@ def chunk_id(profile: Profile, content: Column) -> Column:
     return F.concat(F.lit(f"{profile.name}-"), F.substring(digest, 1, 32))
 
 
+def with_chunk_id(bronze: DataFrame, profile: Profile) -> DataFrame:
+    """Bronze rows with the id of their chunk in front."""
+    return bronze.select(chunk_id(profile, chunk_text(profile)).alias("id"), *bronze.columns)
+
+
 def build_chunks(bronze: DataFrame, profile: Profile) -> DataFrame:
-    """One (id, text, metadata) per Bronze row; metadata holds the non-null terms."""
+    """One (id, text, metadata) per Bronze row; metadata holds the non-null terms.
+
+    Rows that already carry their id keep it.
+    """
     entries = F.array(
         *[
             F.struct(F.lit(f).alias("key"), F.col(f).cast("string").alias("value"))
@@ -55,8 +63,9 @@ def build_chunks(bronze: DataFrame, profile: Profile) -> DataFrame:
         F.struct(F.lit("profile").alias("key"), F.lit(profile.name).alias("value")),
     )
     known = F.filter(entries, lambda e: e["value"].isNotNull())
+    given = "id" in bronze.columns
     return bronze.withColumn("text", chunk_text(profile)).select(
-        chunk_id(profile, F.col("text")).alias("id"),
+        F.col("id") if given else chunk_id(profile, F.col("text")).alias("id"),
         "text",
         F.map_from_entries(known).alias("metadata"),
     )

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +28,8 @@ QUERY_BLOCK = 1024
 #: of the last-bit noise of blocked matrix products.
 SCORE_DIGITS = 10
 _CELLS = 2_000_000
+#: Most filter combinations of a block that are tried before the scan.
+_PREFILTERS = 64
 _MERGE_GROUPS = 64
 
 
@@ -220,7 +223,9 @@ def vector_topk(
 
     def search(table: pa.Table) -> DataFrame:
         run = _search(_Block.of(table, fields), k, id_type)
-        return scanned.mapInArrow(run, result_schema)
+        asked = _asked_for(table, fields)
+        rows = scanned if asked is None else scanned.filter(asked)
+        return rows.mapInArrow(run, result_schema)
 
     head = wanted.limit(block + 1).toArrow()
     if head.num_rows <= block:
@@ -232,6 +237,27 @@ def vector_topk(
     )
 
 
+def _asked_for(table: pa.Table, fields: list[str]) -> Column | None:
+    """Corpus rows that at least one query of the block may match.
+
+    None if some query has no filter, or the block has too many different ones.
+    """
+    if not fields or not table.num_rows:
+        return None
+    rows = zip(*[table.column(f"term_{f}").to_pylist() for f in fields])
+    combinations = sorted(set(rows), key=str)
+    if len(combinations) > _PREFILTERS or any(all(v is None for v in c) for c in combinations):
+        return None
+    matches = [
+        reduce(
+            lambda a, b: a & b,
+            [F.col(f"field_{f}") == F.lit(v) for f, v in zip(fields, c) if v is not None],
+        )
+        for c in combinations
+    ]
+    return reduce(lambda a, b: a | b, matches)
+
+
 def _nothing(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.sparkSession.createDataFrame([], schema)
 

@@ -33,15 +33,18 @@ def build_index(lake: Lakehouse, embedder: Embedder | None = None) -> int:
 
     Ids come from the content, so a chunk with a known id is the same chunk:
     only new ones are embedded and appended, and the index is never rewritten.
+    Repeated and known rows are sorted out as rows, before their text is made:
+    one shuffle by id serves both steps and carries the narrow columns only.
     """
     embedder = embedder or hashed_words()
     assert_same_model(lake, embedder)
     profile = lake.profile
     bronze = lake.read_product("bronze", profile.bronze_table)
-    chunks = retrieval.build_chunks(bronze, profile).dropDuplicates(["id"])
+    fresh = retrieval.with_chunk_id(bronze, profile).dropDuplicates(["id"])
     if lake.exists(INDEX_TIER, profile.index_name):
         known = lake.read_product(INDEX_TIER, profile.index_name).select("id")
-        chunks = chunks.join(known, "id", "left_anti")
+        fresh = fresh.join(known, "id", "left_anti")
+    chunks = retrieval.build_chunks(fresh, profile)
     added = lake.append_product(
         INDEX_TIER, profile.index_name, retrieval.embed_text(chunks, embedder)
     )

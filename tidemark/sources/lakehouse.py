@@ -177,9 +177,15 @@ class Lakehouse:
         return self.publish(self.stage(tier, table, df, expected_schema=expected_schema))
 
     def upsert_product(
-        self, tier: str, table: str, df: DataFrame, key: str
+        self, tier: str, table: str, df: DataFrame, key: str, version: str | None = None
     ) -> int:
-        """Insert rows, replacing those with the same key; returns rows in the table."""
+        """Insert rows, replacing those with the same key; returns rows in the table.
+
+        Keys in ``df`` are unique, or its row with the highest ``version`` wins.
+        """
+        if version is not None:
+            latest = F.max_by(F.struct(*df.columns), version).alias("_row")
+            df = df.groupBy(key).agg(latest).select("_row.*")
         if self.exists(tier, table):
             current = self.read_product(tier, table)
             incoming = align_to_schema(df, current.schema)

@@ -32,17 +32,20 @@ def parse_run_results(runs: DataFrame, document: str) -> DataFrame:
     )
 
 
-def read_run_results(spark: SparkSession, path: str, data_product: str) -> DataFrame:
-    """Results of every artifact file at ``path``; a missing path gives no rows."""
+def read_run_results(
+    spark: SparkSession, path: str, data_product: str, one_per_line: bool = False
+) -> DataFrame:
+    """Results of every artifact at ``path``; a missing path gives no rows.
+
+    A file holds one document, or one per line, which large files need to be
+    read by several tasks.
+    """
     try:
-        runs = spark.read.schema(ARTIFACT).option("multiLine", True).json(path)
+        runs = spark.read.schema(ARTIFACT).option("multiLine", not one_per_line).json(path)
+        file = F.col("_metadata.file_path")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        runs = spark.createDataFrame([], ARTIFACT)
-    runs = runs.select(
-        F.lit(data_product).alias("data_product"),
-        F.col("_metadata.file_path").alias("file") if runs.inputFiles() else F.lit("").alias("file"),
-        "results",
-    )
+        runs, file = spark.createDataFrame([], ARTIFACT), F.lit("")
+    runs = runs.select(F.lit(data_product).alias("data_product"), file.alias("file"), "results")
     return explode_results(runs, F.col("results")).drop("results")

@@ -23,6 +23,7 @@ from tidemark.profiles import (
     MANUFACTURING,
     NO_FAILURE,
     PLAN_TIERS,
+    PROFILES,
     REGIONS,
     ROBOT_MODELS,
     ROBOTICS,
@@ -124,15 +125,19 @@ def robot_signals_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _RAW = {
-    ROBOTICS.name: (ROBOTICS, robot_signals_raw),
-    MANUFACTURING.name: (MANUFACTURING, plc_registers_raw),
-    HEALTH_TECH.name: (HEALTH_TECH, wearable_biometrics_raw),
-    COMMERCIAL.name: (COMMERCIAL, subscription_events_raw),
-    CLINICAL.name: (CLINICAL, ecrf_observations_raw),
+    ROBOTICS.name: robot_signals_raw,
+    MANUFACTURING.name: plc_registers_raw,
+    HEALTH_TECH.name: wearable_biometrics_raw,
+    COMMERCIAL.name: subscription_events_raw,
+    CLINICAL.name: ecrf_observations_raw,
 }
 
 
+def raw(spark: SparkSession, folder: str, profile_name: str) -> DataFrame:
+    """A profile's rows before masking."""
+    return _RAW[profile_name](spark, folder)
+
+
 def bronze(spark: SparkSession, folder: str, profile_name: str, key: MaskingKey) -> DataFrame:
     """A profile's masked Bronze rows."""
-    profile, raw = _RAW[profile_name]
-    return mask_sensitive(raw(spark, folder), profile, key)
+    return mask_sensitive(raw(spark, folder, profile_name), PROFILES[profile_name], key)
