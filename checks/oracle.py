@@ -40,8 +40,8 @@ PLC = PLC_RAW + f""",
 plc AS (SELECT * REPLACE ({_mask('register_id')} AS register_id) FROM plc_raw)"""
 SILVER_PLC = PLC + """,
 silver AS (
-  SELECT *, (measured_voltage < 12.0 OR measured_voltage > 16.0
-             OR temperature_c > 95.0 OR pressure_bar > 9.5) AS sla_breach
+  SELECT *, NOT (measured_voltage BETWEEN 12 AND 16 AND temperature_c <= 95
+                 AND pressure_bar <= 9.5) AS sla_breach
   FROM plc WHERE facility_id IS NOT NULL)"""
 
 BIO = f"""
@@ -53,9 +53,9 @@ bio AS (
 SILVER_BIO = BIO + """,
 silver AS (
   SELECT "timestamp", patient_id_hashed,
-    CASE WHEN heart_rate_variability BETWEEN 5 AND 200 THEN heart_rate_variability END
+    if(heart_rate_variability < 5 OR heart_rate_variability > 200, NULL, heart_rate_variability)
       AS heart_rate_variability,
-    CASE WHEN sleep_efficiency BETWEEN 0 AND 1 THEN sleep_efficiency END AS sleep_efficiency,
+    if(sleep_efficiency < 0 OR sleep_efficiency > 1, NULL, sleep_efficiency) AS sleep_efficiency,
     region
   FROM bio WHERE patient_id_hashed IS NOT NULL)"""
 
@@ -104,9 +104,9 @@ GOLD_ACCOUNT = """
   SELECT plan_tier, count(*) AS account_count,
     round(avg(monthly_revenue), 2) AS avg_monthly_revenue,
     round(avg(lifetime_value), 2) AS avg_lifetime_value,
-    sum(CASE WHEN churned_flag THEN 1 ELSE 0 END)::BIGINT AS churned_count,
-    round(avg(CASE WHEN churned_flag THEN 1.0 ELSE 0.0 END), 3) AS churn_rate
-  FROM silver GROUP BY 1 ORDER BY 1"""
+    count(*) FILTER (WHERE churned_flag) AS churned_count,
+    round(count(*) FILTER (WHERE churned_flag) / count(*), 3) AS churn_rate
+  FROM silver GROUP BY ALL"""
 
 DIRTY = """
 dirty AS (
@@ -302,31 +302,31 @@ def oracle() -> dict[str, str]:
         "silver_ecrf_observations": f"WITH {ECRF} SELECT * FROM ecrf",
         "gold_robot_health": f"""WITH {SILVER_ROBOT}
             SELECT robot_model_id, count(*) AS episode_count,
-              sum(CASE WHEN success_flag THEN 1 ELSE 0 END)::BIGINT AS success_count,
-              sum(CASE WHEN NOT success_flag THEN 1 ELSE 0 END)::BIGINT AS failure_count,
-              round(avg(CASE WHEN success_flag THEN 1.0 ELSE 0.0 END), 3) AS success_rate
-            FROM silver GROUP BY 1 ORDER BY 1""",
+              count(*) FILTER (WHERE success_flag) AS success_count,
+              count(*) FILTER (WHERE NOT success_flag) AS failure_count,
+              round(count(*) FILTER (WHERE success_flag) / count(*), 3) AS success_rate
+            FROM silver GROUP BY ALL""",
         "gold_facility_health": f"""WITH {SILVER_PLC}
             SELECT facility_id, count(*) AS sample_count,
               round(avg(measured_voltage), 3) AS avg_voltage,
               round(avg(temperature_c), 3) AS avg_temperature_c,
               round(avg(pressure_bar), 3) AS avg_pressure_bar,
-              sum(CASE WHEN anomaly_flag THEN 1 ELSE 0 END)::BIGINT AS anomaly_count,
-              sum(CASE WHEN sla_breach THEN 1 ELSE 0 END)::BIGINT AS sla_breach_count
-            FROM silver GROUP BY 1 ORDER BY 1""",
+              count(*) FILTER (WHERE anomaly_flag) AS anomaly_count,
+              count(*) FILTER (WHERE sla_breach) AS sla_breach_count
+            FROM silver GROUP BY ALL""",
         "gold_cohort_summary": f"""WITH {SILVER_BIO}
             SELECT region, count(DISTINCT patient_id_hashed) AS patient_count,
               round(avg(heart_rate_variability), 2) AS avg_hrv,
               round(avg(sleep_efficiency), 3) AS avg_sleep_efficiency,
-              sum(CASE WHEN heart_rate_variability < 35 THEN 1 ELSE 0 END)::BIGINT AS low_hrv_readings
-            FROM silver GROUP BY 1 ORDER BY 1""",
+              count(*) FILTER (WHERE heart_rate_variability < 35) AS low_hrv_readings
+            FROM silver GROUP BY ALL""",
         "gold_account_health": f"WITH {SILVER_SUBS} {GOLD_ACCOUNT}",
         "gold_study_safety": f"""WITH {ECRF}
             SELECT study_id, count(DISTINCT patient_id_hashed) AS patient_count,
               count(*) AS observation_count,
-              sum(CASE WHEN adverse_event_flag THEN 1 ELSE 0 END)::BIGINT AS adverse_event_count,
-              round(avg(CASE WHEN adverse_event_flag THEN 1.0 ELSE 0.0 END), 4) AS adverse_event_rate
-            FROM ecrf GROUP BY 1 ORDER BY 1""",
+              count(*) FILTER (WHERE adverse_event_flag) AS adverse_event_count,
+              round(count(*) FILTER (WHERE adverse_event_flag) / count(*), 4) AS adverse_event_rate
+            FROM ecrf GROUP BY ALL""",
         "align_to_schema": """
             SELECT NULL::TIMESTAMP AS "timestamp", c_custkey::VARCHAR AS customer_id_hashed,
               c_mktsegment AS plan_tier, NULL::VARCHAR AS region,

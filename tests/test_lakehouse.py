@@ -115,3 +115,32 @@ def test_stream_fed_table_refuses_batch_appends(spark, lake):
     house.create_stream_table("bronze", "feed", CLINICAL.schema)
     with pytest.raises(ValueError, match="fed by a stream"):
         house.append_product("bronze", "feed", spark.createDataFrame([], CLINICAL.schema))
+
+
+def test_old_versions_can_be_removed(spark, lake):
+    house = lake(COMMERCIAL)
+    for n in (5, 6, 7):
+        house.overwrite_product("gold", "t", spark.range(n))
+    house.stage("gold", "t", spark.range(9))
+    assert house.remove_old_versions("gold", "t") == 3
+    assert house.remove_old_versions("gold", "t") == 0
+    assert house.read_product("gold", "t").count() == 7
+
+
+def test_scratch_belongs_to_the_application_and_can_be_cleared(spark, monkeypatch, tmp_path):
+    from tidemark import session
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda s: str(tmp_path))
+    other = tmp_path / "tidemark" / "another-app"
+    other.mkdir(parents=True)
+    kept = session.materialize(spark.range(3), "x")
+    assert kept.count() == 3
+    assert session.clear_scratch(spark) and other.exists()
+    assert not session.clear_scratch(spark)
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from tidemark import session
+
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert session.scratch_path(spark, "x").startswith(named.rstrip("/") + "/tidemark/")

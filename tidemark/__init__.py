@@ -5,7 +5,7 @@ import sys
 from pyspark import cloudpickle
 
 from tidemark.profiles import PROFILES, Profile, resolve_profile
-from tidemark.session import build_session, materialize, scratch_path
+from tidemark.session import build_session, clear_scratch, materialize, scratch_path
 
 # Functions of this package that run in tasks travel with the query, so it need
 # not be installed on the executors, nor be on their path.
@@ -15,6 +15,7 @@ __all__ = [
     "PROFILES",
     "Profile",
     "build_session",
+    "clear_scratch",
     "materialize",
     "resolve_profile",
     "scratch_path",

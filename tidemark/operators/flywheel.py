@@ -72,23 +72,18 @@ def embed_episodes(
     """
     if profile.name != ROBOTICS.name:
         raise ValueError("episode vectors are only defined for the ROBOTICS profile")
-    columns = [
-        *order,
-        *[
-            c
-            for c in ("robot_id", "robot_model_id", "failure_type_tag", "success_flag")
-            if c not in order
-        ],
-    ]
+    carried = ["robot_id", "robot_model_id", "failure_type_tag", "success_flag"]
     key = F.concat_ws(
         "|",
         F.coalesce("camera_frame_uri", F.lit("")),
         display(F.col("joint_positions"), T.ArrayType(T.FloatType())),
     )
-    keyed = signals.select(*columns, key.alias("_key"))
+    keyed = signals.select(*dict.fromkeys([*order, *carried]), key.alias("_key"))
     if limit is not None:
         keyed = keyed.orderBy(*order).limit(limit)
-    numbered = position_in(keyed, [*order, "_key"], partitions=partitions)
+    numbered = position_in(
+        keyed, [*order, "_key"], partitions=partitions, keep=[*carried, "_key"]
+    )
     # Zero-padded to five digits, longer numbers in full.
     number = F.col("position").cast("string")
     padded = F.when(F.length(number) < 5, F.lpad(number, 5, "0")).otherwise(number)

@@ -44,9 +44,12 @@ def assign_frames(
     order: Sequence[str],
     samples: int = SAMPLES_PER_FRAME,
     partitions: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number consecutive groups of ``samples`` rows of each stream as ``frame``."""
-    placed = position_in(df, order, [stream], name="_position", partitions=partitions)
+    placed = position_in(
+        df, order, [stream], name="_position", partitions=partitions, keep=keep
+    )
     frame = whole_division(F.col("_position"), samples)
     return placed.withColumn("frame", frame).drop("_position")
 
@@ -97,7 +100,7 @@ def signal_downsample(
     check_mode(mode)
     needed = dict.fromkeys([stream, *order, value])
     narrow = drop_nulls_in_signal(df.select(*needed), value)
-    framed = assign_frames(narrow, stream, order, samples, partitions)
+    framed = assign_frames(narrow, stream, order, samples, partitions, keep=[value])
     grouped = framed.groupBy(stream, "frame").agg(*partials(value))
     return grouped.select(stream, "frame", *frame_columns(profile, label, mode))
 

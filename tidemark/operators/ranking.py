@@ -28,6 +28,7 @@ def position_in(
     partitions: int | None = None,
     start: DataFrame | None = None,
     store: str | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row within ``by`` in ``order``.
 
@@ -36,15 +37,17 @@ def position_in(
     Without ``partitions`` there are ``spark.sql.shuffle.partitions`` ranges,
     neighbours being merged at run time up to the advisory partition size.
     ``store`` names the path for the placed rows, else one is made up.
+    ``keep`` names the columns still needed; the others are only sorted by.
     """
     keys = [*by, *order]
+    kept = list(df.columns if keep is None else dict.fromkeys([*by, *keep]))
     ranged = (
         df.repartitionByRange(*keys)
         if partitions is None
         else df.repartitionByRange(partitions, *keys)
     )
-    placed = ranged.sortWithinPartitions(*keys).withColumn(
-        _SPOT, F.monotonically_increasing_id()
+    placed = ranged.sortWithinPartitions(*keys).select(
+        *kept, F.monotonically_increasing_id().alias(_SPOT)
     )
     # Both uses below must see one and the same partitioning: store it.
     placed = materialize(placed, "positions", store).withColumn(
@@ -68,7 +71,7 @@ def position_in(
 
     joined = _join_on(placed, runs, [_PART, *by], "inner")
     position = F.col(_SPOT) - F.col(_FIRST) + F.col(_BEFORE)
-    return joined.select(*df.columns, position.alias(name))
+    return joined.select(*kept, position.alias(name))
 
 
 def position_by_digest(

@@ -54,9 +54,35 @@ def checkpoint_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under :func:`checkpoint_root`."""
-    return f"{checkpoint_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the shared folder."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediate results.
+
+    Call it once no DataFrame built on them is read any more; a job may leave a
+    sorted copy of its input there. Returns whether there were any.
+    """
+    return delete_path(spark, _scratch_root(spark))
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of the entries of a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [entry.getPath().toString() for entry in store.listStatus(target)]
 
 
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.profiles import Profile
+from tidemark.session import delete_path, list_folder
 from tidemark.sources.alignment import align_to_schema
 
 TIERS = ("bronze", "silver", "gold")
@@ -65,8 +66,11 @@ class Lakehouse:
                 f"LOCATION '{self.root}/{tier}'"
             )
 
+    def _versions(self, tier: str, table: str) -> str:
+        return f"{self.root}/{tier}/{table}"
+
     def _new_location(self, tier: str, table: str) -> str:
-        return f"{self.root}/{tier}/{table}/v-{uuid.uuid4().hex}"
+        return f"{self._versions(tier, table)}/v-{uuid.uuid4().hex}"
 
     # --- reading ---------------------------------------------------------------
     def exists(self, tier: str, table: str) -> bool:
@@ -193,6 +197,22 @@ class Lakehouse:
             df = kept.unionByName(incoming)
         return self.overwrite_product(tier, table, df)
 
+    def remove_old_versions(self, tier: str, table: str) -> int:
+        """Delete the versions the table no longer points to; returns how many.
+
+        Overwrites and failed builds leave them behind. Run it when no reader of
+        an old version and no build of a new one is under way.
+        """
+        rows = self.spark.sql(f"DESCRIBE FORMATTED {self.identifier(tier, table)}").collect()
+        current = next(r["data_type"] for r in rows if r["col_name"] == "Location")
+        name = current.rstrip("/").rsplit("/", 1)[-1]
+        old = [
+            path
+            for path in list_folder(self.spark, self._versions(tier, table))
+            if path.rstrip("/").rsplit("/", 1)[-1] != name
+        ]
+        return sum(delete_path(self.spark, path) for path in old)
+
     def export_parquet(self, tier: str, table: str, path: str) -> str:
         """Write a table as a parquet drop for other tools."""
         self.read_product(tier, table).write.mode("overwrite").parquet(path)

@@ -125,6 +125,7 @@ class CountFrames:
             partitions=self.partitions,
             start=start,
             store=f"{self.folder}/work/placed",
+            keep=[self.value],
         )
         fresh = (
             placed.withColumn("frame", whole_division(F.col("_position"), self.samples))
