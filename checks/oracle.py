@@ -174,7 +174,7 @@ texts AS (
     || CASE WHEN churned_flag THEN 'True' ELSE 'False' END AS text
   FROM subs),
 chunks AS (
-  SELECT 'COMMERCIAL-' || substr(sha256(strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') || '|' || text), 1, 32)
+  SELECT 'COMMERCIAL-' || substr(sha256(epoch_us("timestamp") || '|' || text), 1, 32)
       AS id, text, plan_tier, region, 'COMMERCIAL' AS profile
   FROM texts)"""
 

@@ -42,6 +42,33 @@ def test_term_with_symbol_edge_needs_a_word_after_it(spark):
     assert got == [None, "66+", None, None]
 
 
+def test_folding_rules_out_nothing_that_matches(spark):
+    """Characters that match an ASCII letter without being one, and mixed cases."""
+    cases = [
+        ("GRA\u017fP_FAIL", "GRASP_FAIL"),
+        ("V\u0130S\u0131ON_OCCLUSION", "VISION_OCCLUSION"),
+        ("\u212Aey", "KEY"),
+        ("stra\u00dfe GRASP_FAIL \u03a3", "grasp_fail"),
+        ("\u03a3OS", "\u03c3os"),
+    ]
+    import sys
+    import unicodedata
+
+    like = {
+        chr(c)
+        for c in range(128, sys.maxunicode)
+        if unicodedata.category(chr(c))[0] == "L"
+        and (chr(c).upper().isascii() or chr(c).lower()[0].isascii())
+        and len(chr(c).upper()) == 1
+    }
+    assert like == set(texts.ASCII_LIKE)
+    for text, term in cases:
+        df = spark.createDataFrame([(text,)], "t string")
+        plain = df.select(F.col("t").rlike(texts.term_pattern(term))).first()[0]
+        assert plain, text
+        assert df.select(texts.first_term(F.col("t"), [term])).first()[0] == term
+
+
 def test_quoted(spark):
     cases = ["plain", "it's", 'say "it\'s"', "a\\b\nc\td"]
     df = spark.createDataFrame([(c,) for c in cases], "t string")

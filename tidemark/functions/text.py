@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _WORD = r"[\p{L}\p{N}_]"
+# --- Fixed values: the non-ASCII characters that fold to an ASCII letter ------
+# dotted capital I, dotless i, long s, Kelvin sign
+ASCII_LIKE = "\u0130\u0131\u017f\u212a"
+ASCII_MEANT = "iisk"
+# ------------------------------------------------------------------------------
 
 
 def _is_word(char: str) -> bool:
@@ -27,20 +32,36 @@ def term_pattern(term: str) -> str:
     return rf"(?iu){before}\Q{term}\E{after}"
 
 
+def folded(text: Column) -> Column:
+    """Text in lower case, with every character that case-insensitive matching
+    takes for an ASCII letter replaced by that letter."""
+    return F.lower(F.translate(text, ASCII_LIKE, ASCII_MEANT))
+
+
 def first_term(text: Column, terms: Sequence[str]) -> Column:
-    """First term of the list, in list order, found as a whole word; else null."""
-    return F.coalesce(*[F.when(text.rlike(term_pattern(t)), F.lit(t)) for t in terms])
+    """First term of the list, in list order, found as a whole word; else null.
+
+    A plain substring search rules most texts out before the pattern runs, so a
+    long text is folded once instead of being matched once per term.
+    """
+    plain = folded(text)
+    cases = []
+    for term in terms:
+        found = text.rlike(term_pattern(term))
+        if term.isascii():
+            found = plain.contains(F.lit(term.lower())) & found
+        cases.append(F.when(found, F.lit(term)))
+    return F.coalesce(*cases)
 
 
 def extract_terms(text: Column, vocabulary: Mapping[str, Sequence[str]]) -> Column:
     """Map of field to found term; fields without one are absent."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(field).alias("key"), first_term(text, terms).alias("value"))
-            for field, terms in vocabulary.items()
-        ]
-    )
-    return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+    nothing = F.create_map().cast("map<string,string>")
+    found = []
+    for field, terms in vocabulary.items():
+        term = first_term(text, terms)
+        found.append(F.when(term.isNotNull(), F.create_map(F.lit(field), term)).otherwise(nothing))
+    return F.map_concat(*found)
 
 
 def display(column: Column, kind: T.DataType) -> Column:

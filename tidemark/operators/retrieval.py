@@ -40,7 +40,8 @@ def chunk_text(profile: Profile) -> Column:
 
 def chunk_id(profile: Profile, content: Column) -> Column:
     """Id from the row's content: stable however rows are ordered or re-read."""
-    stamp = F.coalesce(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("None"))
+    micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    stamp = F.coalesce(micros.cast("string"), F.lit("None"))
     digest = F.sha2(F.concat_ws("|", stamp, content), 256)
     return F.concat(F.lit(f"{profile.name}-"), F.substring(digest, 1, 32))
 
