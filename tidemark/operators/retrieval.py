@@ -109,12 +109,15 @@ def _scope(values: Sequence[Column]) -> Column:
 
 
 def _top_per_scope(rows: DataFrame, n: int) -> DataFrame:
-    """First ``n`` rows per scope through bounded groups; each task sends at most
-    ``n`` rows per group, however large a scope is."""
+    """First ``n`` rows per scope, however large a scope is.
+
+    Each task sends at most ``n`` rows per scope; these meet in a bounded number
+    of groups by where they come from, and the groups' best meet in the end.
+    """
     part = Window.partitionBy("scope", "_group").orderBy("row")
     whole = Window.partitionBy("scope").orderBy("row")
     return (
-        rows.withColumn("_group", F.pmod(F.xxhash64("row"), F.lit(_MERGE_GROUPS)))
+        rows.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)))
         .withColumn("_n", F.row_number().over(part))
         .filter(F.col("_n") <= n)
         .drop("_n", "_group")

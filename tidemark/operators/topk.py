@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.operators.ranking import position_in
 from tidemark.session import materialize, scratch_path
@@ -192,7 +193,8 @@ def vector_topk(
 
     ``where`` maps a filter name to (query column, corpus column): a query whose
     column is null does not filter on it, otherwise the corpus must equal it.
-    Rows without a vector take no part; a zero vector scores 0.
+    Rows without a vector take no part; a zero vector scores 0. Query ids are
+    unique.
 
     Up to ``block`` queries are handled in one scan. More are cut in blocks of
     that size, one scan each, so neither a task nor the driver ever holds more.
@@ -217,9 +219,7 @@ def vector_topk(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    id_type = pa.int64() if isinstance(scanned.schema["id"].dataType, T.LongType) else (
-        pa.int32() if isinstance(scanned.schema["id"].dataType, T.IntegerType) else pa.string()
-    )
+    id_type = to_arrow_type(scanned.schema["id"].dataType)
 
     def search(table: pa.Table) -> DataFrame:
         run = _search(_Block.of(table, fields), k, id_type)
