@@ -27,7 +27,8 @@ def _signal(n=700):
 
 def _files(spark, data, folder, parts):
     """One parquet file per part, older parts first."""
-    for i, part in enumerate(np.array_split(data, parts)):
+    for i, places in enumerate(np.array_split(np.arange(len(data)), parts)):
+        part = data.iloc[places]
         path = folder / f"part-{i:03d}.parquet"
         part.astype({"t": "datetime64[us]"}).to_parquet(path, index=False)
     return spark.readStream.schema(SIGNAL).option("maxFilesPerTrigger", 1).parquet(str(folder))
