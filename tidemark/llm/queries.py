@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, fingerprints, language, neardup, packing, token_store, warc
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    html,
+    language,
+    neardup,
+    packing,
+    quality,
+    token_store,
+    warc,
+)
 from tidemark.llm.common import own_columns, table
 from tidemark.llm.tokens import public_vocabulary
 from tidemark.session import materialize
@@ -37,6 +48,14 @@ def op4_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
+def op5_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rate(table(spark, folder, "documents"))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
@@ -59,8 +78,8 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     own = (
-        op1_token_store, op2_chat, op3_fingerprints, op4_neardup, op7_language, op8_packing, op9_warc,
-        op10_decontamination,
+        op1_token_store, op2_chat, op3_fingerprints, op4_neardup, op5_html, op6_quality,
+        op7_language, op8_packing, op9_warc, op10_decontamination,
     )
     return {query.__name__: query for query in own}
 
