@@ -6,16 +6,18 @@
 2. Classes with an equal band key share a bucket. A link at the wanted
    similarity s is missed by all bands with probability (1 - s**4)**25, which is
    2e-6 at 0.8 and less above.
-3. Pairs of a bucket are compared by their kept minima (a pair far below the
-   threshold goes), then confirmed on the full sets.
-4. Links become components by alternating large-star and small-star.
-
-A bucket of up to :data:`SMALL` classes is compared pair by pair. A larger one is
-first compared with its least class only. What then lies in one component needs
-no further look; members outside the bucket's largest component are compared
-with its least such member, and once they are few, with all members of other
-components. So a large group of near copies costs about one comparison a
-member, and still no link between components is lost.
+3. In every bucket all members are compared with its central class, the one that
+   shares most buckets with others: by their kept minima first (a pair far below
+   the threshold goes), then on the full sets. Links become components by
+   alternating large-star and small-star; what lies in one component needs no
+   further look. Once more the same among the members outside each bucket's
+   largest component.
+4. What is still outside a bucket's largest component is compared on full sets
+   with all members of the bucket: blocks of outside members against slices of
+   all, streamed, of which only links come out.
+
+So a large group of near copies costs about one comparison a member, no pairs
+within a group are listed, and still no link between components is lost.
 
 Cases: a null or wordless text has no set and is linked with nothing; a text of
 fewer words than a shingle has its whole sequence as one; repeated rows and rows
@@ -32,14 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import own_columns, pieces, prepare, ragged, remote
+from tidemark.llm.common import own_columns, partitions, pieces, prepare, ragged, remote
 from tidemark.llm.graph import components
 from tidemark.llm.shingles import distinct_shingles, mix
 from tidemark.session import materialize
 
 BANDS = 25
 ROWS = 4
-SMALL = 8
+
+#: Outside members compared at once with the members that stream by, and how
+#: many of those a task sees of one bucket.
+BLOCK = 256
+SLICE = 8192
 
 #: A pair whose kept minima agree in a smaller share than the threshold less this
 #: is not confirmed; over 100 minima that is more than five standard deviations.
@@ -154,111 +160,175 @@ def _confirmed(batches, percent: int):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-class _Linker:
-    """Confirms candidate pairs of classes against the documents' full sets."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All members of the sets of a column in a row, and each set's size."""
+    parts = [np.frombuffer(own.as_buffer(), "<u8") for own in column]
+    return np.concatenate(parts), np.array([len(part) for part in parts])
+
+
+class _Block:
+    """Outside members of a bucket, with an index from shingles to them."""
+
+    def __init__(self, rows: pa.RecordBatch) -> None:
+        self.classes, self.roots = rows.column("class").to_pylist(), rows.column("root").to_pylist()
+        flat, self.sizes = _flat(rows.column("set"))
+        order = np.argsort(flat, kind="stable")
+        self.owners = np.repeat(np.arange(len(self.sizes)), self.sizes)[order]
+        self.words, first = np.unique(flat[order], return_index=True)
+        self.ends = np.append(first, len(flat))
+        self.done: set[tuple[int, bytes]] = set()
+
+    def links(self, rows: pa.RecordBatch, percent: int):
+        """Links between the block and other rows, one for each component met."""
+        n = len(self.sizes)
+        for begin, stop in pieces([len(own.as_buffer()) for own in rows.column("set")], 1 << 17):
+            part = rows.slice(begin, stop - begin)
+            flat, sizes = _flat(part.column("set"))
+            place = np.minimum(np.searchsorted(self.words, flat), len(self.words) - 1)
+            met = np.flatnonzero(self.words[place] == flat)
+            row, place = np.repeat(np.arange(len(sizes)), sizes)[met], place[met]
+            lengths = self.ends[place + 1] - self.ends[place]
+            before = np.cumsum(lengths) - lengths
+            owner = self.owners[np.repeat(self.ends[place] - before, lengths) + np.arange(int(lengths.sum()))]
+            common = np.bincount(np.repeat(row, lengths) * n + owner, minlength=n * len(sizes)).reshape(-1, n)
+            close = 100 * common >= percent * (sizes[:, None] + self.sizes[None] - common)
+            classes, roots = part.column("class").to_pylist(), part.column("root").to_pylist()
+            for j, i in np.argwhere(close & (common > 0)).tolist():
+                if roots[j] != self.roots[i] and (i, roots[j]) not in self.done:
+                    self.done.add((i, roots[j]))
+                    yield self.classes[i], classes[j]
+
+
+def _blocked(batches, percent: int):
+    """Links of rows sorted by place (bucket, block, slice), the block's own rows first."""
+    held, now, block = [], None, None
+    for batch in batches:
+        places = list(zip(*(batch.column(name).to_pylist() for name in ("bucket", "block", "slice", "streamed")), strict=True))
+        cuts = [i for i in range(1, len(places)) if places[i] != places[i - 1]]
+        found = []
+        for begin, stop in zip([0, *cuts], [*cuts, len(places)], strict=True):
+            *place, streamed = places[begin]
+            rows = batch.slice(begin, stop - begin)
+            if place != now:
+                held, now, block = [], place, None
+            if not streamed:
+                held.append(rows)
+                continue
+            if block is None:
+                block = _Block(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            found += block.links(rows, percent)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([pair[i] for pair in found], pa.binary()) for i in (0, 1)], ["a", "b"]
+        )
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, percent: int, size: int) -> None:
-        self.docs = own_columns(docs, doc_id="long", text="string").withColumn("digest", text_digest("text"))
-        self.classes, self.percent, self.size = classes, percent, size
 
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """Of candidate pairs (a, b) of classes those that are links, written."""
-        minima = self.classes.select("class", "minima")
+class _Linker:
+    """Finds links between classes that share a bucket."""
+
+    def __init__(self, docs: DataFrame, shown: DataFrame, percent: int, size: int) -> None:
+        self.percent = percent
+        # Of the documents of a class the one with the least (doc_id, digest) stands for it.
+        classes = materialize(
+            shown.where("class is not null")
+            .groupBy("class")
+            .agg(
+                F.min(F.struct("doc_id", "digest")).alias("first"),
+                F.first("minima").alias("minima"),
+                F.first("bands").alias("bands"),
+            )
+            .select("class", "first.doc_id", "first.digest", "minima", "bands"),
+            "classes",
+        )
+        self.minima = classes.select("class", "minima")
+        members = classes.select(F.explode("bands").alias("bucket"), "class")
+        shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        members = materialize(members.join(shared, "bucket"), "members")
+        weights = members.groupBy("class").agg(F.sum("n").alias("weight"))
+        self.members = materialize(members.select("bucket", "class").join(weights, "class"), "members")
+        # The full sets of classes that share a bucket with others, from one document each.
+        asked = classes.select("class", "doc_id", "digest").join(weights, "class", "left_semi")
+        own = own_columns(docs, doc_id="long", text="string").withColumn("digest", text_digest("text"))
+        self.sets = materialize(
+            own.join(asked, own["doc_id"].eqNullSafe(asked["doc_id"]) & (own["digest"] == asked["digest"]))
+            .select(asked["class"], own["text"])
+            .dropDuplicates(["class"])
+            .mapInArrow(remote(_sets, size), "class binary, set binary"),
+            "sets",
+        )
+
+    def star(self, members: DataFrame) -> DataFrame:
+        """Links of members (bucket, class, weight, others: compared with) to their bucket's center."""
+        centers = members.where("center").groupBy("bucket").agg(F.max(F.struct("weight", "class")).alias("top"))
+        pairs = members.join(centers.select("bucket", F.col("top.class").alias("b")), "bucket").where("class <> b")
         likely = materialize(
-            pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            pairs.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
             .distinct()
-            .join(minima.toDF("a", "minima_a"), "a")
-            .join(minima.toDF("b", "minima_b"), "b")
+            .join(self.minima.toDF("a", "minima_a"), "a")
+            .join(self.minima.toDF("b", "minima_b"), "b")
             .mapInArrow(remote(_likely, self.percent / 100 - MARGIN), "a binary, b binary"),
             "likely",
         )
-        # One document stands for each class that is still in question.
-        asked = likely.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        shown = self.classes.join(asked, "class", "left_semi").select("class", "doc_id", "digest")
-        sets = materialize(
-            self.docs.join(
-                shown, self.docs["doc_id"].eqNullSafe(shown["doc_id"]) & (self.docs["digest"] == shown["digest"])
-            )
-            .select(shown["class"], self.docs["text"])
-            .dropDuplicates(["class"])
-            .mapInArrow(remote(_sets, self.size), "class binary, set binary"),
-            "sets",
-        )
         return materialize(
-            likely.join(sets.toDF("a", "set_a"), "a")
-            .join(sets.toDF("b", "set_b"), "b")
+            likely.join(self.sets.toDF("a", "set_a"), "a")
+            .join(self.sets.toDF("b", "set_b"), "b")
             .mapInArrow(remote(_confirmed, self.percent), "a binary, b binary"),
             "links",
         )
 
+    def open(self, found: DataFrame) -> DataFrame:
+        """Members of buckets with several components; center: outside the largest of them."""
+        rooted = self.members.join(found.toDF("class", "root"), "class", "left").withColumn(
+            "root", F.coalesce("root", "class")
+        )
+        main = (
+            rooted.groupBy("bucket", "root")
+            .agg(F.count("*").alias("n"))
+            .groupBy("bucket")
+            .agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("n"))
+            .where("roots > 1")
+            .select("bucket", "n", F.col("main.n").alias("inside"), F.col("main.root").alias("main"))
+        )
+        return materialize(
+            rooted.join(main, "bucket").select(
+                "bucket", "class", "weight", "root", "n", (F.col("n") - F.col("inside")).alias("outside"),
+                (F.col("root") != F.col("main")).alias("center"),
+            ),
+            "open",
+        )
 
-def link(docs: DataFrame, shown: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
-    """node and root for all classes that have a link; ``shown`` are the written prints."""
-    # Of the documents of a class the one with the least (doc_id, digest) stands for it.
-    classes = materialize(
-        shown.where("class is not null")
-        .groupBy("class")
-        .agg(
-            F.min(F.struct("doc_id", "digest")).alias("first"),
-            F.first("minima").alias("minima"),
-            F.first("bands").alias("bands"),
+    def blocks(self, open_: DataFrame) -> DataFrame:
+        """Links of outside members to all members of their bucket, by blocks and slices."""
+        blocks = F.ceil(F.col("outside") / BLOCK).cast("int")
+        slices = F.ceil(F.col("n") / SLICE).cast("int")
+        lot = F.xxhash64("class")
+        columns = ("bucket", "block", "slice", "streamed", "class", "root")
+        own = open_.where("center").select(
+            "bucket", F.pmod(lot, blocks).cast("int").alias("block"),
+            F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"),
+            F.lit(False).alias("streamed"), "class", "root",
         )
-        .select("class", "first.doc_id", "first.digest", "minima", "bands"),
-        "classes",
-    )
-    linker = _Linker(docs, classes, percent, size)
-    members = classes.select(F.explode("bands").alias("bucket"), F.col("class").alias("a"))
-    buckets = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("a").alias("least")).where("n > 1")
-    members = materialize(members.join(buckets, "bucket"), "members")
-
-    small = members.where(F.col("n") <= SMALL)
-    large = members.where(F.col("n") > SMALL).select("bucket", "a", "least")
-    pairs = (
-        small.select("bucket", "a")
-        .join(small.select("bucket", F.col("a").alias("b")), "bucket")
-        .where("a < b")
-        .select("a", "b")
-        .union(large.where("a <> least").select("a", F.col("least").alias("b")))
-    )
-    links = linker.confirm(pairs)
-    found = components(links)
-    few = SMALL
-    while True:
-        open_ = materialize(_open(large, found), "open")
-        if open_.isEmpty():
-            return found
-        outside = open_.where("not main")
-        counts = outside.groupBy("bucket").agg(F.count("*").alias("outside"), F.min("a").alias("pivot"))
-        # Few outside: each against all of other components. Many: their least one first.
-        asking = (
-            outside.join(counts, "bucket")
-            .where((F.col("outside") <= few) | (F.col("a") == F.col("pivot")))
-            .select("bucket", "a", "root", (F.col("outside") <= few).alias("last"))
+        passing = open_.select(
+            "bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+            F.pmod(lot, slices).cast("int").alias("slice"), F.lit(True).alias("streamed"), "class", "root",
         )
-        pairs = asking.join(open_.select("bucket", F.col("a").alias("b"), F.col("root").alias("other")), "bucket")
-        links = links.union(linker.confirm(pairs.where("root <> other").select("a", "b")))
-        found = components(links)
-        large = materialize(
-            large.join(open_.select("bucket").distinct(), "bucket", "left_semi")
-            .join(asking.where("last").select("bucket").distinct(), "bucket", "left_anti")
-            .join(asking.where("not last").select("bucket", "a"), ["bucket", "a"], "left_anti"),
-            "members",
+        return materialize(
+            own.select(*columns)
+            .union(passing.select(*columns))
+            .join(self.sets, "class")
+            .repartition(partitions(open_.sparkSession), "bucket", "block", "slice")
+            .sortWithinPartitions("bucket", "block", "slice", "streamed")
+            .mapInArrow(remote(_blocked, self.percent), "a binary, b binary"),
+            "links",
         )
-        few *= 4
-
-
-def _open(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components; main: in the bucket's largest one."""
-    rooted = members.select("bucket", "a").join(found.toDF("a", "root"), "a", "left")
-    rooted = rooted.select("bucket", "a", F.coalesce("root", "a").alias("root"))
-    sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = (
-        sizes.groupBy("bucket")
-        .agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
-        .where("roots > 1")
-        .select("bucket", F.col("main.root").alias("main"))
-    )
-    return rooted.join(main, "bucket").select("bucket", "a", "root", (F.col("root") == F.col("main")).alias("main"))
+
+
+def link(docs: DataFrame, shown: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """node and root for all classes that have a link; ``shown`` are the written prints."""
+    linker = _Linker(docs, shown, percent, size)
+    links = linker.star(linker.members.withColumn("center", F.lit(True)))
+    links = links.union(linker.star(linker.open(components(links))))
+    links = links.union(linker.blocks(linker.open(components(links))))
+    return components(links)
 
 
 def _rooted(docs: DataFrame, percent: int, size: int) -> DataFrame:
