@@ -89,7 +89,7 @@ robot AS (
   SELECT TIMESTAMP '2026-01-01' + to_microseconds(vec_id * 20000) AS "timestamp",
     {_mask("'serial-' || (vec_id % 8)")} AS robot_id,
     {_pick(('Figure-01', 'Optimus-Gen2', 'Atlas-Next', 'Apollo-1'), 'label')} AS robot_model_id,
-    embedding[1:7] AS joint_positions,
+    embedding AS joint_positions,
     'frames/' || lpad(vec_id::VARCHAR, 9, '0') || '.jpg' AS camera_frame_uri,
     CASE WHEN vec_id % 5 <> 0 THEN 'NO_FAILURE' ELSE
       {_pick(('GRASP_FAIL', 'OVER_TORQUE', 'VISION_OCCLUSION', 'PATH_PLAN_TIMEOUT', 'MOTOR_OVERHEAT'), 'label')}
@@ -258,7 +258,7 @@ tagged AS (
   FROM scored)"""
 LIVE = f"""
 WITH {SCORED}
-SELECT 'inf-' || substr(sha256('policy_v1|ep-' || vec_id || '|{BATCH_US}'), 1, 16) AS inference_id,
+SELECT 'inf-' || substr(sha256('policy_v1|ep-' || vec_id || '|{BATCH_US}'), 1, 32) AS inference_id,
   'ep-' || vec_id AS episode_id, label::VARCHAR AS robot_model_id, 'policy_v1' AS model_version,
   {BATCH_US}::BIGINT AS ts_us, round(confidence, 9) AS policy_confidence, is_failure,
   tag AS failure_type_tag, 'simulation' AS deployment_env
@@ -401,7 +401,7 @@ def oracle() -> dict[str, str]:
         "drop_nulls_in_signal": f"WITH {HRV} SELECT * FROM hrv WHERE hrv BETWEEN 5 AND 200",
         "signal_downsample": f"WITH {COUNT_FRAMES} SELECT * FROM framed",
         "signal_downsample_max": """WITH placed AS (
-              SELECT label AS model, list_max(embedding[1:7])::DOUBLE AS peak,
+              SELECT label AS model, list_max(embedding)::DOUBLE AS peak,
                 (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) // 17 AS frame
               FROM embeddings)
             SELECT model, frame, 'ROBOTICS' AS profile, 'peak_torque_nm' AS label,

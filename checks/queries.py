@@ -29,7 +29,7 @@ from tidemark.profiles import (
     ROBOTICS,
     Profile,
 )
-from tidemark.session import scratch_path, spread
+from tidemark.session import scratch_path
 from tidemark.sources import star_tables
 from tidemark.sources.alignment import align_to_schema as align
 from tidemark.sources.lakehouse import Lakehouse
@@ -408,7 +408,7 @@ def signal_downsample(spark, folder):
 def signal_downsample_max(spark, folder):
     """Peak joint position per robot model."""
     df = _table(spark, folder, "embeddings").select(
-        F.col("label").alias("model"), "vec_id", F.array_max(F.slice("embedding", 1, 7)).alias("peak")
+        F.col("label").alias("model"), "vec_id", F.array_max("embedding").alias("peak")
     )
     label, mode = ROBOTICS.metric
     return frames.signal_downsample(df, "peak", "model", ["vec_id"], mode, ROBOTICS.name, label)
@@ -517,23 +517,23 @@ def stream_bronze_ingest(spark, folder):
 @query
 def extract_terms(spark, folder):
     """Terms in whole documents and conversation turns."""
-    documents = spread(_table(spark, folder, "documents"), "doc_id").select(
+    documents = _table(spark, folder, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("source_id"), "text"
     )
-    turns = spread(_table(spark, folder, "conversations"), "conv_id").select(
+    turns = _table(spark, folder, "conversations").select(
         F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("source_id"), "text"
     )
     found = documents.unionByName(turns).withColumn("filters", terms(F.col("text"), WORDS))
     return found.select("source_id", *[F.col("filters")[f].alias(f) for f in WORDS])
 
 
-def _spread_accounts(spark, folder):
-    raw = spread(star_tables.subscription_events_raw(spark, folder), "customer_id_hashed")
+def _raw_accounts(spark, folder):
+    raw = star_tables.subscription_events_raw(spark, folder)
     return governance.mask_sensitive(raw, COMMERCIAL, _key(spark))
 
 
 def _chunks(spark, folder):
-    return retrieval.build_chunks(_spread_accounts(spark, folder), COMMERCIAL)
+    return retrieval.build_chunks(_raw_accounts(spark, folder), COMMERCIAL)
 
 
 @query
@@ -567,7 +567,7 @@ def limit_rows(spark, folder):
 @query
 def embed_text(spark, folder):
     """The non-zero components of the word vectors of whole documents."""
-    documents = spread(_table(spark, folder, "documents"), "doc_id").select("doc_id", "text")
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
     vectors = retrieval.embed_text(documents, hashed_words(64))
     return (
         vectors.select("doc_id", F.posexplode("embedding").alias("place", "v"))
@@ -628,7 +628,7 @@ def _answers_flat(answers: DataFrame) -> DataFrame:
 
 @query
 def retrieve(spark, folder):
-    bronze = _spread_accounts(spark, folder)
+    bronze = _raw_accounts(spark, folder)
     embedder = hashed_words()
     index = retrieval.embed_text(retrieval.build_chunks(bronze, COMMERCIAL), embedder)
     answers = retrieval.retrieve(
@@ -642,7 +642,7 @@ def retrieve(spark, folder):
 def ask(spark, folder):
     """The same answers through a stored Bronze table and index."""
     lake = _lake(spark, COMMERCIAL)
-    raw = spread(star_tables.subscription_events_raw(spark, folder), "customer_id_hashed")
+    raw = star_tables.subscription_events_raw(spark, folder)
     medallion.ingest(lake, raw, CHECK_SALT)
     assistant.build_index(lake)
     return _answers_flat(assistant.ask(lake, _questions(spark, folder)))
@@ -652,7 +652,7 @@ def ask(spark, folder):
 @query
 def digest_embedding(spark, folder):
     """Digest vectors of whole documents, one row per component."""
-    vectors = spread(_table(spark, folder, "documents"), "doc_id").select(
+    vectors = _table(spark, folder, "documents").select(
         "doc_id", digest(F.col("text")).alias("vector")
     )
     return vectors.select("doc_id", F.posexplode("vector").alias("place", "v")).select(

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from tidemark.operators import costs
 from tidemark.sources.run_results import parse_run_results, read_run_results
 
@@ -44,8 +46,17 @@ def test_cost_uses_unrounded_seconds_and_stable_order(spark):
 
 
 def test_parse_documents_in_a_column(spark):
-    df = spark.createDataFrame([("k", json.dumps(RUN)), ("bad", "{")], "data_product string, doc string")
+    df = spark.createDataFrame([("k", json.dumps(RUN))], "data_product string, doc string")
     out = parse_run_results(df, "doc").collect()
     assert [(r.data_product, r.position, r.unique_id) for r in out] == [
         ("k", 0, "model.a"), ("k", 1, "model.b"), ("k", 2, None),
     ]
+
+
+def test_cut_off_documents_fail(spark, tmp_path):
+    df = spark.createDataFrame([("k", json.dumps(RUN)), ("bad", "{")], "data_product string, doc string")
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        parse_run_results(df, "doc").collect()
+    (tmp_path / "run.json").write_text(json.dumps(RUN)[:-4])
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        read_run_results(spark, str(tmp_path), "p").collect()

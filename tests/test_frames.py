@@ -148,3 +148,12 @@ def test_signal_comes_from_the_best_tier(spark, lake, salt):
     assert found() == want
     assert signals.load_signal(house)[0].columns[4] == "peak_joint_pos"
     assert signals.load_signal(lake(HEALTH_TECH)) is None
+
+
+def test_history_keeps_the_stream_without_a_name(spark):
+    rows = [(s, i, float(i), "idle" if i == 3 else "streaming") for s in ("a", None) for i in range(5)]
+    df = spark.createDataFrame(rows, "stream string, frame long, metric_value double, status string")
+    rolled = frames.frame_history(df, "stream", length=3, chunk=4)
+    assert rolled.count() == 10 and rolled.where("hardware_status <> 'AUTONOMOUS'").count() == 4
+    latest = {r.stream: list(r.history) for r in frames.latest_history(df, "stream", 3).collect()}
+    assert latest == {"a": [2.0, 3.0, 4.0], None: [2.0, 3.0, 4.0]}

@@ -149,18 +149,13 @@ def test_retrieve(spark):
     assert '"it\'s FREE"' in out["d"].answer
 
 
-def test_matching_rows_beyond_the_broadcast_bound(spark, monkeypatch):
+def test_matching_rows_of_several_scopes(spark):
     df = _accounts(spark)
     scopes = spark.createDataFrame([("PRO\x1fEU",), ("*\x1f*",)], "scope string")
 
-    def found():
-        out = retrieval.matching_rows(df, COMMERCIAL, scopes, ["timestamp"], 5).collect()
-        return {r.scope: [x.tenure_months for x in r.rows] for r in out}
-
-    want = found()
-    assert want["*\x1f*"] == [0, 1, 2, 3, 4]
-    monkeypatch.setattr(retrieval, "BROADCAST_SCOPES", 1)
-    assert found() == want
+    out = retrieval.matching_rows(df, COMMERCIAL, scopes, ["timestamp"], 5).collect()
+    found = {r.scope: [x.tenure_months for x in r.rows] for r in out}
+    assert found["*\x1f*"] == [0, 1, 2, 3, 4] and set(found) == {"PRO\x1fEU", "*\x1f*"}
 
 
 def test_index_grows_only_by_new_chunks_and_guards_its_model(spark, lake, salt):
@@ -169,7 +164,7 @@ def test_index_grows_only_by_new_chunks_and_guards_its_model(spark, lake, salt):
     assert assistant.build_index(house) == 10
     assert assistant.build_index(house) == 0
     medallion.ingest(house, _accounts(spark, 14), salt)
-    assert assistant.build_index(house) == 4
+    assert assistant.build_index(house) == 14  # rows ingested again are rows of their own
     other = Embedder("other", hashed_words().embed)
     with pytest.raises(assistant.ModelMismatchError):
         assistant.build_index(house, other)
@@ -184,3 +179,18 @@ def test_end_to_end(spark, lake, salt):
     assert report.ingested == 30 and report.indexed == 30
     assert report.published["gold.gold_account_health"] == 3
     assert report.answers.count() == 4
+
+
+def test_equal_rows_are_chunks_of_their_own(spark, lake, salt):
+    from tidemark.plans import assistant
+
+    house = lake(COMMERCIAL)
+    questions = spark.createDataFrame([("q", "PRO accounts in EU")], "question_id string, question string")
+    before = assistant.ask(house, questions).first()
+    assert before.matched_ids == [] and before.rows == []
+    one = _accounts(spark, 3)
+    rows = one.union(one)
+    ids = [r.id for r in retrieval.build_chunks(rows, COMMERCIAL).collect()]
+    assert len(set(ids)) == 6 and sum(i.endswith("-2") for i in ids) == 3
+    house.append_product("bronze", COMMERCIAL.bronze_table, rows, COMMERCIAL.schema)
+    assert assistant.build_index(house) == 6 and assistant.build_index(house) == 0

@@ -146,9 +146,59 @@ def test_scores_are_appended_once_per_batch(spark, lake, tmp_path):
     append_scores(house, events, str(tmp_path / "cp"), "feed", once=True).awaitTermination()
     live = house.read_product("bronze", flywheel.LIVE_TABLE)
     assert live.count() == 3 and live.select("inference_id").distinct().count() == 3
-    # the same feed replayed: batches 0 to 2 are marked as done
-    append_scores(house, events, str(tmp_path / "cp2"), "feed", once=True).awaitTermination()
+    # the same checkpoint again: nothing new
+    append_scores(house, events, str(tmp_path / "cp"), "feed", once=True).awaitTermination()
     assert house.read_product("bronze", flywheel.LIVE_TABLE).count() == 3
-    # another feed with a checkpoint of its own is appended
-    append_scores(house, events, str(tmp_path / "cp3"), once=True).awaitTermination()
-    assert house.read_product("bronze", flywheel.LIVE_TABLE).count() == 6
+    # a renewed checkpoint begins at batch 0 again; other files under the same feed all arrive
+    (tmp_path / "more").mkdir()
+    for i in range(3, 6):
+        pd.DataFrame({"episode_id": [f"e{i}"], "vla_feature_vector": [[0.1 * i, -0.2]]}).to_parquet(
+            tmp_path / "more" / f"{i}.parquet", index=False
+        )
+    later = (
+        spark.readStream.schema("episode_id string, vla_feature_vector array<double>, robot_model_id string")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(str(tmp_path / "more"))
+    )
+    renewed = flywheel.live_events(later, "m1", "lab", 5)
+    append_scores(house, renewed, str(tmp_path / "cp2"), "feed", once=True).awaitTermination()
+    live = house.read_product("bronze", flywheel.LIVE_TABLE)
+    assert live.count() == 6 and live.select("inference_id").distinct().count() == 6
+
+
+def test_a_batch_that_broke_off_is_completed(spark, lake, tmp_path):
+    """Killed between append and mark: the replayed batch adds only what is missing."""
+    house = lake(ROBOTICS)
+    (tmp_path / "in").mkdir()
+    pd.DataFrame({"episode_id": ["a", "b"], "vla_feature_vector": [[0.1], [0.2]]}).to_parquet(
+        tmp_path / "in" / "0.parquet", index=False
+    )
+    episodes = spark.readStream.schema(
+        "episode_id string, vla_feature_vector array<double>, robot_model_id string"
+    ).parquet(str(tmp_path / "in"))
+    events = flywheel.live_events(episodes, "m1", "lab", 5)
+    mark, failed = house.set_table_property, []
+
+    def breaking(tier, table, key, value):
+        if key.endswith(".done") and not failed:
+            failed.append(key)
+            raise RuntimeError("killed")
+        mark(tier, table, key, value)
+
+    house.set_table_property = breaking
+    with pytest.raises(Exception, match="killed"):
+        append_scores(house, events, str(tmp_path / "cp"), once=True).awaitTermination()
+    append_scores(house, events, str(tmp_path / "cp"), once=True).awaitTermination()
+    live = house.read_product("bronze", flywheel.LIVE_TABLE)
+    assert failed and sorted(r.episode_id for r in live.collect()) == ["a", "b"]
+
+
+def test_a_feed_refuses_a_table_with_rows(spark, lake, salt, tmp_path):
+    house = lake(CLINICAL)
+    rows = spark.createDataFrame([("PAT-1", "ONC-204")], "patient_id_hashed string, study_id string")
+    house.append_product("bronze", "ecrf_observations", rows, CLINICAL.schema)
+    (tmp_path / "in").mkdir()
+    raw = spark.readStream.schema("patient_id_hashed string, study_id string").parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="hide"):
+        stream_bronze_ingest(house, raw, str(tmp_path / "cp"), salt, table="ecrf_observations", once=True)
+    assert house.read_product("bronze", "ecrf_observations").count() == 1

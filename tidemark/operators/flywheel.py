@@ -139,7 +139,7 @@ def live_events(
     )
     scored = score_episodes(episodes)
     return scored.select(
-        F.concat(F.lit("inf-"), F.substring(digest, 1, 16)).alias("inference_id"),
+        F.concat(F.lit("inf-"), F.substring(digest, 1, 32)).alias("inference_id"),
         "episode_id",
         "robot_model_id",
         F.lit(model_version).alias("model_version"),

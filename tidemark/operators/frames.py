@@ -169,6 +169,12 @@ def idle_frames(
     )
 
 
+def _beside(frames: DataFrame, facts: DataFrame, stream: str) -> DataFrame:
+    """Frames with the one row of facts of their stream; null is a stream too."""
+    facts = facts.withColumnRenamed(stream, "_stream")
+    return frames.join(facts, frames[stream].eqNullSafe(facts["_stream"])).drop("_stream")
+
+
 # --- history ------------------------------------------------------------------
 def frame_history(
     frames: DataFrame,
@@ -205,7 +211,7 @@ def frame_history(
     )
     state = F.when(F.col("frame") >= F.col("_first_idle"), ALERT_PENDING).otherwise(AUTONOMOUS)
     return (
-        rolled.join(first_idle, stream)
+        _beside(rolled, first_idle, stream)
         .withColumn("hardware_status", state)
         .drop("_chunk", "_first_idle")
     )
@@ -222,7 +228,7 @@ def latest_history(frames: DataFrame, stream: str, length: int = HISTORY_LENGTH)
         F.max(F.col("status") == IDLE).alias("_alert"),
     )
     tail = (
-        frames.join(newest, stream)
+        _beside(frames, newest, stream)
         .filter(F.col("frame") > F.col("latest_frame") - F.lit(length))
         .groupBy(stream, "latest_frame", "_alert")
         .agg(F.sort_array(F.collect_list(F.struct("frame", "metric_value"))).alias("_points"))

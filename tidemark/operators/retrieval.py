@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import product
-from math import prod
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +21,6 @@ NO_FILTER = "no specific filter"
 BRIEF = "Profile '{profile}' brief for: {question}\n  Applied filter: {scope}\n  Retrieved {count} matching record(s) from the lakehouse."
 # ------------------------------------------------------------------------------
 
-#: Most filter combinations broadcast; a few hundred bytes each at the utmost.
-BROADCAST_SCOPES = 10_000
 _ANY = "*"
 _MERGE_GROUPS = 64
 
@@ -38,7 +35,7 @@ def chunk_text(profile: Profile) -> Column:
     return F.concat(F.lit(f"[{profile.name}] "), F.concat_ws(", ", *pairs))
 
 
-def chunk_id(profile: Profile, content: Column) -> Column:
+def content_id(profile: Profile, content: Column) -> Column:
     """Id from the row's content: stable however rows are ordered or re-read."""
     micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
     stamp = F.coalesce(micros.cast("string"), F.lit("None"))
@@ -47,8 +44,18 @@ def chunk_id(profile: Profile, content: Column) -> Column:
 
 
 def with_chunk_id(bronze: DataFrame, profile: Profile) -> DataFrame:
-    """Bronze rows with the id of their chunk in front."""
-    return bronze.select(chunk_id(profile, chunk_text(profile)).alias("id"), *bronze.columns)
+    """Bronze rows with the id of their chunk in front.
+
+    Equal rows are chunks of their own: the second one's id ends in ``-2``, and so
+    on. Which of them gets which number does not matter, as they are equal.
+    """
+    base = content_id(profile, chunk_text(profile))
+    number = F.row_number().over(Window.partitionBy("_base").orderBy("_base"))
+    numbered = bronze.withColumn("_base", base).withColumn("_number", number)
+    again = F.when(F.col("_number") > 1, F.concat(F.lit("-"), F.col("_number").cast("string")))
+    return numbered.select(
+        F.concat(F.col("_base"), F.coalesce(again, F.lit(""))).alias("id"), *bronze.columns
+    )
 
 
 def build_chunks(bronze: DataFrame, profile: Profile) -> DataFrame:
@@ -64,9 +71,9 @@ def build_chunks(bronze: DataFrame, profile: Profile) -> DataFrame:
         F.struct(F.lit("profile").alias("key"), F.lit(profile.name).alias("value")),
     )
     known = F.filter(entries, lambda e: e["value"].isNotNull())
-    given = "id" in bronze.columns
-    return bronze.withColumn("text", chunk_text(profile)).select(
-        F.col("id") if given else chunk_id(profile, F.col("text")).alias("id"),
+    numbered = bronze if "id" in bronze.columns else with_chunk_id(bronze, profile)
+    return numbered.withColumn("text", chunk_text(profile)).select(
+        "id",
         "text",
         F.map_from_entries(known).alias("metadata"),
     )
@@ -137,9 +144,8 @@ def matching_rows(
     """First ``n`` rows of every asked filter combination, as one array per scope.
 
     A row belongs to at most two to the number of fields combinations: each field
-    either at its own value or unfiltered. How many scopes can be asked follows
-    from the vocabulary; if few, they are broadcast and sort out rows before
-    anything else, if many, the partial top-n comes first and the join after.
+    either at its own value or unfiltered. Rows of scopes that nobody asks for go
+    first; Spark chooses how to join from the size of the asked ones.
     """
     fields = list(profile.vocabulary)
     masks = F.array(
@@ -153,11 +159,7 @@ def matching_rows(
         F.struct(*order, *[c for c in bronze.columns if c not in order]).alias("row"),
     )
     asked = scopes.select("scope").distinct()
-    possible = prod(len(terms) + 1 for terms in profile.vocabulary.values())
-    if possible <= BROADCAST_SCOPES:
-        best = _top_per_scope(rows.join(F.broadcast(asked), "scope", "left_semi"), n)
-    else:
-        best = _top_per_scope(rows, n).join(asked, "scope", "left_semi")
+    best = _top_per_scope(rows.join(asked, "scope", "left_semi"), n)
     return best.groupBy("scope").agg(F.sort_array(F.collect_list("row")).alias("rows"))
 
 

@@ -31,25 +31,25 @@ def assert_same_model(lake: Lakehouse, embedder: Embedder) -> None:
 def build_index(lake: Lakehouse, embedder: Embedder | None = None) -> int:
     """Add the chunks of Bronze that the index lacks; returns rows added.
 
-    Ids come from the content, so a chunk with a known id is the same chunk:
-    only new ones are embedded and appended, and the index is never rewritten.
-    Repeated and known rows are sorted out as rows, before their text is made:
-    one shuffle by id serves both steps and carries the narrow columns only.
+    Ids come from the content, equal rows being numbered, so a chunk with a known
+    id is the same chunk: only new ones are embedded and appended, and the index
+    is never rewritten. Known rows are sorted out before their text is made.
+    The index names its model before it holds anything, so a run that breaks off
+    cannot leave chunks that another model would be mixed with.
     """
     embedder = embedder or hashed_words()
     assert_same_model(lake, embedder)
     profile = lake.profile
     bronze = lake.read_product("bronze", profile.bronze_table)
-    fresh = retrieval.with_chunk_id(bronze, profile).dropDuplicates(["id"])
+    fresh = retrieval.with_chunk_id(bronze, profile)
     if lake.exists(INDEX_TIER, profile.index_name):
         known = lake.read_product(INDEX_TIER, profile.index_name).select("id")
         fresh = fresh.join(known, "id", "left_anti")
-    chunks = retrieval.build_chunks(fresh, profile)
-    added = lake.append_product(
-        INDEX_TIER, profile.index_name, retrieval.embed_text(chunks, embedder)
-    )
+    chunks = retrieval.embed_text(retrieval.build_chunks(fresh, profile), embedder)
+    if not lake.exists(INDEX_TIER, profile.index_name):
+        lake.append_product(INDEX_TIER, profile.index_name, lake.spark.createDataFrame([], chunks.schema))
     lake.set_table_property(INDEX_TIER, profile.index_name, MODEL_PROPERTY, embedder.name)
-    return added
+    return lake.append_product(INDEX_TIER, profile.index_name, chunks)
 
 
 def ask(
@@ -58,14 +58,24 @@ def ask(
     embedder: Embedder | None = None,
     k: int = retrieval.NEAREST,
 ) -> DataFrame:
-    """Answer questions (question_id, question) from index and Bronze."""
+    """Answer questions (question_id, question) from index and Bronze.
+
+    Where either does not exist yet, nothing is found.
+    """
     embedder = embedder or hashed_words()
     assert_same_model(lake, embedder)
     profile = lake.profile
+    nothing = lake.spark.createDataFrame([], profile.schema)
+    known = lake.exists("bronze", profile.bronze_table)
+    bronze = lake.read_product("bronze", profile.bronze_table) if known else nothing
+    if lake.exists(INDEX_TIER, profile.index_name):
+        index = lake.read_product(INDEX_TIER, profile.index_name)
+    else:
+        index = retrieval.embed_text(retrieval.build_chunks(nothing, profile), embedder)
     return retrieval.retrieve(
         questions,
-        lake.read_product(INDEX_TIER, profile.index_name),
-        lake.read_product("bronze", profile.bronze_table),
+        index,
+        bronze,
         profile,
         embedder,
         order=["timestamp", *profile.sensitive],

@@ -95,13 +95,3 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     path = path or scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a relation of fewer files than cores by ``key`` before heavy row work.
-
-    A small table in one file is otherwise read, and all that follows done, by a
-    single task. A relation of many files is left alone: nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df

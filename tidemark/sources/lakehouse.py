@@ -232,8 +232,13 @@ class Lakehouse:
         """Create the table a stream will feed, and mark it as such.
 
         The file sink tracks its own files, so files appended by other writers
-        would not be seen; the mark makes :meth:`append_product` refuse.
+        would not be seen; the mark makes :meth:`append_product` refuse. For the
+        same reason a table that already holds rows of others is refused here.
         """
         if not self.exists(tier, table):
             self._create(tier, table, schema, self._new_location(tier, table))
+        elif not self.table_property(tier, table, _STREAM_FED) and not self.read_product(tier, table).isEmpty():
+            raise ValueError(
+                f"{self.identifier(tier, table)} holds rows a stream's table would hide; feed another table"
+            )
         self.set_table_property(tier, table, _STREAM_FED, "true")

@@ -24,8 +24,12 @@ def explode_results(runs: DataFrame, results: Column) -> DataFrame:
 
 
 def parse_run_results(runs: DataFrame, document: str) -> DataFrame:
-    """Results of JSON documents held in a column; other columns are kept."""
-    parsed = runs.withColumn("_doc", F.from_json(document, ARTIFACT)).drop(document)
+    """Results of JSON documents held in a column; other columns are kept.
+
+    A malformed or cut-off document fails the query rather than vanish from it.
+    """
+    whole = F.from_json(document, ARTIFACT, {"mode": "FAILFAST"})
+    parsed = runs.withColumn("_doc", whole).drop(document)
     kept = [c for c in parsed.columns if c != "_doc"]
     return explode_results(parsed, F.col("_doc.results")).select(
         *kept, "position", "unique_id", "status", "execution_time"
@@ -38,10 +42,14 @@ def read_run_results(
     """Results of every artifact at ``path``; a missing path gives no rows.
 
     A file holds one document, or one per line, which large files need to be
-    read by several tasks.
+    read by several tasks. A malformed or cut-off document fails the query.
     """
     try:
-        runs = spark.read.schema(ARTIFACT).option("multiLine", not one_per_line).json(path)
+        runs = (
+            spark.read.schema(ARTIFACT)
+            .options(multiLine=not one_per_line, mode="FAILFAST")
+            .json(path)
+        )
         file = F.col("_metadata.file_path")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):

@@ -120,7 +120,7 @@ def robot_signals_raw(spark: SparkSession, folder: str) -> DataFrame:
         .alias("timestamp"),
         F.concat(F.lit("serial-"), (number % 8).cast("string")).alias("robot_id"),
         _pick(ROBOT_MODELS, F.col("label")).alias("robot_model_id"),
-        F.slice("embedding", 1, 7).alias("joint_positions"),
+        F.col("embedding").alias("joint_positions"),
         F.concat(F.lit("frames/"), F.lpad(number.cast("string"), 9, "0"), F.lit(".jpg")).alias(
             "camera_frame_uri"
         ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -44,6 +45,12 @@ def stream_bronze_ingest(
     )
 
 
+def _checkpoint_id(lake: Lakehouse, checkpoint: str) -> str:
+    """The id Spark wrote into a checkpoint when it was made."""
+    text = lake.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
 def append_scores(
     lake: Lakehouse,
     events: DataFrame,
@@ -54,21 +61,31 @@ def append_scores(
 ) -> StreamingQuery:
     """Append a stream of inference events to the live table, batch by batch.
 
-    The last appended batch of a feed (named after its checkpoint unless told
-    otherwise) is kept as a table property, so a batch that Spark replays after a
-    restart is not appended twice. Should the driver fail between append and
-    mark, that one batch repeats; ids then tell.
+    The batches begun and appended are kept as table properties under the feed's
+    name (by default made from the checkpoint's path) and the checkpoint's own
+    id, which Spark makes anew with every new checkpoint. So a batch that Spark
+    replays is not appended twice, and a renewed checkpoint, whose numbers begin
+    at 0 again, skips nothing. If the driver failed between append and mark, the
+    repeated batch leaves out events whose id the table already has.
     """
     name = feed or hashlib.sha256(checkpoint.encode("utf-8")).hexdigest()[:16]
-    mark = f"tidemark.batch.{name}"
 
     def append(batch: DataFrame, number: int) -> None:
-        if lake.exists("bronze", LIVE_TABLE):
-            done = lake.table_property("bronze", LIVE_TABLE, mark)
-            if done is not None and int(done) >= number:
-                return
+        if not lake.exists("bronze", LIVE_TABLE):
+            lake.append_product("bronze", LIVE_TABLE, lake.spark.createDataFrame([], LIVE_SCHEMA))
+        mark = f"tidemark.batch.{name}.{_checkpoint_id(lake, checkpoint)}"
+        done = lake.table_property("bronze", LIVE_TABLE, f"{mark}.done")
+        if done is not None and int(done) >= number:
+            return
+        begun = lake.table_property("bronze", LIVE_TABLE, f"{mark}.begun")
+        if begun is not None and int(begun) == number:
+            # The broken batch was written by another session; look at the files anew.
+            lake.spark.catalog.refreshTable(lake.identifier("bronze", LIVE_TABLE))
+            known = lake.read_product("bronze", LIVE_TABLE).select("inference_id")
+            batch = batch.join(known, "inference_id", "left_anti")
+        lake.set_table_property("bronze", LIVE_TABLE, f"{mark}.begun", str(number))
         lake.append_product("bronze", LIVE_TABLE, batch, LIVE_SCHEMA)
-        lake.set_table_property("bronze", LIVE_TABLE, mark, str(number))
+        lake.set_table_property("bronze", LIVE_TABLE, f"{mark}.done", str(number))
 
     return (
         events.writeStream.option("checkpointLocation", checkpoint)
