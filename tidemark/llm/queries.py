@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,5 +85,85 @@ def registry() -> dict[str, Query]:
     return {query.__name__: query for query in own}
 
 
+#: Words as the operators take them, from a text with A-Z lower-cased.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _escaped(text: str) -> str:
+    tails = "|".join(re.escape(mark[1:]) for mark in sorted(chat.CONTROLS, key=len, reverse=True))
+    return f"regexp_replace({text}, '([<\\[])(\\\\*)({tails})', '\\1\\\\\\2\\3', 'g')"
+
+
+_CHAT = f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum({len(chat.OPEN) + len(chat.CLOSE) + 2} + length(role) + length({_escaped("text")}))::BIGINT AS formatted_chars
+FROM said GROUP BY conv_id"""
+
+_NEARDUP = f"""
+WITH RECURSIVE worded AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN []
+         WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM worded),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 85 * (x.n + y.n - k)),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reached.a, ways.b FROM reached JOIN ways ON reached.b = ways.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least AS component_id, d.doc_id = least AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a, min(b) AS least FROM reached GROUP BY a) r ON r.a = d.doc_id"""
+
+_WARC = """
+WITH own AS (
+  SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS least FROM own GROUP BY ALL)
+SELECT page_id, strlen(html) AS payload_bytes, payload_digest,
+  CASE WHEN strlen(html) >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN strlen(html) >= 100 AND page_id <> least THEN least END AS refers_to
+FROM own JOIN firsts USING (payload_digest)"""
+
+_LEAKS = f"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+docs AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(
+    list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS s
+  FROM items WHERE len(w) > 0),
+places AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w
+  FROM docs CROSS JOIN (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+hits AS MATERIALIZED (
+  SELECT doc_id, i, p.n, item_id FROM places p JOIN windows v ON v.n = p.n
+    AND v.s = array_to_string(p.w[i:i + p.n - 1], ' ')),
+covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
 def oracle() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express; tests/llm has the others."""
+    return {
+        "op2_chat": _CHAT, "op4_neardup": _NEARDUP, "op9_warc": _WARC, "op10_decontamination": _LEAKS,
+    }
