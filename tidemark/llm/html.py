@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import own_columns, pieces, prepare, remote
+from tidemark.llm.common import own_columns, partitions, pieces, prepare, remote
 
 LEAST_IMPORTANCE = 0.3
 LEAST_PAGES = 4
@@ -327,11 +327,24 @@ def _extract(batches):
             )
 
 
+#: A host with this share of all pages is hot; so there are at most its inverse.
+HOT_SHARE = 1e-3
+
+
+def _hot_hosts(hosts: DataFrame) -> DataFrame:
+    """host and parts: into how many parts the pages of each hot host are dealt."""
+    counted = hosts.groupBy("host").agg(F.count("*").alias("n"))
+    share = F.col("n") / F.lit(max(1, hosts.count()))
+    parts = F.ceil(share * 2 * partitions(hosts.sparkSession)).cast("int")
+    return counted.where(share >= HOT_SHARE).select("host", parts.alias("parts"))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
-    A host's unimportant paths are one row, so pages of a hot host may be split
-    over tasks by the adaptive skew join.
+    Pages meet their host's unimportant paths, one row a host. Hot hosts, at most
+    1/HOT_SHARE of them and so broadcast, are dealt in parts by a hash of the page
+    and their row is repeated for each part.
     """
     low = (
         style_tree(pages)
@@ -339,10 +352,16 @@ def extract(pages: DataFrame) -> DataFrame:
         .groupBy("host")
         .agg(F.sort_array(F.collect_list("path")).alias("low"))
     )
-    own = own_columns(pages, page_id="long", url="string", html="string")
+    own = own_columns(pages, page_id="long", url="string", html="string").withColumn("host", host())
+    hot = F.broadcast(_hot_hosts(own.select("host")))
+    parts = F.coalesce("parts", F.lit(1))
+    low = low.join(hot, "host", "left").select(
+        "host", "low", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")
+    )
     return (
-        own.withColumn("host", host())
-        .join(low, "host", "left")
+        own.join(hot, "host", "left")
+        .withColumn("part", F.pmod(F.xxhash64("page_id", "html"), parts).cast("int"))
+        .join(low, ["host", "part"], "left")
         .select("page_id", "url", "html", "low")
         .mapInArrow(remote(_extract), "page_id long, url string, text string, n_chars long")
     )
