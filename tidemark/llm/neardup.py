@@ -214,6 +214,8 @@ def _blocked(batches, percent: int):
             if not streamed:
                 held.append(rows)
                 continue
+            if not held:
+                continue  # by chance no outside member has this block's number
             if block is None:
                 block = _Block(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
             found += block.links(rows, percent)
