@@ -225,18 +225,19 @@ hits AS (
   SELECT question_id, string_agg(id, ',' ORDER BY rank) AS matched_ids, count(*) AS n
   FROM ranked WHERE rank <= 5 GROUP BY 1),
 matches AS (
-  SELECT a.question_id, s.customer_id_hashed, s.monthly_revenue,
+  SELECT a.question_id, s.*,
     row_number() OVER (PARTITION BY a.question_id ORDER BY s."timestamp", s.customer_id_hashed,
       s.plan_tier, s.region, s.monthly_revenue, s.tenure_months, s.churned_flag) AS place
   FROM asked a JOIN subs s
     ON (a.plan_tier IS NULL OR a.plan_tier = s.plan_tier) AND (a.region IS NULL OR a.region = s.region)),
 rows AS (
   SELECT question_id, count(*)::INTEGER AS row_count,
-    arg_min(customer_id_hashed, place) AS first_row_customer,
-    arg_max(monthly_revenue, place)::DOUBLE AS last_row_revenue
+    string_agg(concat_ws('/', epoch_us("timestamp"), customer_id_hashed, plan_tier, region,
+      round(monthly_revenue::DOUBLE * 100)::BIGINT, tenure_months, churned_flag), ',' ORDER BY place)
+      AS matched_rows
   FROM matches WHERE place <= 20 GROUP BY 1)
 SELECT a.question_id, a.plan_tier, a.region, coalesce(h.matched_ids, '') AS matched_ids,
-  coalesce(r.row_count, 0)::INTEGER AS row_count, r.first_row_customer, r.last_row_revenue,
+  coalesce(r.row_count, 0)::INTEGER AS row_count, coalesce(r.matched_rows, '') AS matched_rows,
   'Profile ''COMMERCIAL'' brief for: ''' || a.question || '''' || chr(10) || '  Applied filter: '
   || CASE WHEN a.plan_tier IS NULL AND a.region IS NULL THEN 'no specific filter'
      ELSE concat_ws(', ', 'plan_tier=' || a.plan_tier, 'region=' || a.region) END
@@ -368,7 +369,9 @@ def oracle() -> dict[str, str]:
         "secure_view_null": f"""WITH {SUBS_RAW}
             SELECT * EXCLUDE (customer_id_hashed), {hidden} FROM subs_raw""",
         "row_security_filter": f"""WITH {SUBS_RAW}
-            SELECT * EXCLUDE (customer_id_hashed), {hidden} FROM subs_raw WHERE false""",
+            SELECT 'operations' AS holder, * FROM subs_raw
+            UNION ALL BY NAME
+            SELECT 'admins' AS holder, * EXCLUDE (customer_id_hashed), {hidden} FROM subs_raw""",
         "secure_view_deny": f"WITH {SUBS_RAW} SELECT * EXCLUDE (customer_id_hashed) FROM subs_raw",
         "publish_tiers": f"""WITH {SILVER_ROBOT}
             SELECT 'silver.silver_robot_signals' AS table_name, count(*) AS row_count FROM silver
@@ -386,10 +389,9 @@ def oracle() -> dict[str, str]:
         "test_accepted_values": f"WITH {DIRTY} SELECT {UNKNOWN_FACILITY} AS failing FROM dirty",
         "test_unique": f"WITH {DIRTY} SELECT {REPEATED_KEYS} AS failing",
         "test_no_sensitive_columns": f"""WITH {DIRTY}
-            SELECT 'REGISTER_ID' AS column_name, count("REGISTER_ID") AS leaked_values FROM dirty""",
+            SELECT 'REGISTER_ID' AS column_name WHERE EXISTS (SELECT "REGISTER_ID" FROM dirty)""",
         "check_contract": f"""
-            SELECT column_name, problem, expected, actual,
-              (SELECT count(*) FROM lineitem) AS rows_affected
+            SELECT column_name, problem, expected, actual
             FROM (VALUES {contract_rows}) v(column_name, problem, expected, actual)""",
         "quality_report": f"""WITH {DIRTY}
             SELECT 'not_null:timestamp' AS test, sum(("timestamp" IS NULL)::INT)::BIGINT AS failing FROM dirty

@@ -294,8 +294,18 @@ def secure_view_null(spark, folder):
 
 @query
 def row_security_filter(spark, folder):
-    """Someone in neither group sees no rows."""
-    return governance.secure_view(_accounts(spark, folder), COMMERCIAL, "ML_RESEARCHER", "null")
+    """What each group sees: all, rows without ids, and for anyone else nothing."""
+    holders = {
+        "operations": governance.GROUP_SECURITY_OPERATIONS,
+        "admins": governance.GROUP_GOVERNANCE_ADMINS,
+        "others": "ML_RESEARCHER",
+    }
+    views = [
+        governance.secure_view(_accounts(spark, folder), COMMERCIAL, role, "null")
+        .withColumn("holder", F.lit(holder))
+        for holder, role in holders.items()
+    ]
+    return reduce(DataFrame.unionByName, views)
 
 
 @query
@@ -613,6 +623,20 @@ def _questions(spark, folder):
     )
 
 
+def _row_text(row):
+    """Every value of a row; money in cents, so that no float is printed."""
+    return F.concat_ws(
+        "/",
+        F.unix_micros(row["timestamp"].cast("timestamp")).cast("string"),
+        row["customer_id_hashed"],
+        row["plan_tier"],
+        row["region"],
+        F.round(row["monthly_revenue"].cast("double") * 100).cast("bigint").cast("string"),
+        row["tenure_months"].cast("string"),
+        row["churned_flag"].cast("string"),
+    )
+
+
 def _answers_flat(answers: DataFrame) -> DataFrame:
     return answers.select(
         "question_id",
@@ -620,8 +644,7 @@ def _answers_flat(answers: DataFrame) -> DataFrame:
         F.col("filters")["region"].alias("region"),
         F.array_join("matched_ids", ",").alias("matched_ids"),
         F.size("rows").alias("row_count"),
-        F.get("rows", F.lit(0))["customer_id_hashed"].alias("first_row_customer"),
-        F.get("rows", F.size("rows") - 1)["monthly_revenue"].cast("double").alias("last_row_revenue"),
+        F.array_join(F.transform("rows", _row_text), ",").alias("matched_rows"),
         "answer",
     )
 

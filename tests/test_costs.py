@@ -8,8 +8,8 @@ from tidemark.sources.run_results import parse_run_results, read_run_results
 RUN = {
     "metadata": {"x": 1},
     "results": [
-        {"unique_id": "model.a", "status": "success", "execution_time": 0.5, "other": [1]},
-        {"unique_id": "model.b", "status": "success", "execution_time": 2.0},
+        {"unique_id": "model.a", "status": "success", "execution_time": 1.25, "other": [1]},
+        {"unique_id": "model.b", "status": "success", "execution_time": 7.5},
         {"status": None, "execution_time": None},
     ],
 }
@@ -19,14 +19,14 @@ def test_costs_from_files(spark, tmp_path):
     (tmp_path / "run1.json").write_text(json.dumps(RUN, indent=2))
     (tmp_path / "run2.json").write_text(json.dumps({"results": []}))
     results = read_run_results(spark, str(tmp_path), "CLINICAL")
-    rows = costs.sort_by_cost(costs.cost_attribution(results, 0.1), "file", "position").collect()
+    rows = costs.sort_by_cost(costs.cost_attribution(results, 0.4), "file", "position").collect()
     assert [(r.node, r.status, r.execution_time_s, r.estimated_cost_usd) for r in rows] == [
-        ("model.b", "success", 2.0, 0.2),
-        ("model.a", "success", 0.5, 0.05),
+        ("model.b", "success", 7.5, 3.0),
+        ("model.a", "success", 1.25, 0.5),
         ("?", "?", 0.0, 0.0),
     ]
     assert {r.data_product for r in rows} == {"CLINICAL"}
-    assert costs.total_cost(costs.cost_attribution(results, 0.1)).first()[0] == 0.25
+    assert costs.total_cost(costs.cost_attribution(results, 0.4)).first()[0] == 3.5
 
 
 def test_missing_artifact_gives_no_rows(spark, tmp_path):

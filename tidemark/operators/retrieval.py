@@ -224,7 +224,9 @@ def retrieve(
     found = F.coalesce(F.col("_hits.id"), F.array().cast("array<string>"))
     return (
         asked.join(hits, "question_id", "left")
-        .join(rows, "scope", "left")
+        # At most n rows per combination of vocabulary terms, so "no filter",
+        # the scope of most questions, need not meet in one task.
+        .join(F.broadcast(rows), "scope", "left")
         .select(
             "question_id",
             "question",

@@ -29,8 +29,6 @@ QUERY_BLOCK = 1024
 #: of the last-bit noise of blocked matrix products.
 SCORE_DIGITS = 10
 _CELLS = 2_000_000
-#: Most filter combinations of a block that are tried before the scan.
-_PREFILTERS = 64
 _MERGE_GROUPS = 64
 
 
@@ -240,22 +238,25 @@ def vector_topk(
 def _asked_for(table: pa.Table, fields: list[str]) -> Column | None:
     """Corpus rows that at least one query of the block may match.
 
-    None if some query has no filter, or the block has too many different ones.
+    Queries that filter on the same fields share one clause: each of these
+    fields has a value that one of them asks for. The scan itself tests the
+    combination. None if some query has no filter.
     """
     if not fields or not table.num_rows:
         return None
-    rows = zip(*[table.column(f"term_{f}").to_pylist() for f in fields])
-    combinations = sorted(set(rows), key=str)
-    if len(combinations) > _PREFILTERS or any(all(v is None for v in c) for c in combinations):
-        return None
-    matches = [
-        reduce(
-            lambda a, b: a & b,
-            [F.col(f"field_{f}") == F.lit(v) for f, v in zip(fields, c) if v is not None],
-        )
-        for c in combinations
+    wanted: dict[tuple[str, ...], list[set[str]]] = {}
+    for terms in zip(*[table.column(f"term_{f}").to_pylist() for f in fields]):
+        used = tuple(f for f, v in zip(fields, terms) if v is not None)
+        if not used:
+            return None
+        values = wanted.setdefault(used, [set() for _ in used])
+        for known, value in zip(values, [v for v in terms if v is not None]):
+            known.add(value)
+    clauses = [
+        reduce(lambda a, b: a & b, [F.col(f"field_{f}").isin(sorted(v)) for f, v in zip(used, values)])
+        for used, values in wanted.items()
     ]
-    return reduce(lambda a, b: a | b, matches)
+    return reduce(lambda a, b: a | b, clauses)
 
 
 def _nothing(df: DataFrame, schema: T.StructType) -> DataFrame:
