@@ -417,6 +417,19 @@ def oracle() -> dict[str, str]:
               {ALERT.format('PARTITION BY event_type ORDER BY frame')} AS hardware_status
             FROM hourly
             WINDOW recent AS (PARTITION BY event_type ORDER BY frame ROWS 119 PRECEDING)""",
+        "frame_history_resets": f"""WITH {HOURLY},
+            marked AS (
+              SELECT event_type, frame, status,
+                max(CASE WHEN status = 'idle' THEN frame END) OVER upto AS last_idle,
+                max(CASE WHEN frame % 5 = 2 THEN frame END) OVER before AS last_reset
+              FROM hourly
+              WINDOW upto AS (PARTITION BY event_type ORDER BY frame),
+                before AS (PARTITION BY event_type ORDER BY frame
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+            SELECT event_type, frame, status,
+              CASE WHEN last_idle > coalesce(last_reset, -1) THEN 'ALERT_PENDING' ELSE 'AUTONOMOUS' END
+                AS hardware_status
+            FROM marked""",
         "latest_history": f"""WITH {HOURLY},
             newest AS (SELECT event_type, max(frame) AS latest_frame, bool_or(status = 'idle') AS alert
                        FROM hourly GROUP BY 1)
@@ -433,8 +446,7 @@ def oracle() -> dict[str, str]:
                 round(sum(hrv)::DOUBLE / count(*), 4) AS metric_value, count(*) AS sample_count,
                 'streaming' AS status
               FROM hrv GROUP BY 1, 2)
-            SELECT * FROM windows
-            WHERE frame_start + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM events)""",
+            SELECT * FROM windows""",
         "stream_count_frames": f"WITH {COUNT_FRAMES} SELECT * FROM framed WHERE sample_count = 17",
         "stream_bronze_ingest": f"""
             SELECT ts AS "timestamp", {_mask("'PAT-' || user_id")} AS patient_id_hashed,

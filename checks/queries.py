@@ -35,7 +35,7 @@ from tidemark.sources.alignment import align_to_schema as align
 from tidemark.sources.lakehouse import Lakehouse
 from tidemark.sources.run_results import parse_run_results
 from tidemark.sources.run_results import read_run_results as read_results
-from tidemark.streaming.downsample import CountFrames
+from tidemark.streaming.downsample import CountFrames, read_time_frames, write_time_frames
 from tidemark.streaming.downsample import stream_downsample_time as time_frames
 from tidemark.streaming.ingest import append_scores as stream_scores
 from tidemark.streaming.ingest import stream_bronze_ingest as stream_ingest
@@ -445,6 +445,15 @@ def frame_history(spark, folder):
     return history.withColumn("history_avg", F.round("history_avg", 10))
 
 
+@query
+def frame_history_resets(spark, folder):
+    """The alert with an operator who resets every stream after every fifth frame."""
+    hourly = _hourly(spark, folder)
+    resets = hourly.filter(F.col("frame") % 5 == 2).select("event_type", "frame")
+    history = frames.frame_history(hourly, "event_type", chunk=200, resets=resets)
+    return history.select("event_type", "frame", "status", "hardware_status")
+
+
 @query
 def latest_history(spark, folder):
     state = frames.latest_history(_hourly(spark, folder), "event_type")
@@ -475,22 +484,29 @@ def _event_stream(spark, folder):
 
 @query
 def stream_downsample_time(spark, folder):
-    """Time frames of the replayed event stream; the watermark leaves the tail open."""
-    out, checkpoint = scratch_path(spark, "frames"), scratch_path(spark, "checkpoint")
-    stream = time_frames(
-        _event_stream(spark, folder), "hrv", "event_type", "ts",
-        step_us=600_000_000, delay="0 seconds", **_HRV,
-    )
-    started = (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .option("path", out)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    started.awaitTermination()
-    return spark.read.parquet(out)
+    """Time frames of events that arrive up to six minutes late, in four micro-batches."""
+    feed, written = scratch_path(spark, "feed"), scratch_path(spark, "frames")
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 7 * 60_000_000
+    events = _table(spark, folder, "events").withColumn("_arrival", arrival)
+    first, last = events.agg(F.min("_arrival"), F.max("_arrival")).first()
+    step = (last - first) // 4 + 1
+    for part in range(4):
+        begin = first + part * step
+        (
+            events.filter(F.col("_arrival").between(begin, begin + step - 1))
+            .drop("_arrival").coalesce(1).write.mode("append").parquet(feed)
+        )
+    stream = (
+        spark.readStream.schema(_table(spark, folder, "events").schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(feed)
+        .select("event_type", "ts", F.floor("value").cast("int").alias("hrv"))
+    )
+    framed = time_frames(
+        stream, "hrv", "event_type", "ts", step_us=600_000_000, delay="10 minutes", **_HRV
+    )
+    write_time_frames(framed, written, scratch_path(spark, "checkpoint"), once=True).awaitTermination()
+    return read_time_frames(spark, written, "event_type")
 
 
 @query

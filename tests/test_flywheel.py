@@ -128,3 +128,21 @@ def test_no_episodes_no_shards(spark, tmp_path):
 
 def test_default_backbone_name():
     assert DIGEST_BACKBONE.name == "digest/sha256"
+
+
+def test_shards_on_a_cluster_need_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from tidemark.session import shared_folder
+
+    assert shared_folder(spark, "/data/shards") == "file:/data/shards"
+    cluster = SimpleNamespace(
+        _jsc=spark._jsc,
+        _jvm=spark._jvm,
+        conf={"spark.checkpoint.dir": "/shared/ck"},
+        sparkContext=SimpleNamespace(master="spark://host:7077"),
+    )
+    assert shared_folder(cluster, "/shared/ck/run1") == "file:/shared/ck/run1"
+    for folder in ("/data/shards", "file:///data/shards", "/shared/ck2"):
+        with pytest.raises(ValueError, match="reach"):
+            shared_folder(cluster, folder)

@@ -157,3 +157,39 @@ def test_history_keeps_the_stream_without_a_name(spark):
     assert rolled.count() == 10 and rolled.where("hardware_status <> 'AUTONOMOUS'").count() == 4
     latest = {r.stream: list(r.history) for r in frames.latest_history(df, "stream", 3).collect()}
     assert latest == {"a": [2.0, 3.0, 4.0], None: [2.0, 3.0, 4.0]}
+
+
+def test_alert_ends_with_a_reset(spark):
+    """Against a plain replay, with resets on chunk borders and in a stream without a name."""
+    idle = {"a": {3, 7, 20}, None: {0, 11}}
+    done = {"a": {3, 9, 15}, None: {0, 4}}
+    rows, want = [], {}
+    for s in idle:
+        pending = False
+        for i in range(26):
+            pending |= i in idle[s]
+            want[s, i] = pending
+            rows.append((s, i, float(i), "idle" if i in idle[s] else "streaming"))
+            pending &= i not in done[s]
+    df = spark.createDataFrame(rows, "stream string, frame long, metric_value double, status string")
+    resets = spark.createDataFrame([(s, i) for s in done for i in done[s]] * 2, "stream string, frame long")
+    out = frames.frame_history(df, "stream", length=3, chunk=4, resets=resets)
+    assert out.columns == df.columns + ["history_count", "history_min", "history_max", "history_avg", "hardware_status"]
+    assert {(r.stream, r.frame): r.hardware_status == "ALERT_PENDING" for r in out.collect()} == want
+    latest = frames.latest_history(df, "stream", 3, resets).collect()
+    assert {r.stream: r.hardware_status == "ALERT_PENDING" for r in latest} == {"a": True, None: True}
+    later = resets.union(spark.createDataFrame([("a", 25)], resets.schema))
+    latest = frames.latest_history(df, "stream", 3, later).collect()
+    assert {r.stream: r.hardware_status == "ALERT_PENDING" for r in latest} == {"a": False, None: True}
+
+
+@pytest.mark.parametrize("numbers", [[0, 1, 3], [0, 50], [0, 1, 1], range(0, 400, 10)])
+def test_history_over_gaps_fails(spark, numbers):
+    df = spark.createDataFrame(
+        [("a", i, 1.0, "streaming") for i in numbers], "s string, frame long, metric_value double, status string"
+    )
+    with pytest.raises(Exception, match="without gaps"):
+        frames.frame_history(df, "s", length=3, chunk=4).collect()
+    if max(numbers) > 3:
+        with pytest.raises(Exception, match="without gaps"):
+            frames.latest_history(df, "s", 3).collect()

@@ -20,7 +20,7 @@ from tidemark.functions.numeric import whole_division
 from tidemark.functions.text import display
 from tidemark.operators.ranking import position_by_digest, position_in
 from tidemark.profiles import FAILURE_TAGS, ROBOTICS, Profile, declare
-from tidemark.session import materialize
+from tidemark.session import delete_path, materialize, shared_folder
 
 # --- Fixed values: schemas, score constants, shard layout ---------------------
 EPISODES_TABLE = "vla_episodes"
@@ -194,10 +194,10 @@ def _tar(samples: pd.DataFrame) -> bytes:
 
 
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI; a plain path is a mounted one."""
-    if "://" in folder:
-        return fs.FileSystem.from_uri(folder)
-    return fs.LocalFileSystem(), folder.removeprefix("file:")
+    """File system and path of a folder as :func:`shared_folder` names it."""
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder)
 
 
 def write_training_shards(
@@ -209,17 +209,23 @@ def write_training_shards(
     """Write one tar of .npy and .json members per shard; returns (shard, path, samples).
 
     Each task writes whole shards of a fixed number of samples. ``folder`` is a
-    place every executor can reach; use a new one per run. A shard is written under a temporary name and
-    moved into place, and its bytes are the same on a retry, so a lost executor
-    leaves neither half nor doubled shards.
+    place every executor can reach, a new one per run; on a cluster a machine's
+    own disk is refused unless it lies in the shared checkpoint folder. A shard
+    is written in a folder of unfinished ones, removed in the end, and moved into
+    place; its bytes are the same on a retry. So a lost executor leaves neither
+    half nor doubled shards.
     """
+    spark = episodes.sparkSession
+    folder = shared_folder(spark, folder).rstrip("/")
+    unfinished = f"{folder}/_unfinished"
 
     def write(samples: pd.DataFrame) -> pd.DataFrame:
         number = int(samples["shard"].iloc[0])
         store, root = _store(folder)
-        store.create_dir(root, recursive=True)
-        path = f"{root.rstrip('/')}/{SHARD_NAME.format(number)}"
-        part = f"{path}.{uuid.uuid4().hex}.part"
+        parts = f"{root}/{unfinished.rsplit('/', 1)[1]}"
+        store.create_dir(parts, recursive=True)
+        path = f"{root}/{SHARD_NAME.format(number)}"
+        part = f"{parts}/{uuid.uuid4().hex}"
         with store.open_output_stream(part) as out:
             out.write(_tar(samples))
         store.move(part, path)
@@ -231,4 +237,6 @@ def write_training_shards(
         write, "shard bigint, path string, samples bigint"
     )
     # Run the writing once, now; the result is the list of shards.
-    return materialize(written, "shards").orderBy("shard")
+    shards = materialize(written, "shards")
+    delete_path(spark, unfinished)
+    return shards.orderBy("shard")

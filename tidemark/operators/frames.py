@@ -169,10 +169,23 @@ def idle_frames(
     )
 
 
-def _beside(frames: DataFrame, facts: DataFrame, stream: str) -> DataFrame:
-    """Frames with the one row of facts of their stream; null is a stream too."""
-    facts = facts.withColumnRenamed(stream, "_stream")
-    return frames.join(facts, frames[stream].eqNullSafe(facts["_stream"])).drop("_stream")
+def _beside(left: DataFrame, right: DataFrame, stream: str, *keys: str, how: str = "inner") -> DataFrame:
+    """Rows of ``left`` with those of ``right`` of the same stream and keys; null is a stream too."""
+    renamed = right.withColumnsRenamed({name: f"_r{name}" for name in (stream, *keys)})
+    same = left[stream].eqNullSafe(renamed[f"_r{stream}"])
+    for name in keys:
+        same &= left[name] == renamed[f"_r{name}"]
+    return left.join(renamed, same, how).drop(*[f"_r{name}" for name in (stream, *keys)])
+
+
+def _alert(idle: Column, reset: Column) -> Column:
+    """Pending if the last idle frame came after the last reset."""
+    pending = idle.isNotNull() & (reset.isNull() | (idle > reset))
+    return F.when(pending, ALERT_PENDING).otherwise(AUTONOMOUS)
+
+
+def _dense(condition: Column) -> Column:
+    return F.when(condition, True).otherwise(F.raise_error(F.lit("frames must be numbered without gaps")))
 
 
 # --- history ------------------------------------------------------------------
@@ -181,61 +194,97 @@ def frame_history(
     stream: str,
     length: int = HISTORY_LENGTH,
     chunk: int = 50_000,
+    resets: DataFrame | None = None,
 ) -> DataFrame:
     """Rolling view over the last ``length`` frames, and the sticky alert state.
 
-    Frames are dense per stream, so a stream is cut in chunks by frame number
-    and each chunk gets the ``length - 1`` frames before it as a copy; the window
-    then runs per (stream, chunk) and a hot stream is spread over many tasks.
-    The alert needs no ordered pass: it holds from the first idle frame on.
+    Frames are numbered without gaps per stream (others fail), so a stream is cut
+    in chunks by frame number and each chunk gets the ``length - 1`` frames before
+    it as a copy; the window then runs per (stream, chunk) and a hot stream is
+    spread over many tasks. An alert stays from an idle frame on until the
+    operator resets it: ``resets`` has (stream, frame), each after that frame.
+    What earlier chunks leave behind is one row per chunk.
     """
     reach = length - 1
     if chunk < reach:
         raise ValueError("a chunk must be at least as long as the history")
     home = whole_division(F.col("frame"), chunk)
+    if resets is None:
+        marked = frames.withColumn("_reset", F.lit(None).cast("bigint"))
+    else:
+        once = resets.select(stream, "frame").distinct().withColumn("_reset", F.col("frame").cast("bigint"))
+        marked = _beside(frames, once, stream, "frame", how="left")
+    marked = marked.withColumn("_idle", F.when(F.col("status") == IDLE, F.col("frame")))
     next_too = F.pmod(F.col("frame"), F.lit(chunk)) >= F.lit(chunk - reach)
     copies = F.when(next_too, F.array(home, home + 1)).otherwise(F.array(home))
-    spread = frames.select("*", F.explode(copies).alias("_chunk"))
+    spread = marked.select("*", F.explode(copies).alias("_chunk"))
 
-    recent = Window.partitionBy(stream, "_chunk").orderBy("frame").rowsBetween(-reach, 0)
+    # Copies of earlier frames may take part in these too: they did come before.
+    ordered = Window.partitionBy(stream, "_chunk").orderBy("frame")
+    recent = ordered.rowsBetween(-reach, 0)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     rolled = spread.select(
         "*",
         F.count(F.lit(1)).over(recent).alias("history_count"),
         F.min("metric_value").over(recent).alias("history_min"),
         F.max("metric_value").over(recent).alias("history_max"),
         F.avg("metric_value").over(recent).alias("history_avg"),
+        F.lag("frame").over(ordered).alias("_previous"),
+        F.max("_idle").over(so_far).alias("_last_idle"),
+        F.max("_reset").over(before).alias("_last_reset"),
     ).filter(F.col("_chunk") == home)
 
-    first_idle = frames.groupBy(stream).agg(
-        F.min(F.when(F.col("status") == IDLE, F.col("frame"))).alias("_first_idle")
+    chunks = marked.groupBy(stream, home.alias("_chunk")).agg(
+        F.max("frame").alias("_frame"), F.max("_idle").alias("_idle"), F.max("_reset").alias("_reset")
     )
-    state = F.when(F.col("frame") >= F.col("_first_idle"), ALERT_PENDING).otherwise(AUTONOMOUS)
+    earlier = Window.partitionBy(stream).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    left_behind = chunks.select(
+        stream,
+        "_chunk",
+        F.max("_frame").over(earlier).alias("_frame_before"),
+        F.max("_idle").over(earlier).alias("_idle_before"),
+        F.max("_reset").over(earlier).alias("_reset_before"),
+    )
+    previous = F.coalesce("_previous", "_frame_before")
+    state = _alert(F.greatest("_last_idle", "_idle_before"), F.greatest("_last_reset", "_reset_before"))
     return (
-        _beside(rolled, first_idle, stream)
-        .withColumn("hardware_status", state)
-        .drop("_chunk", "_first_idle")
+        _beside(rolled, left_behind, stream, "_chunk")
+        .filter(_dense(previous.isNull() | (F.col("frame") == previous + 1)))
+        .select(*rolled.columns, state.alias("hardware_status"))
+        .drop("_chunk", "_idle", "_reset", "_previous", "_last_idle", "_last_reset")
     )
 
 
-def latest_history(frames: DataFrame, stream: str, length: int = HISTORY_LENGTH) -> DataFrame:
+def latest_history(
+    frames: DataFrame, stream: str, length: int = HISTORY_LENGTH, resets: DataFrame | None = None
+) -> DataFrame:
     """The current state of each stream: latest frame and its last ``length`` values.
 
-    Frames are dense, so the last ones are found by number; each group collected
-    has at most ``length`` entries.
+    Frames are numbered without gaps (others fail), so the last ones are found by
+    number; each group collected has at most ``length`` entries.
     """
     newest = frames.groupBy(stream).agg(
+        F.min("frame").alias("_first"),
         F.max("frame").alias("latest_frame"),
-        F.max(F.col("status") == IDLE).alias("_alert"),
+        F.max(F.when(F.col("status") == IDLE, F.col("frame"))).alias("_last_idle"),
     )
+    if resets is None:
+        newest = newest.withColumn("_last_reset", F.lit(None).cast("bigint"))
+    else:
+        last = resets.groupBy(stream).agg(F.max("frame").cast("bigint").alias("_last_reset"))
+        newest = _beside(newest, last, stream, how="left")
+    facts = [c for c in newest.columns if c != stream]
     tail = (
         _beside(frames, newest, stream)
         .filter(F.col("frame") > F.col("latest_frame") - F.lit(length))
-        .groupBy(stream, "latest_frame", "_alert")
+        .groupBy(stream, *facts)
         .agg(F.sort_array(F.collect_list(F.struct("frame", "metric_value"))).alias("_points"))
     )
-    return tail.select(
+    expected = F.least(F.lit(length), F.col("latest_frame") - F.col("_first") + 1)
+    return tail.filter(_dense(F.size("_points") == expected)).select(
         stream,
         "latest_frame",
         F.col("_points.metric_value").alias("history"),
-        F.when(F.col("_alert"), ALERT_PENDING).otherwise(AUTONOMOUS).alias("hardware_status"),
+        _alert(F.col("_last_idle"), F.col("_last_reset")).alias("hardware_status"),
     )

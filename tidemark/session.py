@@ -85,6 +85,25 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().toString() for entry in store.listStatus(target)]
 
 
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """``folder`` with its file system named, as Spark resolves it.
+
+    A folder on a machine's own disk is refused on a cluster, unless it lies in
+    ``spark.checkpoint.dir``, which every executor can reach.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+
+    def qualified(name: str) -> str:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        return path.getFileSystem(conf).makeQualified(path).toString()
+
+    named = qualified(folder)
+    local = named.startswith("file:") and not spark.sparkContext.master.startswith("local")
+    if local and not f"{named}/".startswith(f"{qualified(checkpoint_root(spark))}/"):
+        raise ValueError(f"not every executor can reach {folder}")
+    return named
+
+
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder (or over ``path``) and read it back.
 

@@ -55,6 +55,37 @@ def stream_downsample_time(
     )
 
 
+def write_time_frames(
+    frames: DataFrame, folder: str, checkpoint: str, once: bool = False, interval: str = "30 seconds"
+) -> StreamingQuery:
+    """Write the frames that each micro-batch touched, open ones included.
+
+    A micro-batch overwrites its own folder, so a replay after a failure repeats
+    nothing, and the newest windows need no later row to close them.
+    ``folder`` belongs to one checkpoint; start both anew together.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch={batch}")
+
+    trigger = {"availableNow": True} if once else {"processingTime": interval}
+    return (
+        frames.writeStream.option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(**trigger)
+        .foreachBatch(write)
+        .start()
+    )
+
+
+def read_time_frames(spark: SparkSession, folder: str, key: str) -> DataFrame:
+    """The newest state of every frame written so far."""
+    written = spark.read.parquet(folder)
+    values = [c for c in written.columns if c not in (key, "frame_start", "batch")]
+    newest = written.groupBy(key, "frame_start").agg(F.max_by(F.struct(*values), "batch").alias("_newest"))
+    return newest.select(key, "frame_start", "_newest.*")
+
+
 class CountFrames:
     """Frames of exactly ``samples`` values per key from an unbounded stream.
 
