@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 
@@ -131,11 +132,12 @@ class Encoder:
                 plan.append((i, np.array([end], self.kind)))
         if len(self.memo) > MEMO_WORDS:
             self._forget()
-        numbers = list(map(self.memo.get, words))
-        if None in numbers:
-            self._learn({word for word, number in zip(words, numbers, strict=True) if number is None})
-            numbers = list(map(self.memo.__getitem__, words))
-        at = np.array(numbers, np.int64)
+        at = np.fromiter(map(self.memo.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = [words[i] for i in missing.tolist()]
+            self._learn(set(unknown))
+            at[missing] = np.fromiter(map(self.memo.__getitem__, unknown), np.int64, len(unknown))
         lengths = self.ends[at + 1] - self.ends[at]
         stops = np.concatenate([[0], np.cumsum(lengths)])
         own = self.flat[
