@@ -38,7 +38,7 @@ def test_digest_vector(spark):
 
 
 def test_episodes(spark):
-    out = flywheel.embed_episodes(_signals(spark).repartition(5), partitions=3)
+    out = flywheel.embed_episodes(_signals(spark).repartition(5), width=5)
     assert out.schema.simpleString() == flywheel.EPISODE_SCHEMA.simpleString()
     rows = sorted(out.collect(), key=lambda r: r.episode_id[-5:])
     assert [r.episode_id for r in rows] == [f"serial-{i % 8}-{i:05d}" for i in range(16)]

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import frames
@@ -21,7 +22,7 @@ def _hot(rng, n=4000):
 
 def test_positions_equal_row_numbers(spark):
     data = _hot(np.random.default_rng(3))
-    out = position_in(spark.createDataFrame(data), ["t", "id"], ["stream"], partitions=7).toPandas()
+    out = position_in(spark.createDataFrame(data), ["t", "id"], ["stream"], width=60).toPandas()
     want = data.sort_values(["t", "id"]).copy()
     want["position"] = want.groupby("stream", dropna=False).cumcount()
     got = out.set_index("id")["position"].to_dict()
@@ -31,10 +32,10 @@ def test_positions_equal_row_numbers(spark):
 def test_positions_without_key_and_with_start(spark):
     data = _hot(np.random.default_rng(4), 500)
     df = spark.createDataFrame(data)
-    out = position_in(df, ["t", "id"], partitions=5).toPandas().sort_values(["t", "id"])
+    out = position_in(df, ["t", "id"], width=20).toPandas().sort_values(["t", "id"])
     assert list(out["position"]) == list(range(500))
     begin = spark.createDataFrame([("hot", 10)], "stream string, position bigint")
-    moved = position_in(df, ["t", "id"], ["stream"], partitions=5, start=begin).toPandas()
+    moved = position_in(df, ["t", "id"], ["stream"], width=20, start=begin).toPandas()
     assert moved[moved.stream == "hot"]["position"].min() == 10
     assert moved[moved.stream == "cold"]["position"].min() == 0
     assert position_in(df.limit(0), ["t", "id"]).count() == 0
@@ -42,17 +43,48 @@ def test_positions_without_key_and_with_start(spark):
 
 def test_identical_rows_each_get_a_position(spark):
     df = spark.createDataFrame([("a", 1)] * 100, "s string, t int")
-    out = [r.position for r in position_in(df, ["t"], ["s"], partitions=4).collect()]
+    out = [r.position for r in position_in(df, ["t"], ["s"]).collect()]
     assert sorted(out) == list(range(100))
 
 
+@pytest.mark.parametrize(
+    "kind, make",
+    [
+        ("bigint", lambda i: (i - 40) * 3),
+        ("double", lambda i: [float("nan"), float("inf"), float("-inf"), -0.0][i % 9] if i % 9 < 4 else (i - 40) / 7),
+        ("timestamp_ntz", lambda i: T0 + timedelta(minutes=17 * (i - 40))),
+        ("timestamp", lambda i: T0 + timedelta(minutes=17 * (i - 40))),
+        ("date", lambda i: (T0 + timedelta(days=i // 3)).date()),
+        ("string", lambda i: f"k{i * 7 % 50}"),
+    ],
+)
+def test_positions_in_any_order(spark, kind, make):
+    """A third of the rows has no time and is ordered by the second column."""
+    rows = [("ab"[i % 2], None if i % 3 == 0 else make(i), i * 31 % 80 - 40) for i in range(80)]
+    df = spark.createDataFrame(rows, f"s string, t {kind}, id bigint")
+    number = F.row_number().over(Window.partitionBy("s").orderBy("t", "id")) - 1
+    want = {(r.s, r.id): r.n for r in df.select("s", "id", number.alias("n")).collect()}
+    for width in (None, 7):
+        got = {(r.s, r.id): r.position for r in position_in(df, ["t", "id"], ["s"], width=width).collect()}
+        assert got == want
+
+
+def test_a_hot_stream_is_cut_in_buckets(spark):
+    df = spark.range(10_000).select(F.lit("hot").alias("s"), F.col("id").alias("t"))
+    out = position_in(df, ["t"], ["s"], width=100)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Rows are shuffled once, by key and bucket, and numbered there.
+    assert "rangepartitioning" not in plan and "row_number() windowspecdefinition(_key_part" in plan
+    assert out.filter("position <> t").isEmpty() and out.count() == 10_000
+
+
 @pytest.mark.parametrize("mode", ["mean", "max"])
 def test_downsample_equals_brute_force(spark, mode):
     data = _hot(np.random.default_rng(5)).dropna()
     data.loc[data.index[::9], "v"] = np.nan
     df = spark.createDataFrame(data).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
     out = frames.signal_downsample(
-        df, "v", "stream", ["t", "id"], mode, "P", "L", partitions=6
+        df, "v", "stream", ["t", "id"], mode, "P", "L", width=50
     ).toPandas().sort_values(["stream", "frame"])
     want = []
     for stream, part in data.dropna().sort_values(["t", "id"]).groupby("stream"):

@@ -35,7 +35,7 @@ def _files(spark, data, folder, parts):
 
 
 def _framer(folder, mode):
-    return CountFrames(str(folder), "v", "k", ["t", "id"], mode, "P", "L", partitions=3)
+    return CountFrames(str(folder), "v", "k", ["t", "id"], mode, "P", "L", width=1)
 
 
 @pytest.mark.parametrize("mode, parts", [("mean", 4), ("max", 1)])

@@ -63,7 +63,7 @@ def embed_episodes(
     limit: int | None = None,
     backbone: Embedder = DIGEST_BACKBONE,
     order: Sequence[str] = EPISODE_ORDER,
-    partitions: int | None = None,
+    width: int | None = None,
 ) -> DataFrame:
     """One vector per robot row, numbered ``robot_id-00000`` in ``order``.
 
@@ -81,9 +81,7 @@ def embed_episodes(
     keyed = signals.select(*dict.fromkeys([*order, *carried]), key.alias("_key"))
     if limit is not None:
         keyed = keyed.orderBy(*order).limit(limit)
-    numbered = position_in(
-        keyed, [*order, "_key"], partitions=partitions, keep=[*carried, "_key"]
-    )
+    numbered = position_in(keyed, [*order, "_key"], width=width, keep=[*carried, "_key"])
     # Zero-padded to five digits, longer numbers in full.
     number = F.col("position").cast("string")
     padded = F.when(F.length(number) < 5, F.lpad(number, 5, "0")).otherwise(number)

@@ -43,13 +43,11 @@ def assign_frames(
     stream: str,
     order: Sequence[str],
     samples: int = SAMPLES_PER_FRAME,
-    partitions: int | None = None,
+    width: int | None = None,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number consecutive groups of ``samples`` rows of each stream as ``frame``."""
-    placed = position_in(
-        df, order, [stream], name="_position", partitions=partitions, keep=keep
-    )
+    placed = position_in(df, order, [stream], name="_position", width=width, keep=keep)
     frame = whole_division(F.col("_position"), samples)
     return placed.withColumn("frame", frame).drop("_position")
 
@@ -90,17 +88,17 @@ def signal_downsample(
     profile: str,
     label: str,
     samples: int = SAMPLES_PER_FRAME,
-    partitions: int | None = None,
+    width: int | None = None,
 ) -> DataFrame:
     """One frame per ``samples`` non-null values; the last one keeps its true count.
 
-    Only the stream, order and value columns travel. The frame rows arrive
-    nearly sorted, so partial aggregation shrinks them ``samples`` to one.
+    Only the stream, order and value columns travel. The rows of a frame arrive
+    side by side, so partial aggregation shrinks them ``samples`` to one.
     """
     check_mode(mode)
     needed = dict.fromkeys([stream, *order, value])
     narrow = drop_nulls_in_signal(df.select(*needed), value)
-    framed = assign_frames(narrow, stream, order, samples, partitions, keep=[value])
+    framed = assign_frames(narrow, stream, order, samples, width, keep=[value])
     grouped = framed.groupBy(stream, "frame").agg(*partials(value))
     return grouped.select(stream, "frame", *frame_columns(profile, label, mode))
 

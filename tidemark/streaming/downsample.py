@@ -90,7 +90,7 @@ class CountFrames:
     """Frames of exactly ``samples`` values per key from an unbounded stream.
 
     A keyed state operator would feed every row of a hot key through one task,
-    one after another. Here each micro-batch is placed by range partitions, and
+    one after another. Here each micro-batch is placed by buckets of its order, and
     only the open frame of each key (count, sum, maximum) is carried over, as a
     small table per micro-batch. Output is written under the batch's number and
     state in one of two slots, so a replay after a failure overwrites instead of
@@ -108,13 +108,13 @@ class CountFrames:
         profile: str,
         label: str,
         samples: int = SAMPLES_PER_FRAME,
-        partitions: int | None = None,
+        width: int | None = None,
     ) -> None:
         check_mode(mode)
         self.folder = folder.rstrip("/")
         self.value, self.key, self.order = value, key, list(order)
         self.mode, self.profile, self.label = mode, profile, label
-        self.samples, self.partitions = samples, partitions
+        self.samples, self.width = samples, width
 
     def _state_path(self, batch: int) -> str:
         # Two slots in turn: a replay needs the batch before, never an older one.
@@ -153,9 +153,8 @@ class CountFrames:
             self.order,
             [self.key],
             name="_position",
-            partitions=self.partitions,
+            width=self.width,
             start=start,
-            store=f"{self.folder}/work/placed",
             keep=[self.value],
         )
         fresh = (
