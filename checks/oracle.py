@@ -482,6 +482,15 @@ def oracle() -> dict[str, str]:
                 PARTITION BY query_id ORDER BY round(score, 10) DESC, vec_id)::INTEGER AS rank
               FROM scored)
             SELECT query_id, rank, vec_id, round(score, 6) AS score FROM ranked WHERE rank <= 5""",
+        "vector_topk_blocks": """WITH scored AS (
+              SELECT q.vec_id AS query_id, e.vec_id,
+                list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score
+              FROM embeddings e JOIN embeddings q ON q.vec_id % 50 = 0),
+            ranked AS (
+              SELECT *, row_number() OVER (
+                PARTITION BY query_id ORDER BY round(score, 10) DESC, vec_id)::INTEGER AS rank
+              FROM scored)
+            SELECT query_id, rank, vec_id, round(score, 6) AS score FROM ranked WHERE rank <= 5""",
         "retrieve": _retrieve("SELECT * FROM chunks"),
         "ask": _retrieve("SELECT DISTINCT * FROM chunks"),
         "digest_embedding": """WITH bytes AS (

@@ -621,6 +621,15 @@ def vector_topk(spark, folder):
     return found.withColumn("score", F.round("score", 6))
 
 
+@query
+def vector_topk_blocks(spark, folder):
+    """The five vectors nearest to each one whose id 50 divides, in blocks of four queries."""
+    vectors = _table(spark, folder, "embeddings")
+    asked = vectors.filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    found = nearest(asked, vectors, 5, corpus_id="vec_id", block=4)
+    return found.withColumn("score", F.round("score", 6))
+
+
 def _questions(spark, folder):
     """One question per nation and market segment found among the customers."""
     groups = _table(spark, folder, "customer").select("c_nationkey", "c_mktsegment").distinct()

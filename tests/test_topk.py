@@ -71,3 +71,32 @@ def test_whole_number_scores_do_not_depend_on_batches(spark):
     one = vector_topk(q, corpus.coalesce(1), 9).orderBy("query_id", "rank").collect()
     many = vector_topk(q, corpus.repartition(9), 9).orderBy("query_id", "rank").collect()
     assert one == many
+
+
+def test_many_queries_scan_the_corpus_once(spark, monkeypatch, tmp_path):
+    """5,000 queries in blocks of 700, chunks of some rows: one scan, the same answers."""
+    monkeypatch.setattr("tidemark.operators.topk.CHUNK_BYTES", 4_000)
+    rng = np.random.default_rng(9)
+    corpus = _corpus(rng, 300, 8)
+    queries = pd.DataFrame(
+        {"query_id": range(5000), "embedding": list(rng.normal(size=(5000, 8)).astype(np.float32)),
+         "only": rng.choice(["x", "y", None], 5000)}
+    )
+    spark.createDataFrame(corpus, "id string, embedding array<float>, tag string").write.parquet(str(tmp_path / "c"))
+    c = spark.read.parquet(str(tmp_path / "c"))
+    q = spark.createDataFrame(queries, "query_id bigint, embedding array<float>, only string").repartition(7)
+    found = vector_topk(q, c, 3, where={"tag": ("only", "tag")}, block=700)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    out = found.toPandas().sort_values(["query_id", "rank"]).groupby("query_id")["id"].agg(list)
+    assert out.to_dict() == _brute(queries, corpus, 3)
+
+
+def test_terms_asked_for_reach_the_scan(spark, tmp_path):
+    rows = [(i, [float(i), 1.0], "abcdef"[i % 6]) for i in range(60)]
+    spark.createDataFrame(rows, "id bigint, embedding array<float>, tag string").write.parquet(str(tmp_path / "c"))
+    q = spark.createDataFrame([(1, [1.0, 0.0], "b"), (2, [1.0, 0.0], "d")], "query_id bigint, embedding array<float>, only string")
+    found = vector_topk(q, spark.read.parquet(str(tmp_path / "c")), 1, where={"tag": ("only", "tag")})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(tag,b)" in plan and "LessThanOrEqual(tag,d)" in plan
+    assert sorted((r.query_id, r.id) for r in found.collect()) == [(1, 55), (2, 57)]

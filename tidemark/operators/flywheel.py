@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +19,7 @@ from tidemark.functions.numeric import whole_division
 from tidemark.functions.text import display
 from tidemark.operators.ranking import position_by_digest, position_in
 from tidemark.profiles import FAILURE_TAGS, ROBOTICS, Profile, declare
-from tidemark.session import delete_path, materialize, shared_folder
+from tidemark.session import delete_path, folder_store, materialize, shared_folder
 
 # --- Fixed values: schemas, score constants, shard layout ---------------------
 EPISODES_TABLE = "vla_episodes"
@@ -191,13 +190,6 @@ def _tar(samples: pd.DataFrame) -> bytes:
     return buffer.getvalue()
 
 
-def _store(folder: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder as :func:`shared_folder` names it."""
-    if folder.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(folder)
-
-
 def write_training_shards(
     episodes: DataFrame,
     folder: str,
@@ -219,7 +211,7 @@ def write_training_shards(
 
     def write(samples: pd.DataFrame) -> pd.DataFrame:
         number = int(samples["shard"].iloc[0])
-        store, root = _store(folder)
+        store, root = folder_store(folder)
         parts = f"{root}/{unfinished.rsplit('/', 1)[1]}"
         store.create_dir(parts, recursive=True)
         path = f"{root}/{SHARD_NAME.format(number)}"

@@ -1,9 +1,10 @@
 """Exact nearest vectors by cosine for a batch of queries.
 
-The corpus is scanned once and never paired up with the queries as rows: each
-task holds a bounded block of query vectors, multiplies Arrow batches of corpus
-vectors with it, and keeps only the best ``k`` per query. What leaves a task is
-at most ``k`` rows per query; merging them is a two-step top-k.
+The corpus is scanned once and never paired up with the queries as rows. The
+queries are written to the shared folder; a task gathers a chunk of corpus
+vectors, reads the queries block by block, multiplies, and gives out the best
+``k`` of the chunk per query. So it holds one chunk and one block, however many
+queries there are; merging what tasks give out is a two-step top-k.
 """
 
 from __future__ import annotations
@@ -15,16 +16,18 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.operators.ranking import position_in
-from tidemark.session import materialize, scratch_path
+from tidemark.session import folder_store, list_folder, scratch_path, shared_folder
 
-#: Most query vectors held in a task (and on the driver) at once.
+#: Most query vectors held in a task at once.
 QUERY_BLOCK = 1024
+#: Corpus vectors that meet all blocks in turn before the next are read.
+CHUNK_BYTES = 64 << 20
 #: Scores equal to this many digits are ties, broken by id; keeps the order free
 #: of the last-bit noise of blocked matrix products.
 SCORE_DIGITS = 10
@@ -194,8 +197,8 @@ def vector_topk(
     Rows without a vector take no part; a zero vector scores 0. Query ids are
     unique.
 
-    Up to ``block`` queries are handled in one scan. More are cut in blocks of
-    that size, one scan each, so neither a task nor the driver ever holds more.
+    The queries are written to the shared folder when this is called. The corpus
+    is read once; each task reads them there in blocks of at most ``block``.
     """
     fields = list(where or {})
     # Rows without a vector are skipped in the scan: a filter here would run an
@@ -219,62 +222,98 @@ def vector_topk(
     )
     id_type = to_arrow_type(scanned.schema["id"].dataType)
 
-    def search(table: pa.Table) -> DataFrame:
-        run = _search(_Block.of(table, fields), k, id_type)
-        asked = _asked_for(table, fields)
-        rows = scanned if asked is None else scanned.filter(asked)
-        return rows.mapInArrow(run, result_schema)
-
-    head = wanted.limit(block + 1).toArrow()
-    if head.num_rows <= block:
-        found = search(head) if head.num_rows else _nothing(scanned, result_schema)
-    else:
-        found = _in_blocks(wanted, search, block, result_schema)
-    return _merge(found, k).select(
+    spark = queries.sparkSession
+    path = scratch_path(spark, "queries")
+    wanted.write.option("maxRecordsPerFile", block).parquet(path)
+    asked = _asked_for(spark.read.schema(wanted.schema).parquet(path), fields)
+    rows = scanned if asked is None else scanned.filter(asked)
+    folder = shared_folder(spark, path)
+    names = sorted(name.rsplit("/", 1)[1] for name in list_folder(spark, path) if name.endswith(".parquet"))
+
+    chunk_bytes = CHUNK_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = _Blocks(folder, names, block, fields)
+        for chunk in _chunks(batches, chunk_bytes):
+            for own in read:
+                yield from _search(own, k, id_type)(iter(chunk))
+
+    return _merge(rows.mapInArrow(run, result_schema), k).select(
         F.col("query").alias(query_id), "rank", F.col("id").alias(corpus_id), "score"
     )
 
 
-def _asked_for(table: pa.Table, fields: list[str]) -> Column | None:
-    """Corpus rows that at least one query of the block may match.
+def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+class _Blocks:
+    """Blocks of the written queries, read anew each time; a single one is kept."""
+
+    def __init__(self, folder: str, names: list[str], most: int, fields: list[str]) -> None:
+        self.folder, self.names, self.most, self.fields = folder, names, most, fields
+        self.only: _Block | None = None
+
+    def _tables(self) -> Iterator[pa.Table]:
+        """Files hold at most ``most`` rows each; small ones are read together."""
+        store, root = folder_store(self.folder)
+        held, rows = [], 0
+        for name in self.names:
+            with store.open_input_file(f"{root}/{name}") as file:
+                table = pq.read_table(file)
+            if held and rows + table.num_rows > self.most:
+                yield pa.concat_tables(held)
+                held, rows = [], 0
+            held.append(table)
+            rows += table.num_rows
+        if held:
+            yield pa.concat_tables(held)
+
+    def __iter__(self) -> Iterator[_Block]:
+        if self.only is not None:
+            yield self.only
+            return
+        number, last = 0, None
+        for table in self._tables():
+            last = _Block.of(table, self.fields)
+            number += 1
+            if len(last.vectors):
+                yield last
+        if number == 1 and len(last.vectors):
+            self.only = last
+
+
+def _asked_for(asked: DataFrame, fields: list[str]) -> Column | None:
+    """Corpus rows that at least one query may match, by ranges of terms.
 
     Queries that filter on the same fields share one clause: each of these
-    fields has a value that one of them asks for. The scan itself tests the
-    combination. None if some query has no filter.
+    fields lies between the least and the greatest value asked for. So there are
+    at most 2**fields clauses, whatever is asked, and they reach the scan. The
+    scan itself tests the combination. None if some query has no filter.
     """
-    if not fields or not table.num_rows:
+    if not fields:
         return None
-    wanted: dict[tuple[str, ...], list[set[str]]] = {}
-    for terms in zip(*[table.column(f"term_{f}").to_pylist() for f in fields]):
-        used = tuple(f for f, v in zip(fields, terms) if v is not None)
+    ranges = asked.groupBy(*[F.col(f"term_{f}").isNotNull().alias(f"used_{f}") for f in fields]).agg(
+        *[F.min(f"term_{f}").alias(f"low_{f}") for f in fields],
+        *[F.max(f"term_{f}").alias(f"high_{f}") for f in fields],
+    )
+    clauses = []
+    for row in ranges.collect():
+        used = [f for f in fields if row[f"used_{f}"]]
         if not used:
             return None
-        values = wanted.setdefault(used, [set() for _ in used])
-        for known, value in zip(values, [v for v in terms if v is not None]):
-            known.add(value)
-    clauses = [
-        reduce(lambda a, b: a & b, [F.col(f"field_{f}").isin(sorted(v)) for f, v in zip(used, values)])
-        for used, values in wanted.items()
-    ]
-    return reduce(lambda a, b: a | b, clauses)
-
-
-def _nothing(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema)
-
-
-def _in_blocks(wanted: DataFrame, search, block: int, schema: T.StructType) -> DataFrame:
-    """One scan per block of queries; per-task results go to the shared folder."""
-    spark = wanted.sparkSession
-    placed = materialize(
-        position_in(wanted, ["query"]).withColumn(
-            "block", F.call_function("div", F.col("position"), F.lit(block))
-        ),
-        "queries",
-    )
-    path = scratch_path(spark, "nearest")
-    last = placed.agg(F.max("block")).first()[0]
-    for number in range(last + 1):
-        table = placed.filter(F.col("block") == number).drop("block", "position").toArrow()
-        search(table).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+        clauses.append(
+            reduce(
+                lambda a, b: a & b,
+                [F.col(f"field_{f}").between(row[f"low_{f}"], row[f"high_{f}"]) for f in used],
+            )
+        )
+    return reduce(lambda a, b: a | b, clauses, F.lit(False))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators rely on. UTC makes zone-less timestamps and instants
@@ -104,6 +105,13 @@ def shared_folder(spark: SparkSession, folder: str) -> str:
     return named
 
 
+def folder_store(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system and path, for tasks, of a folder as :func:`shared_folder` names it."""
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder)
+
+
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder (or over ``path``) and read it back.
 
