@@ -195,6 +195,11 @@ def test_quality_against_labels(spark, tables):
     assert np.mean(good) >= 0.97 and np.mean(poor) <= 0.2
 
 
+def test_texts_without_a_letter_have_no_grams():
+    _, counts = language.grams(["²", "½ ³", "12 !", "", "a²", "é"])
+    assert (counts > 0).tolist() == [False, False, False, False, True, True]
+
+
 def test_em_finds_the_accuracies():
     rng = np.random.default_rng(2)
     good = rng.random(20_000) < 0.8

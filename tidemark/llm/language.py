@@ -49,7 +49,8 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All n-grams of the texts in a row, and how many each has (0 without a letter)."""
     plain = [_NOT_LETTERS.sub(" ", text.lower()).strip() for text in texts]
-    data = [f" {text} ".encode() if text else b"" for text in plain]
+    # Signs such as raised digits pass as parts of words but are no letters.
+    data = [f" {text} ".encode() if any(map(str.isalpha, text)) else b"" for text in plain]
     counts = np.array([max(0, len(part) - GRAM + 1) if part else 0 for part in data], np.int64)
     short = [i for i, part in enumerate(data) if part and len(part) < GRAM]
     for i in short:  # a single letter of one byte
