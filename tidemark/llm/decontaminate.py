@@ -6,9 +6,11 @@ all words of an item that has fewer. A text is normalised to its words with one
 space between and around, scanned once, and every occurrence of every pattern
 marks its words as hit. Word numbers lead back to places in the original text.
 
-The patterns are gathered in blocks of at most :data:`BLOCK_BYTES`; each block is
-one automaton of bounded size, sent to the workers, and a batch of texts passes
-through all of them. Usual benchmarks make one block.
+The patterns are gathered in blocks of about :data:`BLOCK_BYTES`; each block is
+one automaton of bounded size (some 45 bytes of memory a byte of patterns), sent
+to the workers. Usual benchmarks make one block. A worker holds one automaton,
+so where there are more it builds them in turn, each once for
+:data:`PASS_BYTES` of documents.
 
 Cases: a null text has no words; items without words match nothing; items with
 equal windows are all named; repeated documents each have a row; a repeated
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import own_columns, prepare, remote
 
 WINDOW = 10
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 8 << 20
+PASS_BYTES = 32 << 20
 
 _TABLE = bytes(
     byte + 32 if 0x41 <= byte <= 0x5A
@@ -88,9 +91,14 @@ def _automaton(name: str, block):
     return _AUTOMATA[name]
 
 
-def find(machine, own: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
-    """Runs of hit words (first, after the last), merged, and the items found."""
-    text = b" %s " % b" ".join(own)
+def normalised(text: str) -> bytes:
+    """The words of a text with one space between and around; empty without words."""
+    own = words(text)
+    return b" %s " % b" ".join(own) if own else b""
+
+
+def find(machine, text: bytes) -> tuple[list[tuple[int, int]], set[int]]:
+    """Runs of hit words (first, after the last) of a normalised text, merged, and the items found."""
     found, items = [], set()
     for last, (length, named) in machine.iter(text.decode("latin-1")):
         found.append((last - length + 1, last))
@@ -136,31 +144,51 @@ FOUND = (
 )
 
 
-def _search(texts: list[str], blocks) -> list[tuple[list[bytes], list[tuple[int, int]], set[int]]]:
-    """Words, hit runs and items of each text; one automaton after the other."""
-    out = [(words(text), [], set()) for text in texts]
+def _search(texts: list[str], blocks) -> list[tuple[int, list[tuple[int, int]], set[int]]]:
+    """Number of words, hit runs and items of each text; one automaton after the other."""
+    plain = [normalised(text) for text in texts]
+    out = [(max(0, text.count(b" ") - 1), [], set()) for text in plain]
     for name, block in blocks:
         machine = _automaton(name, block)
         if not len(machine):
             continue
-        for i, (own, runs, items) in enumerate(out):
-            if own:
-                more, named = find(machine, own)
-                out[i] = (own, _merged(runs + more) if runs else more, items | named)
+        for i, (number, runs, items) in enumerate(out):
+            if number:
+                more, named = find(machine, plain[i])
+                out[i] = (number, _merged(runs + more) if runs else more, items | named)
     return out
 
 
-def _scan(batches, blocks):
+def _searched(batches, column: str, blocks):
+    """Batches with their texts and what was found in them, searched some PASS_BYTES at a time."""
+
+    def passed(held):
+        texts = [[text or "" for text in batch.column(column).to_pylist()] for batch in held]
+        found = iter(_search([text for part in texts for text in part], blocks))
+        for batch, part in zip(held, texts, strict=True):
+            yield batch, part, [next(found) for _ in part]
+
+    held, size = [], 0
     for batch in batches:
-        texts = [text or "" for text in batch.column("text").to_pylist()]
+        held.append(batch)
+        size += batch.nbytes
+        if size >= PASS_BYTES:
+            yield from passed(held)
+            held, size = [], 0
+    if held:
+        yield from passed(held)
+
+
+def _scan(batches, blocks):
+    for batch, texts, found in _searched(batches, "text", blocks):
         rows = []
-        for doc_id, text, (own, runs, items) in zip(
-            batch.column("doc_id").to_pylist(), texts, _search(texts, blocks), strict=True
+        for doc_id, text, (number, runs, items) in zip(
+            batch.column("doc_id").to_pylist(), texts, found, strict=True
         ):
             rows.append(
                 {
                     "doc_id": doc_id,
-                    "n_words": len(own),
+                    "n_words": number,
                     "n_hit": sum(after - first for first, after in runs),
                     "n_items": len(items),
                     "items_sha256": hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest(),
@@ -182,9 +210,8 @@ _FOUND = pa.schema(
 
 
 def _clean(batches, blocks):
-    for batch in batches:
-        texts = [text or "" for text in batch.column("__text").to_pylist()]
-        keep = pa.array([not runs for _, runs, _ in _search(texts, blocks)], pa.bool_())
+    for batch, _, found in _searched(batches, "__text", blocks):
+        keep = pa.array([not runs for _, runs, _ in found], pa.bool_())
         yield batch.drop_columns(["__text"]).filter(keep)
 
 
