@@ -93,6 +93,35 @@ def test_site_tree_finds_what_all_pages_show(spark):
     assert html.extract(pages.limit(0)).isEmpty()
 
 
+def test_teasers_and_named_articles_are_not_the_page():
+    long = "The story itself goes on for a while and says a lot of things."
+    assert html.main_text(f"<div class=story><p>{long}</div><article><p>Read this</article>") == f"{long}\nRead this"
+    assert html.main_text(f"<article class=related-items><p>{long}</article><article><p>Own</article>") == "Own"
+
+
+def test_site_tree_judges_inside_articles(spark):
+    """Neutral class names: only the entropies tell the site's text from the page's."""
+    own = "<p>Text {0} of its own {0}</p>" * 2
+    rows = [
+        (i, "http://site/", f"<article><div class=k><p>{' '.join(f'w{i}x{j}' for j in range(9))}</div>"
+         f"<div class=q><p>Follow the site<p>All rights</div></article>")
+        for i in range(12)
+    ]
+    # One page that shows only the site's text, and copies that differ in what is left out.
+    rows += [(50, "http://site/", "<article><div class=q><p>Follow the site<p>All rights</div></article>")]
+    rows += [(100 + i, "http://copies/", f"<nav>{i}</nav><article>{own.format(1)}</article>") for i in range(30)]
+    # Many styles below a node do not take away text of the page's own.
+    rows += [
+        (200 + i, "http://styles/", "<article>" + f"<p>own {i}" + "<i>a</i>" * (1 + i % 25 * (i < 25)) + "</article>")
+        for i in range(400)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html.extract(pages).collect()}
+    assert got[3] == " ".join(f"w3x{j}" for j in range(9)) and got[50] == ""
+    assert {got[100 + i] for i in range(30)} == {"Text 1 of its own 1\nText 1 of its own 1"}
+    assert all(got[200 + i].startswith(f"own {i}") for i in range(400))
+
+
 def test_pages_of_the_tables(spark, tables):
     got = {r.page_id: r for r in queries.op5_html(spark, tables).collect()}
     for page in spark.read.parquet(f"{tables}/pages.parquet").collect():

@@ -1,7 +1,7 @@
 """Main text of web pages: what a page says itself, without what its site repeats.
 
-A page's main text lies in its ``main`` or ``article`` elements, or else in its
-body. Elements that are not text of the article by their kind (navigation,
+A page's main text lies in its ``main`` elements, in its ``article`` elements if
+they hold half of what is left of the page or more, or else in its body. Elements that are not text of the article by their kind (navigation,
 headers, footers, asides, forms, scripts ...), their role, or words of their
 class or id (adverts, notices, comments ...) are left out.
 
@@ -13,15 +13,19 @@ show it. A node's importance weighs both,
 
     (1 - 0.9**l) * entropy of styles + 0.9**l * (1 - mean entropy of texts),
 
-with l styles. Text that all pages show alike has an importance near 0. Branches
-below :data:`LEAST_IMPORTANCE`, met on :data:`LEAST_PAGES` pages or more, are
-removed from each page. The tree judges what is not marked as the article:
-a ``main`` or ``article`` element counts as content, so copies of a page on one
-host do not take away its text.
+with l styles, and no less than the part of the texts: on a large site the
+entropy of a few hundred styles is small beside log m, and text that each page
+has for itself must not go for it. Text that all pages show alike has an
+importance near 0. Branches below :data:`LEAST_IMPORTANCE`, met on
+:data:`LEAST_PAGES` pages or more, are removed from each page, inside ``main`` and
+``article`` elements too. Pages of a host with equal features, its copies, count
+as one page, so copies alone do not take away a text. A page that shows nothing
+but what its site repeats has an empty text.
 
 Cases: a null or empty html has an empty text; broken markup is read as far as
-it can be; equal pages are counted each; a null url is a host of its own; an
-empty table gives no row. Other columns are not read.
+it can be; a null url is a host of its own; an empty table gives no row. Other
+columns are not read. A line that the site repeats in the very kind of element
+that holds the article's own lines is not told apart from them.
 """
 
 from __future__ import annotations
@@ -88,11 +92,11 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class _Node:
-    """An open or closed element: its path, and whether it is out or in the article."""
+    """An open or closed element: its path, whether it is out, and in an article (1) or the main element (2)."""
 
     __slots__ = ("tag", "path", "parent", "out", "article", "styles")
 
-    def __init__(self, tag: str, path: int, parent: _Node | None, out: bool, article: bool) -> None:
+    def __init__(self, tag: str, path: int, parent: _Node | None, out: bool, article: int) -> None:
         self.tag, self.path, self.parent, self.out, self.article = tag, path, parent, out, article
         self.styles = 0  # a hash of the child elements so far
 
@@ -111,12 +115,14 @@ def _left_out(tag: str, given: dict[str, str | None], inside: bool) -> bool:
         return True
     if (given.get("role") or "").lower() in _ROLES:
         return True
-    if tag in ("html", "body", "main", "article") and not inside:
+    if tag in ("html", "body", "main") and not inside:
         return False
     names = f"{given.get('class') or ''} {given.get('id') or ''}"
     if names == " ":
         return False
     found = {part.lower() for part in _PART.findall(names)}
+    if tag == "article" and not inside:
+        return bool(found & (_OTHER | _EDGES) and not found & _OWN)
     return bool(found & _OTHER) or bool(found & _EDGES and not found & _OWN)
 
 
@@ -125,7 +131,7 @@ class _Reader(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = _Node("", 0, None, False, False)
+        self.root = _Node("", 0, None, False, 0)
         self.now = self.root
         self.blocks: list[tuple[str, _Node]] = []
         self.text: list[str] = []
@@ -177,9 +183,10 @@ class _Reader(HTMLParser):
         given = dict(attrs)
         style = re.sub(r"\d+", "", f"{tag}.{given.get('class') or ''}#{given.get('id') or ''}")
         parent = self.now
-        article = parent.article or tag in ("main", "article") or given.get("role") == "main"
-        out = parent.out or _left_out(tag, given, parent.article)
-        node = _Node(tag, _hash(f"{parent.path}/{style}"), parent, out, article and not out)
+        main = tag == "main" or given.get("role") == "main"
+        article = max(parent.article, 2 if main else int(tag == "article"))
+        out = parent.out or _left_out(tag, given, bool(parent.article))
+        node = _Node(tag, _hash(f"{parent.path}/{style}"), parent, out, 0 if out else article)
         parent.styles = _hash(f"{parent.styles} {style}")
         # A cut-off inline element goes on in the next block; its text counts to the block.
         if out and not parent.out:
@@ -217,17 +224,15 @@ class _Reader(HTMLParser):
 
 def _judged(node: _Node) -> bool:
     """Whether the site's tree decides about an element."""
-    return not (node.out or node.article) and node.tag not in ("", "html", "body")
+    return not node.out and node.tag not in ("", "html", "body")
 
 
 def main_text(html: str, low: frozenset[int] = frozenset()) -> str:
     """The text of the article, one line a block; ``low``: paths to leave out."""
-    blocks = [(text, node) for text, node in _Reader().read(html).blocks if not node.out]
-    marked = [text for text, node in blocks if node.article]
-    if marked:
-        return "\n".join(marked)
     kept, seen = [], {}
-    for text, node in blocks:
+    for text, node in _Reader().read(html).blocks:
+        if node.out:
+            continue
         line, at = [], node
         while at is not None and id(at) not in seen:
             line.append(at)
@@ -237,41 +242,74 @@ def main_text(html: str, low: frozenset[int] = frozenset()) -> str:
             gone = gone or (at.path in low and _judged(at))
             seen[id(at)] = gone
         if not gone:
-            kept.append(text)
-    # The site's tree never takes the whole page.
-    return "\n".join(kept or [text for text, _ in blocks])
+            kept.append((text, node.article))
+    marked = [text for text, article in kept if article == 2]
+    if not marked:
+        # Small articles beside a longer text are teasers.
+        marked = [text for text, article in kept if article]
+        if 2 * sum(map(len, marked)) < sum(len(text) for text, _ in kept):
+            marked = [text for text, _ in kept]
+    return "\n".join(marked)
 
 
-#: Kinds of a counted feature: the node itself, a run of child elements, a text.
+#: Kinds of a counted feature, its last two bits: the node itself, a run of child elements, a text.
 NODE, STYLE, TEXT = 0, 1, 2
 
+#: Copies that a task leaves out already; it forgets them all and starts anew beyond that.
+SEEN = 1 << 16
+
+
+def _feature(kind: int, mark: int = 0) -> int:
+    return (mark & 0x3FFFFFFF) << 2 | kind
+
 
 def _features(batches):
-    """How many pages of a batch show each feature of each node: host, path, kind, feature, pages."""
-    names = ("host", "path", "kind", "feature")
+    """Of each page the features of its nodes, packed (all paths, then all features), and their digest."""
+    seen: set[tuple[str, int]] = set()
     for batch in batches:
-        hosts, pages = batch.column("host").to_pylist(), batch.column("html").to_pylist()
-        counts: dict[tuple, int] = {}
-        for host, html in zip(hosts, pages, strict=True):
+        rows = []
+        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = _Reader().read(html or "")
             own = set()
             for node in page.nodes:
                 if _judged(node):
-                    own.add((host, node.path, NODE, 0))
-                    own.add((host, node.path, STYLE, node.styles))
+                    own.add((node.path, _feature(NODE)))
+                    own.add((node.path, _feature(STYLE, node.styles)))
             for text, node in page.blocks:
-                mark = _hash(text)
+                mark = _feature(TEXT, _hash(text))
                 while node is not None:
                     if _judged(node):
-                        if (host, node.path, TEXT, mark) in own:
+                        if (node.path, mark) in own:
                             break
-                        own.add((host, node.path, TEXT, mark))
+                        own.add((node.path, mark))
                     node = node.parent
-            for key in own:
+            if not own:
+                continue
+            paths, marks = zip(*sorted(own), strict=True)
+            packed = np.array(paths, "<i8").tobytes() + np.array(marks, "<u4").tobytes()
+            digest = xxhash.xxh3_64_intdigest(packed) >> 1
+            if (host, digest) not in seen:
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add((host, digest))
+                rows.append((host, digest, packed))
+        if rows:
+            yield pa.RecordBatch.from_pydict(dict(zip(("host", "digest", "features"), map(list, zip(*rows, strict=True)), strict=True)))
+
+
+def _counted(batches):
+    """How many pages of a batch show each feature of each node: host, path, feature, pages."""
+    names = ("host", "path", "feature")
+    for batch in batches:
+        counts: dict[tuple, int] = {}
+        for host, packed in zip(batch.column("host").to_pylist(), batch.column("features").to_pylist(), strict=True):
+            number = len(packed) // 12
+            paths, marks = np.frombuffer(packed, "<i8", number), np.frombuffer(packed, "<u4", number, 8 * number)
+            for path, mark in zip(paths.tolist(), marks.tolist(), strict=True):
+                key = (host, path, mark)
                 counts[key] = counts.get(key, 0) + 1
         if counts:
             columns = dict(zip(names, map(list, zip(*counts, strict=True)), strict=True))
-            columns["kind"] = pa.array(columns["kind"], pa.int32())
             yield pa.RecordBatch.from_pydict(columns | {"pages": list(counts.values())})
 
 
@@ -281,20 +319,25 @@ def host(url: str = "url"):
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, pages and importance of every judged node of every host's tree."""
+    """host, path, pages (copies count once) and importance of every judged node of every host's tree."""
     prepare(pages.sparkSession)
     own = own_columns(pages, url="string", html="string")
     counted = (
         own.select(host().alias("host"), "html")
-        .mapInArrow(remote(_features), "host string, path long, kind int, feature long, pages long")
-        .groupBy("host", "path", "kind", "feature")
+        .mapInArrow(remote(_features), "host string, digest long, features binary")
+        .groupBy("host", "digest")
+        .agg(F.first("features").alias("features"))
+        .select("host", "features")
+        .mapInArrow(remote(_counted), "host string, path long, feature long, pages long")
+        .groupBy("host", "path", "feature")
         .agg(F.sum("pages").alias("pages"))
     )
     # By node the sums that both entropies need; m is known only at the end.
     log = F.log(F.col("pages").cast("double"))
-    style, text = F.col("kind") == STYLE, F.col("kind") == TEXT
+    kind = F.col("feature").bitwiseAND(3)
+    style, text = kind == STYLE, kind == TEXT
     sums = counted.groupBy("host", "path").agg(
-        F.max(F.when(F.col("kind") == NODE, F.col("pages"))).alias("m"),
+        F.max(F.when(kind == NODE, F.col("pages"))).alias("m"),
         F.count(F.when(style, 1)).alias("styles"),
         F.sum(F.when(style, F.col("pages") * log)).alias("style_logs"),
         F.sum(F.when(style, F.col("pages"))).alias("style_pages"),
@@ -305,7 +348,9 @@ def style_tree(pages: DataFrame) -> DataFrame:
     # -sum(p log p) with p = pages / n is log n - sum(pages log pages) / n.
     styles = (F.log(F.col("style_pages").cast("double")) - F.col("style_logs") / F.col("style_pages")) / m
     texts = 1 - F.coalesce(F.col("text_log") / m, F.lit(0.0))
-    importance = F.when(F.col("m") < 2, F.lit(1.0)).otherwise((1 - weight) * styles + weight * texts)
+    importance = F.when(F.col("m") < 2, F.lit(1.0)).otherwise(
+        F.greatest(texts, (1 - weight) * styles + weight * texts)
+    )
     return sums.select("host", "path", F.col("m").alias("pages"), importance.alias("importance"))
 
 
