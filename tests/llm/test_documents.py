@@ -187,6 +187,21 @@ def test_language_on_held_out_documents(spark, tables):
     assert got.where(f"held_out <> (crc32(string(doc_id)) % 3 = 1) or score < 0 or score > 1").isEmpty()
 
 
+def test_more_languages_than_bits_of_a_word(spark):
+    rng = np.random.default_rng(7)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    vocabularies = [["".join(rng.choice(letters, 6)) for _ in range(40)] for _ in range(70)]
+    rows = [
+        (70 * i + lang, " ".join(rng.choice(vocabularies[lang], 60)), f"l{lang:02d}")
+        for i in range(9) for lang in range(70)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {row.doc_id: row for row in language.identify(df).collect()}
+    assert all(got[key].lang_pred == lang for key, _, lang in rows if got[key].held_out)
+    assert {got[key].lang_pred for key, _, _ in rows} == {f"l{lang:02d}" for lang in range(70)}
+    assert language.drop_unidentified(df).count() == len(rows)
+
+
 def test_quality_against_labels(spark, tables):
     labels = spark.read.parquet(f"{tables}/labels.parquet")
     rows = queries.op6_quality(spark, tables).join(labels, "doc_id").collect()

@@ -7,12 +7,14 @@ counted over the whole corpus; those above :data:`SHARE` make up the language.
 
 They are stored in Bloom filters sliced by bit: one table whose cell i holds bit
 i of every language's filter, so that the AND of a few cells gives the bitmask
-of all languages with the n-gram. Per language, hits are counted over the text's
+of all languages with the n-gram. A cell is as many 64-bit words as the languages
+need. Per language, hits are counted over the text's
 n-grams (a popcount per bit); a filter with a share f of its bits set answers
 yes by chance for f**HASHES of the others, so n hits of m mean
 (n - m * p) / (1 - p) true ones. The most true hits win.
 
-The table has a fixed size. An n-gram that is in SHARE of a language's documents
+The table takes 8 MB for every 64 languages, on the driver and in each worker, and
+is filled 64 languages at a time. An n-gram that is in SHARE of a language's documents
 counts towards their n-grams, so there are at most (mean number of distinct
 n-grams of a document) / SHARE of them per language, however large the corpus.
 
@@ -40,8 +42,8 @@ SHARE = 0.02
 CELLS = 1 << 20
 UNKNOWN = "und"
 
-#: A language is counted in a bit of a 64-bit cell.
-MOST_LANGUAGES = 64
+#: A language is counted in a bit of a cell; each word of a cell has so many.
+WORD = 64
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -103,19 +105,24 @@ class Model:
 
     def __init__(self, languages: list[str], table: np.ndarray) -> None:
         self.languages, self.table = languages, table
-        bits = np.array([np.count_nonzero(table >> np.uint64(i) & np.uint64(1)) for i in range(len(languages))])
+        bits = np.array(
+            [np.count_nonzero(table[i // WORD] >> np.uint64(i % WORD) & np.uint64(1)) for i in range(len(languages))]
+        )
         self.chance = (bits / CELLS) ** HASHES
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score (share of the text's n-grams it truly has) of each text."""
         own, counts = grams(texts)
-        mask = None
-        for at in cells(own):
-            mask = self.table[at] if mask is None else mask & self.table[at]
+        places = cells(own)
         ends = np.concatenate([[0], np.cumsum(counts)])
         best, names = np.zeros(len(texts)), [UNKNOWN] * len(texts)
         for i, (lang, chance) in enumerate(zip(self.languages, self.chance, strict=True)):
-            hits = np.concatenate([[0], np.cumsum(mask >> np.uint64(i) & np.uint64(1), dtype=np.int64)])
+            if i % WORD == 0:
+                word = self.table[i // WORD]
+                mask = word[places[0]]
+                for at in places[1:]:
+                    mask = mask & word[at]
+            hits = np.concatenate([[0], np.cumsum(mask >> np.uint64(i % WORD) & np.uint64(1), dtype=np.int64)])
             number = (hits[ends[1:]] - hits[ends[:-1]]).astype(float)
             with np.errstate(invalid="ignore", divide="ignore"):
                 share = np.clip((number / counts - chance) / (1 - chance), 0, 1)
@@ -125,7 +132,7 @@ class Model:
 
 
 def learn(docs: DataFrame, share: float = SHARE) -> tuple[list[str], np.ndarray]:
-    """Languages and sliced filters from all documents with text and lang."""
+    """Languages and sliced filters (words, cells) from all documents with text and lang."""
     spark = docs.sparkSession
     prepare(spark)
     counted = materialize(
@@ -137,18 +144,18 @@ def learn(docs: DataFrame, share: float = SHARE) -> tuple[list[str], np.ndarray]
         "grams",
     )
     totals = {row["lang"]: row["docs"] for row in counted.where("gram = -1").orderBy("lang").collect()}
-    if len(totals) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     languages = sorted(totals)
-    table = np.zeros(CELLS, np.uint64)
-    if languages:
-        least = F.coalesce(*(F.when(F.col("lang") == lang, F.lit(total * share)) for lang, total in totals.items()))
+    table = np.zeros((max(1, -(-len(languages) // WORD)), CELLS), np.uint64)
+    for word, row in enumerate(table if languages else ()):
+        group = languages[word * WORD : (word + 1) * WORD]
+        place = {lang: i for i, lang in enumerate(group)}
+        least = F.coalesce(*(F.when(F.col("lang") == lang, F.lit(totals[lang] * share)) for lang in group))
         kept = counted.where((F.col("gram") >= 0) & (F.col("docs") >= least)).select("lang", "gram")
         for batch in kept.toArrow().to_batches():
-            owner = np.array([languages.index(lang) for lang in batch.column("lang").to_pylist()], np.uint64)
+            owner = np.array([place[lang] for lang in batch.column("lang").to_pylist()], np.uint64)
             values = batch.column("gram").to_numpy().astype(np.uint64)
             for at in cells(values):
-                np.bitwise_or.at(table, at, np.uint64(1) << owner)
+                np.bitwise_or.at(row, at, np.uint64(1) << owner)
     return languages, table
 
 
@@ -160,7 +167,7 @@ def _model(sent) -> Model:
     name, languages, table = sent.value
     if name not in _MODELS:
         _MODELS.clear()
-        _MODELS[name] = Model(languages, np.frombuffer(table, np.uint64))
+        _MODELS[name] = Model(languages, np.frombuffer(table, np.uint64).reshape(-1, CELLS))
     return _MODELS[name]
 
 
