@@ -54,6 +54,35 @@ def test_encoder_equals_the_tokenizer(monkeypatch, documents, part):
     assert [part.tolist() for part in np.split(ids, ends[:-1])] == want
 
 
+@pytest.mark.parametrize("part", [1 << 20, 8, 3])
+def test_special_strings_are_the_librarys_tokens(spark, monkeypatch, part):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "PART_CHARS", part)
+    library = Tokenizer.from_file(tokens.public_vocabulary())
+    texts = [
+        "a <|endoftext|> b", "<|endoftext|>", "one two<|endoftext|>three four  five six", "x <|endoftext|><|endoftext|> y z",
+        "a b c d e f g h <|endoftext|> i j k l m n o p", "<|endoftext| > none <|end of", "plain words only here",
+    ]
+    ids, ends = tokens.Encoder(tokens.public_vocabulary()).encode_many(texts * 2)
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts * 2]
+    assert want[0] == [64, 220, 50256, 275] and [own.tolist() for own in np.split(ids, ends[:-1])] == want
+    library.encode_special_tokens = True
+    ids, ends = tokens.Encoder(tokens.public_vocabulary(), plain_specials=True).encode_many(texts)
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert want[0] == [64, 1279, 91, 437, 1659, 5239, 91, 29, 275]
+    assert [own.tolist() for own in np.split(ids, ends[:-1])] == want
+
+
+def test_special_strings_in_the_queries_operators(spark):
+    df = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "c")], "doc_id long, text string")
+    for plain, n in ((False, 5), (True, 10)):
+        store = token_store.encode_documents(spark, df, tokens.public_vocabulary(), plain_specials=plain).collect()
+        assert {r.doc_id: (r.start, r.n_tokens) for r in store} == {1: (0, n), 2: (n, 2)}
+        rows = packing.pack(df, tokens.public_vocabulary(), plain_specials=plain).collect()
+        assert {r.doc_id: r.doc_tokens for r in rows} == {1: n, 2: 2}
+
+
 def test_token_store(spark, tables, encoded):
     got = {row.doc_id: row for row in queries.op1_token_store(spark, tables).collect()}
     start = 0

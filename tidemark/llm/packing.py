@@ -78,10 +78,10 @@ def place(tokens: np.ndarray, capacity: int) -> dict[str, np.ndarray]:
     }
 
 
-def _cut(batches, vocabulary: str, capacity: int, end: int):
+def _cut(batches, vocabulary: str, capacity: int, end: int, plain_specials: bool):
     for batch in batches:
         tokens, sums, counts = [], [], []
-        for ids in encoded(vocabulary, texts(batch.column("text")), end):
+        for ids in encoded(vocabulary, texts(batch.column("text")), end, plain_specials):
             tokens.append(len(ids))
             wide = ids.astype("<u4")
             own = [zlib.crc32(wide[i : i + capacity]) for i in range(0, len(wide), capacity)]
@@ -98,13 +98,18 @@ def _cut(batches, vocabulary: str, capacity: int, end: int):
         )
 
 
-def cut_documents(docs: DataFrame, vocabulary: str, capacity: int = SEQUENCE, end: int = END) -> DataFrame:
+def cut_documents(
+    docs: DataFrame, vocabulary: str, capacity: int = SEQUENCE, end: int = END, plain_specials: bool = False
+) -> DataFrame:
     """doc_id, slot (place of the row), doc_tokens, and the checksum of each cut piece."""
     prepare(docs.sparkSession)
     return (
         own_columns(docs, doc_id="long", text="string")
         .withColumn("slot", F.monotonically_increasing_id())
-        .mapInArrow(remote(_cut, vocabulary, capacity, end), "doc_id long, slot long, doc_tokens long, sums array<long>")
+        .mapInArrow(
+            remote(_cut, vocabulary, capacity, end, plain_specials),
+            "doc_id long, slot long, doc_tokens long, sums array<long>",
+        )
     )
 
 
@@ -129,7 +134,10 @@ def _fill(key, table: pa.Table, capacity: int) -> pa.Table:
     )
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = SEQUENCE, group_docs: int = GROUP_DOCS) -> DataFrame:
+def pack(
+    docs: DataFrame, vocabulary: str, capacity: int = SEQUENCE, group_docs: int = GROUP_DOCS,
+    plain_specials: bool = False,
+) -> DataFrame:
     """One row per piece: where it lies in its document, and in which sequence.
 
     ``sequence_id`` is the group's number times 2**32 plus the sequence's in it.
@@ -138,7 +146,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = SEQUENCE, group_docs:
     groups = max(1, -(-docs.count() // group_docs))
 
     return (
-        cut_documents(docs, vocabulary, capacity)
+        cut_documents(docs, vocabulary, capacity, plain_specials=plain_specials)
         .withColumn("lot", F.pmod(F.xxhash64("slot"), F.lit(groups)))
         .repartition(partitions(spark), "lot")
         .groupBy("lot")

@@ -93,7 +93,7 @@ class Shard:
             yield doc_id, begin, self.ids[begin:stop]
 
 
-def _write(batches, vocabulary: str, folder: str, end: int):
+def _write(batches, vocabulary: str, folder: str, end: int, plain_specials: bool):
     task = TaskContext.get().partitionId()
     held: list[np.ndarray] = []
     doc_ids: list[int | None] = []
@@ -111,7 +111,8 @@ def _write(batches, vocabulary: str, folder: str, end: int):
 
     for batch in batches:
         numbers = batch.column("doc_id").to_pylist()
-        for doc_id, ids in zip(numbers, encoded(vocabulary, texts(batch.column("text")), end), strict=True):
+        found = encoded(vocabulary, texts(batch.column("text")), end, plain_specials)
+        for doc_id, ids in zip(numbers, found, strict=True):
             held.append(ids)
             doc_ids.append(doc_id)
             size += ids.nbytes
@@ -138,7 +139,9 @@ def _read(batches):
             )
 
 
-def write_store(docs: DataFrame, vocabulary: str, folder: str, end: int = 0) -> DataFrame:
+def write_store(
+    docs: DataFrame, vocabulary: str, folder: str, end: int = 0, plain_specials: bool = False
+) -> DataFrame:
     """Write the documents' ids as shards into ``folder``, in order of doc_id.
 
     Returns the manifest: path, shard (rising with doc_id), documents and ids of
@@ -153,7 +156,8 @@ def write_store(docs: DataFrame, vocabulary: str, folder: str, end: int = 0) ->
         .repartitionByRange(partitions(spark), "doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
-    manifest = materialize(ordered.mapInArrow(remote(_write, vocabulary, folder, end), MANIFEST), "token-manifest")
+    written = ordered.mapInArrow(remote(_write, vocabulary, folder, end, plain_specials), MANIFEST)
+    manifest = materialize(written, "token-manifest")
     remove_unfinished(spark, folder)
     # One row a shard, so a single ordered window is small.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -172,7 +176,10 @@ def read_store(manifest: DataFrame) -> DataFrame:
     )
 
 
-def encode_documents(spark: SparkSession, docs: DataFrame, vocabulary: str) -> DataFrame:
+def encode_documents(
+    spark: SparkSession, docs: DataFrame, vocabulary: str, plain_specials: bool = False
+) -> DataFrame:
     """Write all documents to a new store in the shared folder and read it back."""
-    encoder(vocabulary)  # fail here if the file is not a tokenizer
-    return read_store(write_store(docs, vocabulary, shared_folder(spark, "token-store")))
+    encoder(vocabulary, plain_specials)  # fail here if the file is not a tokenizer
+    folder = shared_folder(spark, "token-store")
+    return read_store(write_store(docs, vocabulary, folder, plain_specials=plain_specials))

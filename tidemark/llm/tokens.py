@@ -23,6 +23,7 @@ _FIRST = "\ufdd0"
 #: White space other than the space itself.
 _OTHER_SPACE = re.compile(r"[^\S ]|\u180e")
 _CUT = re.compile(r"(?<![\s\u180e]) (?![\s\u180e])")
+_SPACE = re.compile(r"[\s\u180e]")
 
 
 def public_vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -32,18 +33,6 @@ def public_vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def _parts(text: str):
-    """The text cut at spaces where the tokenizer begins a new piece anyway."""
-    begin = 0
-    while len(text) - begin > PART_CHARS:
-        cut = _CUT.search(text, begin + PART_CHARS)
-        if cut is None:
-            break
-        yield text[begin : cut.start()]
-        begin = cut.start()
-    yield text[begin:]
-
-
 def _safe(text: str) -> bool:
     """Whether every space alone separates two characters that are not white space."""
     if text[0] == " " or text[-1] == " " or "  " in text or _FIRST in text:
@@ -60,15 +49,25 @@ class Encoder:
     The byte-level rule begins a new piece at every single space between two
     characters that are not white space, so a text may be cut there and its
     parts encoded alone. A part with other spaces (doubled, or beside a line
-    break) is encoded whole. Strings of special tokens are ordinary text.
+    break) is encoded whole, and so is one that holds an added token. Strings of
+    special tokens in a text are those tokens, as the library has it, or ordinary
+    text if ``plain_specials``.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain_specials: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_specials
+        added = [
+            token.content
+            for token in self.tokenizer.get_added_tokens_decoder().values()
+            if token.content and not (plain_specials and token.special)
+        ]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.reach = max(map(len, added), default=0) + 1
+        self.joined = not any(map(_SPACE.search, added))  # words side by side make no added token
         size = self.tokenizer.get_vocab_size()
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.spaced = np.zeros(size, bool)
@@ -82,6 +81,22 @@ class Encoder:
         self.ends = np.zeros(1 << 16, np.int64)  # ends[i + 1] is where word i stops
         self.used = 0
 
+    def _holds_added(self, text: str) -> bool:
+        return self.added is not None and self.added.search(text) is not None
+
+    def _parts(self, text: str):
+        """The text cut at spaces where the tokenizer begins a new piece anyway, not near an added token."""
+        begin = 0
+        while len(text) - begin > PART_CHARS:
+            cut = _CUT.search(text, begin + PART_CHARS)
+            while cut and self._holds_added(text[max(0, cut.start() - self.reach) : cut.end() + self.reach]):
+                cut = _CUT.search(text, cut.end())
+            if cut is None:
+                break
+            yield text[begin : cut.start()]
+            begin = cut.start()
+        yield text[begin:]
+
     def _plain(self, text: str) -> np.ndarray:
         return np.array(
             self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind
@@ -101,6 +116,8 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         alone = [word for word in words if word[0] == _FIRST]
         later = [word for word in words if word[0] != _FIRST]
+        if not self.joined:
+            alone, later = alone + later, []
         if later:
             # Each has one space, in front of it, so tokens that begin with one are word starts.
             ids = self._plain(" " + " ".join(later))
@@ -118,9 +135,9 @@ class Encoder:
         plan, words = [], []  # of each part: its ids, or how many words it has
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            for part in _parts(text) if text else ():
+            for part in self._parts(text) if text else ():
                 later = part[0] == " " and len(part) < len(text)  # a part begins at its space
-                if not _safe(part[1:] if later else part):
+                if not _safe(part[1:] if later else part) or self._holds_added(part):
                     plan.append((i, self._plain(part)))
                     continue
                 cut = part[1:].split(" ") if later else part.split(" ")
@@ -152,19 +169,20 @@ class Encoder:
         return (np.concatenate(out) if out else own), np.cumsum(counts)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain_specials: bool = False) -> Encoder:
     """This worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    key = (path, plain_specials)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, plain_specials)
+    return _ENCODERS[key]
 
 
-def encoded(path: str, texts: list[str], end: int | None = None):
+def encoded(path: str, texts: list[str], end: int | None = None, plain_specials: bool = False):
     """The ids of each text in turn; few texts are held encoded at a time."""
-    coder = encoder(path)
+    coder = encoder(path, plain_specials)
     for begin, stop in pieces([len(text) for text in texts], 1 << 20):
         ids, ends = coder.encode_many(texts[begin:stop], end)
         yield from np.split(ids, ends[:-1])
