@@ -65,6 +65,27 @@ def test_archives_of_odd_pages(spark, tmp_path):
     assert queries.warc.archive_pages(spark, pages.limit(0)).isEmpty()
 
 
+def test_headers_of_any_length(spark, tmp_path):
+    url = "data:text/html," + "x" * (2 << 20)
+    plain = [warc.record(i, url, b"<p>page", "0" * 64, None) for i in range(2)]
+    for parts in (plain, list(map(warc.member, plain))):
+        assert [kind for kind, _ in records(b"".join(parts))] == ["record"] * 2
+    pages = spark.createDataFrame([(1, url, "<p>page"), (2, "u", "x")], "page_id long, url string, html string")
+    read = warc.read_archives(warc.write_archives(pages, f"file://{tmp_path}")).collect()
+    assert {r.page_id: r.url for r in read} == {1: url, 2: "u"} and not any(r.problem for r in read)
+
+
+def test_a_lost_record_fails_the_query(spark, tables, monkeypatch):
+    whole = warc.archive_pages
+
+    def damaged(*given):
+        return whole(*given).withColumn("problem", F.when(F.col("page_id") % 5 == 0, "no header"))
+
+    monkeypatch.setattr(warc, "archive_pages", damaged)
+    with pytest.raises(Exception, match="cannot be read back: no header"):
+        queries.op9_warc(spark, tables).count()
+
+
 def test_main_text():
     page = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
       <header><a>Site</a></header><nav><ul><li>Menu<li>More</ul></nav><div class="cookie-notice">We use</div>

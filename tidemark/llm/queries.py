@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat,
@@ -67,6 +68,9 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     read = warc.archive_pages(spark, table(spark, folder, "pages"))
+    # Whatever cannot be read back is lost, so the query must not go on without it.
+    lost = F.raise_error(F.concat(F.lit("a record cannot be read back: "), "problem")).cast("boolean")
+    read = read.where(F.when(F.col("problem").isNull(), True).otherwise(lost))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

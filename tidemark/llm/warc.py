@@ -11,7 +11,8 @@ between as a quarantined gap. It holds one record at a time.
 
 Cases: a null html is an empty payload; a null page_id is written without that
 header and is never referred to by others with one; rows that repeat the
-smallest page_id and its payload are all responses; line breaks in a URL are
+smallest page_id and its payload are all responses; a header may have any length
+(a very long url), and is held whole like the rest of its record; line breaks in a URL are
 percent-encoded in the archive and restored; an empty table gives no archive.
 Other columns are not read.
 """
@@ -44,7 +45,6 @@ GZIP_MARK = b"\x1f\x8b\x08"
 VERSION_MARK = b"WARC/1."
 
 CHUNK = 1 << 20
-MOST_HEADER = 1 << 20
 
 _SPACE = uuid.UUID("6f1c0f3e-8f0e-4c1e-9a51-5a3f0d2b7c11")
 
@@ -114,7 +114,7 @@ class _Window:
 
 def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
     """Header fields (names lower-cased), block and length of the record data begins with."""
-    head_end = data.find(b"\r\n\r\n", 0, MOST_HEADER)
+    head_end = data.find(b"\r\n\r\n")
     if not data.startswith(VERSION_MARK) or head_end < 0:
         raise Damaged("no header")
     try:
@@ -150,8 +150,11 @@ def _member(window: _Window, begin: int) -> tuple[bytes, int]:
 
 def _plain(window: _Window, begin: int) -> tuple[bytes, int]:
     """The data of the uncompressed record at ``begin``."""
-    head = window.read(begin, MOST_HEADER)
-    end = head.find(b"\r\n\r\n")
+    count, end = CHUNK, -1
+    while end < 0 and count < 2 * max(CHUNK, window.size - begin):
+        head = window.read(begin, count)
+        end = head.find(b"\r\n\r\n")
+        count *= 2
     named = re.search(rb"(?i)\r\ncontent-length:\s*(\d{1,18})\s*(?:\r\n|$)", head[: max(end, 0)])
     if end < 0 or named is None:
         raise Damaged("no header")
@@ -290,7 +293,7 @@ def _read(batches, payloads: bool):
                     if not payloads:
                         row.pop("payload", None)
                     rows.append(row)
-                    size += 200 + len(row.get("payload") or b"")
+                    size += 200 + len(row.get("payload") or b"") + len(row.get("url") or "")
                     if size >= CHUNK:
                         yield pa.RecordBatch.from_pylist(rows, schema=_READ)
                         rows, size = [], 0
