@@ -101,6 +101,24 @@ def test_token_shard_selects_documents():
     assert [shard.document(i).tolist() for i in range(5)] == [[0, 1], [2], [], [3, 4, 5, 6, 7, 8], [9]]
 
 
+def test_reading_a_shard_selects(monkeypatch):
+    """Neither the stops nor the document ids are unpacked into a table."""
+    def unpacked(self):
+        raise AssertionError("all values unpacked")
+
+    rng = np.random.default_rng(4)
+    doc_ids = [None] * 3 + np.sort(rng.integers(-(2**62), 2**62, 2000)).tolist()
+    ends = np.cumsum(rng.integers(0, 40, len(doc_ids)) * (rng.random(len(doc_ids)) < 0.5))
+    ids = rng.integers(0, 50_000, ends[-1]).astype(np.uint16)
+    data = b"".join(token_store.shard_bytes(doc_ids, ends, ids))
+    monkeypatch.setattr(elias_fano.EliasFano, "values", unpacked)
+    shard = token_store.Shard(data)
+    got = list(shard.documents())
+    assert [key for key, _, _ in got] == doc_ids and [begin for _, begin, _ in got] == [0, *ends[:-1].tolist()]
+    assert (np.concatenate([own for _, _, own in got]) == ids).all()
+    assert all((shard.document(i) == got[i][2]).all() for i in range(0, len(got), 97))
+
+
 def test_packing(spark, tables, encoded):
     rows = queries.op8_packing(spark, tables).toPandas()
     for key, own in rows.sort_values("start").groupby("doc_id"):

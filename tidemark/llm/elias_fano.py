@@ -8,6 +8,7 @@ one of the unary code has its place noted, so select reads a bounded stretch.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -81,6 +82,18 @@ class EliasFano:
                 return (place - i) << self.low | int(self._low(i, 1)[0])
             left, block, skip = left - len(ones), block + 64, 0
 
+    def __iter__(self) -> Iterator[int]:
+        """The values in order, SAMPLE of them selected at a time from their noted place on."""
+        for begin in range(0, self.n, SAMPLE):
+            block, count = begin // SAMPLE, min(SAMPLE, self.n - begin)
+            place = int(self.samples[block])
+            stop = int(self.samples[block + 1]) if block + 1 < len(self.samples) else 8 * len(self.upper)
+            bits = np.unpackbits(self.upper[place // 8 : -(-stop // 8)], bitorder="little")
+            bits[: place % 8] = 0
+            ones = np.flatnonzero(bits)[:count] + place // 8 * 8
+            high = (ones - np.arange(begin, begin + count)).astype(np.uint64) << np.uint64(self.low)
+            yield from (high | self._low(begin, count)).tolist()
+
     def values(self) -> np.ndarray:
         """All values."""
         ones = np.flatnonzero(np.unpackbits(self.upper, bitorder="little"))[: self.n]

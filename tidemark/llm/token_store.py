@@ -20,6 +20,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,9 @@ _HEAD = struct.Struct("<8sIQQQQqq")
 SHARD_BYTES = 32 << 20
 SHARD_DOCS = 1 << 18
 
+#: Rows given out at a time when shards are read.
+READ_ROWS = 1 << 13
+
 MANIFEST = "path string, shard long, docs long, ids long"
 
 
@@ -67,18 +71,24 @@ class Shard:
         at = _HEAD.size
         self.stops = elias_fano.EliasFano(view[at:])
         at += self.stops.size
-        known = []
+        self.known = []  # with their bases; left in code until asked for
         for base in bases:
             part = elias_fano.EliasFano(view[at:])
             at += part.size
-            known.append((part.values() + np.uint64(base & (1 << 64) - 1)).view(np.int64))
-        if len(known[0]) != below or len(self.stops) != self.docs:
+            self.known.append((base, part))
+        counts = [len(part) for _, part in self.known]
+        if counts != [below, self.docs - self.missing - below] or len(self.stops) != self.docs:
             raise ValueError("the shard's counts disagree")
-        self.known = np.concatenate(known)
         self.ids = np.frombuffer(view, f"<u{width}", count, at)
 
+    def _doc_ids(self) -> Iterator[int | None]:
+        yield from repeat(None, self.missing)
+        for base, part in self.known:
+            for value in part:
+                yield base + value
+
     def doc_ids(self) -> list[int | None]:
-        return [None] * self.missing + self.known.tolist()
+        return list(self._doc_ids())
 
     def document(self, i: int) -> np.ndarray:
         """Ids of the document at position ``i``, by select."""
@@ -87,10 +97,10 @@ class Shard:
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """Each document's id, place of its first id, and ids."""
-        stops = self.stops.values().astype(np.int64)
-        begins = np.concatenate([[0], stops[:-1]])
-        for doc_id, begin, stop in zip(self.doc_ids(), begins.tolist(), stops.tolist(), strict=True):
+        begin = 0
+        for doc_id, stop in zip(self._doc_ids(), self.stops, strict=True):
             yield doc_id, begin, self.ids[begin:stop]
+            begin = stop
 
 
 def _write(batches, vocabulary: str, folder: str, end: int, plain_specials: bool):
@@ -129,14 +139,15 @@ def _read(batches):
             store, place = locate(path)
             with store.open_input_file(place) as stream:
                 shard = Shard(stream.read())
-            rows = [
+            found = shard.documents()
+            while rows := [
                 (doc_id, start + begin, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
-                for doc_id, begin, ids in shard.documents()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+                for doc_id, begin, ids in islice(found, READ_ROWS)
+            ]:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)],
+                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                )
 
 
 def write_store(
