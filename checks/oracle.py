@@ -296,6 +296,9 @@ def oracle() -> dict[str, str]:
     return {
         "silver_robot_signals": f"""WITH {SILVER_ROBOT}
             SELECT * EXCLUDE (joint_positions), {joints} FROM silver""",
+        "silver_robot_joints": f"""WITH {SILVER_ROBOT}
+            SELECT "timestamp", robot_id, unnest(range(len(joint_positions))) AS place,
+              unnest(joint_positions)::DOUBLE AS value FROM silver""",
         "silver_plc_registers": f"WITH {SILVER_PLC} SELECT * FROM silver",
         "silver_wearable_biometrics": f"""WITH {SILVER_BIO}
             SELECT * REPLACE (heart_rate_variability::DOUBLE AS heart_rate_variability) FROM silver""",

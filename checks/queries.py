@@ -89,6 +89,14 @@ def silver_robot_signals(spark, folder):
     return _joints_apart(silver.silver_robot_signals(_bronze(spark, folder, ROBOTICS)))
 
 
+@query
+def silver_robot_joints(spark, folder):
+    """The whole joint list, one row per place."""
+    signals = silver.silver_robot_signals(_bronze(spark, folder, ROBOTICS))
+    own = signals.select("timestamp", "robot_id", F.posexplode("joint_positions").alias("place", "value"))
+    return own.withColumns({"place": F.col("place").cast("bigint"), "value": F.col("value").cast("double")})
+
+
 @query
 def silver_plc_registers(spark, folder):
     return silver.silver_plc_registers(_bronze(spark, folder, MANUFACTURING))
