@@ -97,3 +97,44 @@ def pieces(lengths: list[int], most: int):
         held += length
     if begin < len(lengths):
         yield begin, len(lengths)
+
+
+def runs(batches, names: list[str]):
+    """(key, batches of its rows) for each run of equal integer columns ``names`` of sorted rows."""
+    key, held = None, []
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(name).to_numpy() for name in names]
+        turn = np.zeros(len(batch), bool)
+        for column in columns:
+            turn[1:] |= column[1:] != column[:-1]
+        starts = [0, *np.flatnonzero(turn).tolist(), len(batch)]
+        for begin, stop in zip(starts[:-1], starts[1:], strict=True):
+            own = tuple(int(column[begin]) for column in columns)
+            if own != key and held:
+                yield key, held
+                held = []
+            key = own
+            held.append(batch.slice(begin, stop - begin))
+    if held:
+        yield key, held
+
+
+#: A key with more than this share of the rows is joined apart, so there are at most this many.
+HOT_KEYS = 1000
+
+
+def join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join with a ``right`` that has one row per key and only fixed-size columns.
+
+    Rows whose key holds more than a thousandth of ``left`` stay where they are:
+    the at most thousand keys concerned are sent to them. The rest is shuffled.
+    ``left`` is read three times, so it should be written.
+    """
+    most = left.count() / HOT_KEYS
+    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(key)
+    sent = F.broadcast(right.join(F.broadcast(hot), key, "left_semi"))
+    here = left.join(F.broadcast(hot), key, "left_semi").join(sent, key, "left")
+    rest = left.join(F.broadcast(hot), key, "left_anti").join(right, key, "left")
+    return here.unionByName(rest)

@@ -12,11 +12,14 @@ from tidemark.llm import (
     chat,
     decontaminate,
     fingerprints,
+    hard_negatives,
     html,
     language,
+    merkle,
     neardup,
     packing,
     quality,
+    simhash,
     token_store,
     warc,
 )
@@ -81,10 +84,24 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("items", "spans")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = hard_negatives.integers(hard_negatives.shifted(table(spark, folder, "embeddings")))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, folder, "documents"))
+
+
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def registry() -> dict[str, Query]:
     own = (
         op1_token_store, op2_chat, op3_fingerprints, op4_neardup, op5_html, op6_quality,
-        op7_language, op8_packing, op9_warc, op10_decontamination,
+        op7_language, op8_packing, op9_warc, op10_decontamination, op11_hard_negatives, op12_merkle,
+        op13_simhash,
     )
     return {query.__name__: query for query in own}
 
@@ -165,9 +182,85 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
+_NEGATIVES = """
+WITH own AS MATERIALIZED (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS code
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_dot_product(a.code, b.code)::BIGINT AS score
+  FROM own a JOIN own b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+positives AS MATERIALIZED (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INTEGER AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return "sha256(" + " || ".join(_field(value) for value in fields) + ")"
+
+
+_MERKLE = f"""
+WITH RECURSIVE own AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf,
+    CASE WHEN xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda ch: [ascii(ch), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 5 = 0
+    THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS forged
+  FROM documents),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n FROM own),
+low AS MATERIALIZED (
+  SELECT 0 AS lvl, tree, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT lvl + 1, tree, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16
+  FROM low WHERE n > 1 GROUP BY lvl, tree, pos // 16, n),
+subs AS MATERIALIZED (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS MATERIALIZED (
+  SELECT 100 AS lvl, pos, h, n FROM subs
+  UNION ALL
+  SELECT lvl + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16
+  FROM high WHERE n > 1 GROUP BY lvl, pos // 16, n),
+asked AS (
+  SELECT p.r, l.lvl, l.pos, l.h, (p.pos >> (4 * l.lvl)) AS spot FROM placed p JOIN low l
+    ON l.tree = p.tree AND l.n > 1 AND (l.pos // 16) = (p.pos >> (4 * l.lvl + 4))
+  UNION ALL
+  SELECT p.r, t.lvl, t.pos, t.h, (s.pos >> (4 * (t.lvl - 100))) AS spot FROM placed p JOIN subs s USING (tree) JOIN high t
+    ON t.n > 1 AND (t.pos // 16) = (s.pos >> (4 * (t.lvl - 100) + 4))),
+steps AS MATERIALIZED (
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY lvl) AS step,
+    coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos < spot), '') AS before,
+    coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos > spot), '') AS after
+  FROM asked GROUP BY r, lvl),
+folded AS (
+  SELECT r, 0::BIGINT AS step, coalesce(forged, leaf) AS h FROM placed
+  UNION ALL
+  SELECT f.r, s.step, sha256(s.before || f.h || s.after) FROM folded f JOIN steps s ON s.r = f.r AND s.step = f.step + 1),
+proofs AS (SELECT r, string_agg(before || after, '' ORDER BY step) AS siblings FROM steps GROUP BY r)
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+  e.h AS folded_root, e.h = t.h AS verified
+FROM placed p JOIN subs s USING (tree) JOIN (SELECT h FROM high WHERE n = 1) t ON true
+LEFT JOIN proofs USING (r) JOIN (SELECT r, last(h ORDER BY step) AS h FROM folded GROUP BY r) e USING (r)"""
+
 
 def oracle() -> dict[str, str]:
     """SQL for the queries that it can express; tests/llm has the others."""
     return {
         "op2_chat": _CHAT, "op4_neardup": _NEARDUP, "op9_warc": _WARC, "op10_decontamination": _LEAKS,
+        "op11_hard_negatives": _NEGATIVES, "op12_merkle": _MERKLE,
     }
