@@ -154,6 +154,8 @@ hourly AS (
   FROM grid LEFT JOIN hrv
     ON hrv.event_type = grid.event_type AND date_trunc('hour', hrv.ts) = grid.start
   GROUP BY grid.event_type, grid.start)"""
+WATERMARK = "(SELECT (max(epoch_us(ts)) - 600000000) // 1000 * 1000 FROM events)"
+CLOSED = f"epoch_us(ts) // 600000000 * 600000000 + 600000000 <= {WATERMARK}"
 ALERT = "CASE WHEN bool_or(status = 'idle') OVER ({}) THEN 'ALERT_PENDING' ELSE 'AUTONOMOUS' END"
 
 
@@ -450,7 +452,29 @@ def oracle() -> dict[str, str]:
                 'streaming' AS status
               FROM hrv GROUP BY 1, 2)
             SELECT * FROM windows""",
-        "stream_count_frames": f"WITH {COUNT_FRAMES} SELECT * FROM framed WHERE sample_count = 17",
+        # Streams give out what the last watermark, ten minutes before the newest row, has passed.
+        "stream_count_frames": f"""WITH {COUNT_FRAMES.replace("WHERE hrv IS NOT NULL", f"WHERE hrv IS NOT NULL AND {CLOSED}")}
+            SELECT * FROM framed WHERE sample_count = 17""",
+        "stream_idle_frames": f"""WITH {HOURLY}
+            SELECT * FROM hourly WHERE epoch_us(frame_start) + 3600000000 <= {WATERMARK}""",
+        "stream_frame_history": f"""WITH {HOURLY},
+            marked AS (
+              SELECT event_type, frame, frame_start, metric_value,
+                count(*) OVER recent AS history_count, min(metric_value) OVER recent AS history_min,
+                max(metric_value) OVER recent AS history_max,
+                round(avg(metric_value) OVER recent, 10) AS history_avg,
+                max(CASE WHEN status = 'idle' THEN frame END) OVER upto AS last_idle,
+                max(CASE WHEN frame % 5 = 2 THEN frame END) OVER before AS last_reset,
+                max(epoch_us(frame_start) + CASE WHEN frame % 5 = 2 THEN 1800000000 ELSE 0 END) OVER () AS newest
+              FROM hourly
+              WINDOW recent AS (PARTITION BY event_type ORDER BY frame ROWS 119 PRECEDING),
+                upto AS (PARTITION BY event_type ORDER BY frame),
+                before AS (PARTITION BY event_type ORDER BY frame
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+            SELECT event_type, frame, metric_value, history_count, history_min, history_max, history_avg,
+              CASE WHEN last_idle > coalesce(last_reset, -1) THEN 'ALERT_PENDING' ELSE 'AUTONOMOUS' END
+                AS hardware_status
+            FROM marked WHERE epoch_us(frame_start) + 3600000000 <= newest - 2 * 86400000000""",
         "stream_bronze_ingest": f"""
             SELECT ts AS "timestamp", {_mask("'PAT-' || user_id")} AS patient_id_hashed,
               event_type AS study_id, NULL::VARCHAR AS age_bracket, NULL::VARCHAR AS region,

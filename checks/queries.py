@@ -35,7 +35,8 @@ from tidemark.sources.alignment import align_to_schema as align
 from tidemark.sources.lakehouse import Lakehouse
 from tidemark.sources.run_results import parse_run_results
 from tidemark.sources.run_results import read_run_results as read_results
-from tidemark.streaming.downsample import CountFrames, read_time_frames, write_time_frames
+from tidemark.streaming import stateful
+from tidemark.streaming.downsample import read_time_frames, write_time_frames
 from tidemark.streaming.downsample import stream_downsample_time as time_frames
 from tidemark.streaming.ingest import append_scores as stream_scores
 from tidemark.streaming.ingest import stream_bronze_ingest as stream_ingest
@@ -480,62 +481,87 @@ def latest_history(spark, folder):
     )
 
 
-def _event_stream(spark, folder):
-    schema = _table(spark, folder, "events").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-        .select("event_type", "ts", "event_id", F.floor("value").cast("int").alias("hrv"))
-    )
+def _feed(df: DataFrame, moment: str = "ts", late: str = "0", parts: int = 4) -> DataFrame:
+    """A table as a stream of ``parts`` micro-batches in the order of arrival.
 
-
-@query
-def stream_downsample_time(spark, folder):
-    """Time frames of events that arrive up to six minutes late, in four micro-batches."""
-    feed, written = scratch_path(spark, "feed"), scratch_path(spark, "frames")
-    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 7 * 60_000_000
-    events = _table(spark, folder, "events").withColumn("_arrival", arrival)
-    first, last = events.agg(F.min("_arrival"), F.max("_arrival")).first()
-    step = (last - first) // 4 + 1
-    for part in range(4):
+    ``late`` is by how many microseconds a row arrives after ``moment``.
+    """
+    spark = df.sparkSession
+    feed = scratch_path(spark, "feed")
+    arrival = F.unix_micros(F.col(moment).cast("timestamp")) + F.expr(late)
+    arriving = df.withColumn("_arrival", arrival)
+    first, last = arriving.agg(F.min("_arrival"), F.max("_arrival")).first()
+    step = (last - first) // parts + 1
+    for part in range(parts):
         begin = first + part * step
         (
-            events.filter(F.col("_arrival").between(begin, begin + step - 1))
+            arriving.filter(F.col("_arrival").between(begin, begin + step - 1))
             .drop("_arrival").coalesce(1).write.mode("append").parquet(feed)
         )
-    stream = (
-        spark.readStream.schema(_table(spark, folder, "events").schema)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(feed)
-        .select("event_type", "ts", F.floor("value").cast("int").alias("hrv"))
-    )
-    framed = time_frames(
-        stream, "hrv", "event_type", "ts", step_us=600_000_000, delay="10 minutes", **_HRV
-    )
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+
+
+#: Events arrive up to six minutes late; the streams wait for ten.
+_LATE = "event_id % 7 * 60000000"
+_TEN = "10 minutes"
+
+
+@query
+def stream_downsample_time(spark, folder):
+    """Time frames of events that arrive up to six minutes late, in four micro-batches."""
+    written = scratch_path(spark, "frames")
+    stream = _feed(_heart_rates(spark, folder), late=_LATE)
+    framed = time_frames(stream, "hrv", "event_type", "ts", step_us=600_000_000, delay=_TEN, **_HRV)
     write_time_frames(framed, written, scratch_path(spark, "checkpoint"), once=True).awaitTermination()
     return read_time_frames(spark, written, "event_type")
 
 
+def _written(spark: SparkSession, frames: DataFrame) -> DataFrame:
+    """What a stream of frames gives out by its last micro-batch."""
+    written = scratch_path(spark, "frames")
+    stateful.write_frames(frames, written, scratch_path(spark, "checkpoint"), once=True).awaitTermination()
+    return spark.read.schema(frames.schema).parquet(written)
+
+
 @query
 def stream_count_frames(spark, folder):
-    """Full frames of exactly 17 samples from the replayed event stream."""
-    framer = CountFrames(
-        scratch_path(spark, "count-frames"), "hrv", "event_type", ["ts", "event_id"],
-        **_HRV,
+    """Full frames of exactly 17 samples from late events, in four micro-batches."""
+    stream = _feed(_heart_rates(spark, folder), late=_LATE)
+    return _written(
+        spark,
+        stateful.stream_count_frames(stream, "hrv", "event_type", ["ts", "event_id"], span=_TEN, delay=_TEN, **_HRV),
     )
-    framer.start(
-        _event_stream(spark, folder), scratch_path(spark, "checkpoint"), once=True
-    ).awaitTermination()
-    return framer.frames(spark)
+
+
+@query
+def stream_idle_frames(spark, folder):
+    """Hourly frames and gaps of the same stream, up to its last watermark."""
+    rates = _heart_rates(spark, folder)
+    start = rates.agg(F.min("ts")).first()[0].replace(minute=0, second=0, microsecond=0)
+    ranges = stateful.stream_idle_frames(
+        _feed(rates, late=_LATE), "hrv", "event_type", "ts", start=start, step_us=3_600_000_000, delay=_TEN, **_HRV
+    )
+    return stateful.expand_idle(_written(spark, ranges), start, 3_600_000_000)
+
+
+@query
+def stream_frame_history(spark, folder):
+    """History and alerts of a stream of frames, with resets from a second stream."""
+    hourly = _hourly(spark, folder)
+    resets = hourly.filter(F.col("frame") % 5 == 2).select(
+        "event_type", "frame", (F.col("frame_start") + F.expr("INTERVAL 30 MINUTES")).alias("frame_start")
+    )
+    history = stateful.stream_frame_history(
+        _feed(hourly, "frame_start", "frame % 3 * 3600000000"), "event_type", "frame_start",
+        resets=_feed(resets, "frame_start"), span="1 hour", delay="2 days",
+    )
+    return _written(spark, history).withColumn("history_avg", F.round("history_avg", 10))
 
 
 @query
 def stream_bronze_ingest(spark, folder):
     lake = _lake(spark, CLINICAL)
-    schema = _table(spark, folder, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    raw = events.select(
+    raw = _feed(_table(spark, folder, "events")).select(
         F.col("ts").alias("timestamp"),
         F.concat(F.lit("PAT-"), F.col("user_id").cast("string")).alias("patient_id_hashed"),
         F.col("event_type").alias("study_id"),
@@ -769,11 +795,8 @@ def closed_loop(spark, folder):
 def append_scores(spark, folder):
     """Inference events of a stream of vectors, appended batch by batch."""
     lake = _lake(spark, ROBOTICS)
-    schema = _table(spark, folder, "embeddings").schema
-    vectors = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").parquet(folder)
-    )
-    episodes = vectors.select(
+    arrived = _table(spark, folder, "embeddings").withColumn("at", F.timestamp_seconds("vec_id"))
+    episodes = _feed(arrived, "at").select(
         F.concat(F.lit("ep-"), F.col("vec_id").cast("string")).alias("episode_id"),
         F.col("label").cast("string").alias("robot_model_id"),
         F.col("embedding").alias("vla_feature_vector"),

@@ -104,7 +104,7 @@ def signal_downsample(
 
 
 # --- frames by time -----------------------------------------------------------
-def _micros(moment: datetime) -> int:
+def micros(moment: datetime) -> int:
     if moment.tzinfo is None:
         moment = moment.replace(tzinfo=timezone.utc)
     whole = moment - datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -143,14 +143,14 @@ def idle_frames(
     grid and the samples meet in one aggregation instead of a join.
     """
     check_mode(mode)
-    origin, stop = _micros(start), _micros(end)
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    origin, stop = micros(start), micros(end)
+    moment = F.unix_micros(F.col(time).cast("timestamp"))
     inside = (
         drop_nulls_in_signal(df, value)
-        .filter((micros >= F.lit(origin)) & (micros < F.lit(stop)))
+        .filter((moment >= F.lit(origin)) & (moment < F.lit(stop)))
         .select(
             stream,
-            whole_division(micros - F.lit(origin), step_us).alias("frame"),
+            whole_division(moment - F.lit(origin), step_us).alias("frame"),
             F.col(value).cast("double").alias("_value"),
         )
     )

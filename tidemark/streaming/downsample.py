@@ -1,26 +1,18 @@
-"""Downsampling of live signals: by time, and by count with carried state."""
+"""Downsampling of live signals by time; frames with state per key are in :mod:`stateful`."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.numeric import whole_division
 from tidemark.operators.frames import (
     FRAME_STEP_US,
-    SAMPLES_PER_FRAME,
     check_mode,
     drop_nulls_in_signal,
     frame_columns,
     partials,
 )
-from tidemark.operators.ranking import position_in
-from tidemark.session import materialize
 
 
 def stream_downsample_time(
@@ -84,131 +76,3 @@ def read_time_frames(spark: SparkSession, folder: str, key: str) -> DataFrame:
     values = [c for c in written.columns if c not in (key, "frame_start", "batch")]
     newest = written.groupBy(key, "frame_start").agg(F.max_by(F.struct(*values), "batch").alias("_newest"))
     return newest.select(key, "frame_start", "_newest.*")
-
-
-class CountFrames:
-    """Frames of exactly ``samples`` values per key from an unbounded stream.
-
-    A keyed state operator would feed every row of a hot key through one task,
-    one after another. Here each micro-batch is placed by buckets of its order, and
-    only the open frame of each key (count, sum, maximum) is carried over, as a
-    small table per micro-batch. Output is written under the batch's number and
-    state in one of two slots, so a replay after a failure overwrites instead of
-    repeating, and only output grows with time.
-    ``folder`` belongs to one stream checkpoint; start both anew together.
-    """
-
-    def __init__(
-        self,
-        folder: str,
-        value: str,
-        key: str,
-        order: Sequence[str],
-        mode: str,
-        profile: str,
-        label: str,
-        samples: int = SAMPLES_PER_FRAME,
-        width: int | None = None,
-    ) -> None:
-        check_mode(mode)
-        self.folder = folder.rstrip("/")
-        self.value, self.key, self.order = value, key, list(order)
-        self.mode, self.profile, self.label = mode, profile, label
-        self.samples, self.width = samples, width
-
-    def _state_path(self, batch: int) -> str:
-        # Two slots in turn: a replay needs the batch before, never an older one.
-        return f"{self.folder}/state/slot={batch % 2}"
-
-    def _state_schema(self, key_type: T.DataType) -> T.StructType:
-        return T.StructType(
-            [
-                T.StructField(self.key, key_type),
-                T.StructField("frame", T.LongType()),
-                T.StructField("_sum", T.DoubleType()),
-                T.StructField("_max", T.DoubleType()),
-                T.StructField("_count", T.LongType()),
-            ]
-        )
-
-    def _carried(self, spark: SparkSession, batch: int, key_type: T.DataType) -> DataFrame:
-        """Open frames left by the batch before."""
-        schema = self._state_schema(key_type)
-        if batch == 0:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self._state_path(batch - 1))
-
-    def process(self, rows: DataFrame, batch: int) -> None:
-        spark = rows.sparkSession
-        needed = dict.fromkeys([self.key, *self.order, self.value])
-        signal = drop_nulls_in_signal(rows.select(*needed), self.value)
-        carried = self._carried(spark, batch, signal.schema[self.key].dataType)
-        # Positions go on where the carried frame stands.
-        start = carried.select(
-            self.key,
-            (F.col("frame") * F.lit(self.samples) + F.col("_count")).alias("_position"),
-        )
-        placed = position_in(
-            signal,
-            self.order,
-            [self.key],
-            name="_position",
-            width=self.width,
-            start=start,
-            keep=[self.value],
-        )
-        fresh = (
-            placed.withColumn("frame", whole_division(F.col("_position"), self.samples))
-            .groupBy(self.key, "frame")
-            .agg(*partials(self.value))
-        )
-        merged = (
-            fresh.unionByName(carried)
-            .groupBy(self.key, "frame")
-            .agg(
-                F.sum("_sum").alias("_sum"),
-                F.max("_max").alias("_max"),
-                F.sum("_count").alias("_count"),
-            )
-        )
-        # Read twice below, computed once.
-        merged = materialize(merged, "partial", f"{self.folder}/work/partial")
-        full = merged.filter(F.col("_count") == self.samples)
-        (
-            full.select(self.key, "frame", *frame_columns(self.profile, self.label, self.mode))
-            .write.mode("overwrite")
-            .parquet(f"{self.folder}/frames/batch={batch}")
-        )
-        # Open frames, or the next empty one where a key ended on a full frame.
-        last = merged.groupBy(self.key).agg(
-            F.max_by(F.struct("frame", "_sum", "_max", "_count"), "frame").alias("_last")
-        )
-        closed = F.col("_last._count") == self.samples
-        open_frames = last.select(
-            self.key,
-            (F.col("_last.frame") + F.when(closed, 1).otherwise(0)).cast("bigint").alias("frame"),
-            F.when(~closed, F.col("_last._sum")).alias("_sum"),
-            F.when(~closed, F.col("_last._max")).alias("_max"),
-            F.when(closed, F.lit(0)).otherwise(F.col("_last._count")).cast("bigint").alias("_count"),
-        )
-        open_frames.write.mode("overwrite").parquet(self._state_path(batch))
-
-    def start(
-        self, stream: DataFrame, checkpoint: str, once: bool = False, interval: str = "30 seconds"
-    ) -> StreamingQuery:
-        trigger = {"availableNow": True} if once else {"processingTime": interval}
-        return (
-            stream.writeStream.option("checkpointLocation", checkpoint)
-            .trigger(**trigger)
-            .foreachBatch(self.process)
-            .start()
-        )
-
-    def frames(self, spark: SparkSession) -> DataFrame | None:
-        """All full frames written so far, or None before the first batch."""
-        try:
-            return spark.read.parquet(f"{self.folder}/frames").drop("batch")
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-                return None
-            raise
