@@ -99,6 +99,45 @@ def test_main_text():
     assert html.main_text("<div>" * 5000 + "deep") == "deep"
 
 
+def test_names_and_kinds_keep_the_articles_own_text():
+    page = """<article><h1>T</h1><h2 id="search">How search works</h2><p>A.</p><section id="related-work"><p>Prior work
+      by others.</p></section><p>Then <math><mi>x</mi></math> holds.</p><p id="notice-period">One month.</p><p>Say
+      <label>this</label> and <button>press<div>here</div></button> that.</p><div class="social-history">H</div>
+      <section id="search"><p>Again</p></section><div class="comment-list">bad</div><div class="ad-banner">bad</div>
+      <p>end <object>alt</object> of <span hidden>nothing</span> it</p></article><div id="search">no</div>"""
+    assert html.main_text(page).split("\n") == [
+        "T", "How search works", "A.", "Prior work by others.", "Then x holds.", "One month.", "Say this and that.", "H",
+        "Again", "end alt of it",
+    ]
+
+
+def test_names_vote_with_the_tree(spark):
+    """Of two blocks of equal importance only the one goes whose name speaks against it."""
+    rows = []
+    for i in range(60):
+        line = f"Line {i % 6} of some"
+        rows.append((i, "http://site/", f"<article><p>own {i}</p><div class='related-x'>{line}</div><div class='k'>{line}</div></article>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    tree = {round(r.importance, 2) for r in html.style_tree(pages).collect()}
+    assert any(html.LEAST_IMPORTANCE < x < html.VOTED_IMPORTANCE for x in tree), tree
+    got = {r.page_id: r.text for r in html.extract(pages).collect()}
+    assert got[7] == "own 7\nLine 1 of some" and got[9] == "own 9\nLine 3 of some"
+
+
+def test_parts_of_hosts_change_nothing(spark, tables, monkeypatch):
+    pages = spark.read.parquet(f"{tables}/pages.parquet")
+    whole = {tuple(r) for r in html.extract(pages).collect()}
+    monkeypatch.setattr(html, "PAGES", 3)
+    monkeypatch.setattr(html, "CELLS", 4)
+    assert {tuple(r) for r in html.extract(pages).collect()} == whole and len(whole) == pages.count()
+
+
+def test_elements_beside_the_article_are_in_the_tree(spark):
+    rows = [(i, "http://site/", f"<nav>All the site</nav><footer>own {i}</footer><article>text {i}</article>") for i in range(20)]
+    tree = html.style_tree(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(round(r.importance, 2) for r in tree) == [0.0, 1.0, 1.0]
+
+
 def test_site_tree_finds_what_all_pages_show(spark):
     rows = [
         (i, "https://U:p@Site.example:80/x", f"<body><div class=box{i}><p>Welcome to the site<p>All rights</div>"
