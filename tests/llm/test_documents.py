@@ -322,3 +322,51 @@ def test_empty_tables(spark, odd):
     ):
         assert got.isEmpty()
     assert decontaminate.drop_contaminated(odd, bench).count() == odd.count()
+
+
+def test_ranges_are_even_however_many(spark):
+    """Bounds of very many ranges, of which repeated ids and missing ids fill some."""
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") % 10 == 0, None).when(F.col("id") % 10 == 1, 5).otherwise(F.col("id") * 7919 % 1_000_003).alias("doc_id"),
+        F.lit("a text").alias("text"),
+    )
+    placed = fingerprints._ordered(rows).select(*fingerprints._KEY)
+    heads = (
+        placed.repartitionByRange(1000, *fingerprints._KEY)
+        .groupBy(F.spark_partition_id()).agg(F.min(F.struct(*fingerprints._KEY)).alias("head"), F.count("*").alias("n"))
+        .collect()
+    )
+    bounds = sorted(tuple(row["head"]) for row in heads)
+    assert len(bounds) > 900 and max(row["n"] for row in heads) < 800
+    number = fingerprints._range_of(bounds)
+    sample = placed.where("pmod(xxhash64(_mark), 50) = 3").toPandas()
+    counts = np.bincount(number(*(sample[name] for name in fingerprints._KEY)), minlength=len(bounds))
+    assert counts.max() < 30 and counts.sum() == len(sample)
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_next_document_over_any_number_of_ranges(spark, ranges):
+    rows = [(i % 60 if i % 7 else None, f"text {i % 11} of these with some words more {i % 5}") for i in range(300)]
+    rows += [(9, "the same again in very many rows")] * 200
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = fingerprints.with_next(df, ranges=ranges).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1][:32], hashlib.md5(r[1].encode()).hexdigest()))
+    want = [
+        (key, hashlib.sha256(fingerprints.edited(text, order[(i + 1) % len(order)][1]).encode()).hexdigest())
+        for i, (key, text) in enumerate(order)
+    ]
+    assert sorted(((r.doc_id, r.edited_sha256) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_benchmark_in_many_blocks_without_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 2000)
+    items = [(i, " ".join(f"q{i}w{j}" for j in range(14))) for i in range(60)] + [(None, "no name but ten words in this one item here"), (7, "two words")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(i, f"before {items[i][1]} after") for i in range(0, 60, 7)]
+    docs += [(100, "said two words here"), (101, "clean"), (102, None), (103, "no name but ten words in this one item here")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert len(decontaminate._blocks(bench, 10)) > 10
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.contamination(df, bench).collect()}
+    assert got == {i: (14, [i]) for i in range(0, 60, 7)} | {100: (2, [7]), 101: (0, []), 102: (0, []), 103: (10, [])}
+    kept = decontaminate.drop_contaminated(df, bench).collect()
+    assert sorted(r.doc_id for r in kept) == [101, 102]

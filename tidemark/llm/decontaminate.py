@@ -6,11 +6,12 @@ all words of an item that has fewer. A text is normalised to its words with one
 space between and around, scanned once, and every occurrence of every pattern
 marks its words as hit. Word numbers lead back to places in the original text.
 
-The patterns are gathered in blocks of about :data:`BLOCK_BYTES`; each block is
-one automaton of bounded size (some 45 bytes of memory a byte of patterns), sent
-to the workers. Usual benchmarks make one block. A worker holds one automaton,
-so where there are more it builds them in turn, each once for
-:data:`PASS_BYTES` of documents.
+Patterns are cut in tasks, grouped with their items and dealt by a hash to blocks
+of about :data:`BLOCK_BYTES`, which lie in the shared folder; neither patterns nor
+items pass through the driver. Each block is one automaton of bounded size (some
+45 bytes of memory a byte of patterns), built by the workers that read it. Usual
+benchmarks make one block. A worker holds one automaton, so where there are more
+it builds them in turn, each once for :data:`PASS_BYTES` of documents.
 
 Cases: a null text has no words; items without words match nothing; items with
 equal windows are all named; repeated documents each have a row; a repeated
@@ -21,19 +22,21 @@ empty benchmark leaves every document clean. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import own_columns, prepare, remote
+from tidemark.session import folder_store, list_folder, materialize, scratch_path, shared_folder
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
 PASS_BYTES = 32 << 20
+#: Patterns given out together.
+BATCH = 8192
 
 _TABLE = bytes(
     byte + 32 if 0x41 <= byte <= 0x5A
@@ -57,38 +60,68 @@ def windows(text: str, size: int = WINDOW) -> set[bytes]:
     return {b" %s " % b" ".join(own[i : i + size]) for i in range(max(1, len(own) - size + 1))}
 
 
-def _blocks(benchmark: DataFrame, size: int) -> list[dict[bytes, list[int]]]:
-    """Patterns with the items they belong to; every block's size is bounded."""
-    blocks: list[dict[bytes, list[int]]] = [{}]
-    held = 0
-    for row in benchmark.toLocalIterator():
-        for pattern in windows(row["text"] or "", size):
-            if pattern not in blocks[-1] and held > BLOCK_BYTES:
-                blocks.append({})
-                held = 0
-            held += len(pattern) + 8
-            items = blocks[-1].setdefault(pattern, [])
-            if row["item_id"] is not None:
-                items.append(row["item_id"])
-    return blocks
+def _patterns(batches, size: int):
+    for batch in batches:
+        found, named = [], []
+        for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            own = windows(text or "", size)
+            found += own
+            named += [item] * len(own)
+        for begin in range(0, len(found), BATCH):
+            part = slice(begin, begin + BATCH)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[part], pa.binary()), pa.array(named[part], pa.int64())], ["pattern", "item"]
+            )
+
+
+def _blocks(benchmark: DataFrame, size: int) -> list[tuple[str, list[str]]]:
+    """Writes the patterns with their items in blocks; a name and the files of each block."""
+    spark = benchmark.sparkSession
+    prepare(spark)
+    items = own_columns(benchmark, item_id="long", text="string").distinct()
+    patterns = materialize(
+        items.mapInArrow(remote(_patterns, size), "pattern binary, item long")
+        .groupBy("pattern")
+        .agg(F.collect_set("item").alias("items")),
+        "patterns",
+    )
+    held = F.length("pattern") + 8 + 8 * F.size("items")
+    number = -(-(patterns.agg(F.sum(held)).first()[0] or 0) // BLOCK_BYTES)
+    if not number:
+        return []
+    path = scratch_path(spark, "blocks")
+    block = F.pmod(F.xxhash64("pattern"), F.lit(number)).alias("block")
+    patterns.select("*", block).repartition(number, "block").write.partitionBy("block").parquet(path)
+    folder = shared_folder(spark, path)
+    out = []
+    for own in list_folder(spark, path):
+        name = own.rstrip("/").rsplit("/", 1)[1]
+        if name.startswith("block="):
+            files = [file.rsplit("/", 1)[1] for file in list_folder(spark, own)]
+            out.append((f"{folder}/{name}", sorted(file for file in files if file.endswith(".parquet"))))
+    return sorted(out)
 
 
 _AUTOMATA: dict[str, object] = {}
 
 
-def _automaton(name: str, block):
-    """This worker's automaton of a block (a broadcast variable); one block is kept."""
-    if name not in _AUTOMATA:
+def _automaton(folder: str, files: list[str]):
+    """This worker's automaton of a block; one block is kept."""
+    if folder not in _AUTOMATA:
         import ahocorasick
 
+        _AUTOMATA.clear()
         machine = ahocorasick.Automaton()
-        for pattern, items in block.value.items():
-            # Bytes as characters of one byte: places are byte places.
-            machine.add_word(pattern.decode("latin-1"), (len(pattern), tuple(items)))
+        store, root = folder_store(folder)
+        for name in files:
+            with store.open_input_file(f"{root}/{name}") as file:
+                block = pq.ParquetFile(file).read(["pattern", "items"])
+            for pattern, items in zip(block.column("pattern").to_pylist(), block.column("items").to_pylist(), strict=True):
+                # Bytes as characters of one byte: places are byte places.
+                machine.add_word(pattern.decode("latin-1"), (len(pattern), tuple(items)))
         machine.make_automaton()
-        _AUTOMATA.clear()
-        _AUTOMATA[name] = machine
-    return _AUTOMATA[name]
+        _AUTOMATA[folder] = machine
+    return _AUTOMATA[folder]
 
 
 def normalised(text: str) -> bytes:
@@ -148,10 +181,8 @@ def _search(texts: list[str], blocks) -> list[tuple[int, list[tuple[int, int]],
     """Number of words, hit runs and items of each text; one automaton after the other."""
     plain = [normalised(text) for text in texts]
     out = [(max(0, text.count(b" ") - 1), [], set()) for text in plain]
-    for name, block in blocks:
-        machine = _automaton(name, block)
-        if not len(machine):
-            continue
+    for folder, files in blocks:
+        machine = _automaton(folder, files)
         for i, (number, runs, items) in enumerate(out):
             if number:
                 more, named = find(machine, plain[i])
@@ -215,25 +246,18 @@ def _clean(batches, blocks):
         yield batch.drop_columns(["__text"]).filter(keep)
 
 
-def _sent(benchmark: DataFrame, size: int) -> list[tuple[str, Broadcast]]:
-    spark = benchmark.sparkSession
-    prepare(spark)
-    items = own_columns(benchmark, item_id="long", text="string").distinct()
-    return [(uuid.uuid4().hex, spark.sparkContext.broadcast(block)) for block in _blocks(items, size)]
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per document: its words, hit words, items with occurring windows, and places.
 
     One pass over the documents and no shuffle of them.
     """
-    blocks = _sent(benchmark, size)
+    blocks = _blocks(benchmark, size)
     return own_columns(docs, doc_id="long", text="string").mapInArrow(remote(_scan, blocks), FOUND)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents, all columns, that hold no window of any item."""
-    blocks = _sent(benchmark, size)
+    blocks = _blocks(benchmark, size)
     whole = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), F.col("text").cast("string").alias("__text"))
     kept = whole.mapInArrow(remote(_clean, blocks), whole.select("row").schema)
     return kept.select("row.*")

@@ -119,50 +119,84 @@ def _follow(batches, size: int):
             yield from _followed(rows[begin : stop + 1], size)
 
 
-def with_next(docs: DataFrame, size: int = 5) -> DataFrame:
+#: Characters of a text that order documents of one doc_id.
+FIRST = 32
+_KEY = ("_null", "_down", "_worded", "_first", "_digest", "_mark")
+
+
+def _ordered(docs: DataFrame) -> DataFrame:
+    """Documents with the columns that order them, all ascending.
+
+    Rows alike in everything but the last one, a number of the row, are the same
+    document again, so it does not matter that they may change places.
+    """
+    text = F.col("text")
+    return docs.select(
+        "doc_id", "text", F.col("doc_id").isNull().alias("_null"),
+        F.coalesce(F.bitwise_not("doc_id"), F.lit(0).cast("long")).alias("_down"),
+        text.isNotNull().alias("_worded"), F.coalesce(F.substring(text, 1, FIRST), F.lit("")).alias("_first"),
+        F.coalesce(F.md5(text), F.lit("")).alias("_digest"), F.monotonically_increasing_id().alias("_mark"),
+    )
+
+
+def _range_of(bounds: list[tuple]):
+    """A function from the ordering columns to the number of the last bound that is not after them."""
+
+    def number(*columns):
+        import bisect
+
+        import pandas as pd
+
+        keys = zip(*(column.tolist() for column in columns), strict=True)
+        return pd.Series([max(0, bisect.bisect_right(bounds, key) - 1) for key in keys], dtype="int32")
+
+    return number
+
+
+def with_next(docs: DataFrame, size: int = 5, ranges: int | None = None) -> DataFrame:
     """Fingerprints of every document, of its edited text, and likeness to the next.
 
     The next document is the one with the next smaller doc_id (equal ones by
-    text; none without doc_id before one with); after the last comes the first.
-    Documents are dealt by ranges of doc_id. Each range also gets the first
-    document of the range below it as a guest, so a task sees every next
-    document while it holds two texts at most besides its batch.
+    the first characters of their texts, then by digest; none without doc_id
+    before one with); after the last comes the first.
+    Documents are dealt by ranges of that order. The bounds are the first keys of
+    the partitions in which Spark lays the order's columns alone, one short row a
+    range. Each range also gets the first document of the next one as a guest, so
+    a task sees every next document while it holds two texts at most besides its
+    batch.
     """
     spark = docs.sparkSession
     prepare(spark)
-    docs = own_columns(docs, doc_id="long", text="string")
-    bounds = sorted(
-        set(docs.approxQuantile("doc_id", [i / partitions(spark) for i in range(1, partitions(spark))], 1e-3))
-    )
-    # The range of a document, counted from the largest ids on; without an id, the last.
-    at_most = F.array(*(F.lit(int(bound)) for bound in reversed(bounds))) if bounds else F.array().cast("array<long>")
-    part = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(
-        F.size(F.filter(at_most, lambda bound: F.col("doc_id") < bound))
+    number = ranges or partitions(spark)
+    placed = _ordered(own_columns(docs, doc_id="long", text="string"))
+    heads = (
+        placed.select(*_KEY)
+        .repartitionByRange(number, *_KEY)
+        .groupBy(F.spark_partition_id())
+        .agg(F.min(F.struct(*_KEY)).alias("head"))
+        .select("head.*")
+        .orderBy(*_KEY)
+        .collect()
     )
-    placed = docs.withColumn("part", part)
-    # At most one row a range: bounded by the number of partitions.
-    heads = [
-        (row["part"], row["first"])
-        for row in placed.groupBy("part").agg(F.max("doc_id").alias("first")).orderBy("part").collect()
-    ]
     if not heads:
         return spark.createDataFrame([], FOLLOWED)
+    bounds = [tuple(row) for row in heads]
+    part = F.pandas_udf(_range_of(bounds), "int")(*_KEY)
     wanted = spark.createDataFrame(
-        [(part, first, heads[i - 1][0]) for i, (part, first) in enumerate(heads)],
-        "part int, first long, host int",
+        [(*bounds[(i + 1) % len(bounds)][:5], i) for i in range(len(bounds))],
+        "_null boolean, _down long, _worded boolean, _first string, _digest string, part int",
     )
     guests = (
-        placed.join(F.broadcast(wanted), "part")
-        .where(F.col("doc_id").eqNullSafe(F.col("first")))
-        .groupBy("host")
-        .agg(F.min(F.struct(F.col("text").isNotNull(), "text")).alias("head"))
-        .select(F.col("host").alias("part"), F.lit(True).alias("guest"), F.lit(None).cast("long").alias("doc_id"), F.col("head.text").alias("text"))
+        placed.join(F.broadcast(wanted), list(_KEY[:5]))
+        .groupBy("part")
+        .agg(F.first("text").alias("text"))
+        .select("part", F.lit(True).alias("guest"), F.lit(None).cast("long").alias("doc_id"), "text",
+                *(F.lit(None).cast(placed.schema[name].dataType).alias(name) for name in _KEY))
     )
-
-    dealt = placed.select("part", F.lit(False).alias("guest"), "doc_id", "text").unionByName(guests)
+    dealt = placed.select(part.alias("part"), F.lit(False).alias("guest"), "doc_id", "text", *_KEY).unionByName(guests)
     return (
-        dealt.repartition(partitions(spark), "part")
-        .sortWithinPartitions("part", "guest", F.desc_nulls_last("doc_id"), F.col("text").asc_nulls_first())
+        dealt.repartition(number, "part")
+        .sortWithinPartitions("part", "guest", *_KEY)
         .select("guest", "doc_id", "text")
         .mapInArrow(remote(_follow, size), FOLLOWED)
     )
