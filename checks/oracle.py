@@ -518,6 +518,15 @@ def oracle() -> dict[str, str]:
                 PARTITION BY query_id ORDER BY round(score, 10) DESC, vec_id)::INTEGER AS rank
               FROM scored)
             SELECT query_id, rank, vec_id, round(score, 6) AS score FROM ranked WHERE rank <= 5""",
+        "vector_index_topk": """WITH scored AS (
+              SELECT q.vec_id AS query_id, e.vec_id,
+                list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score
+              FROM embeddings e JOIN embeddings q ON q.vec_id % 50 = 0 AND (q.vec_id % 100 <> 0 OR q.label = e.label)),
+            ranked AS (
+              SELECT *, row_number() OVER (
+                PARTITION BY query_id ORDER BY round(score, 10) DESC, vec_id)::INTEGER AS rank
+              FROM scored)
+            SELECT query_id, rank, vec_id, round(score, 6) AS score FROM ranked WHERE rank <= 5""",
         "retrieve": _retrieve("SELECT * FROM chunks"),
         "ask": _retrieve("SELECT DISTINCT * FROM chunks"),
         "digest_embedding": """WITH bytes AS (
@@ -555,6 +564,21 @@ def oracle() -> dict[str, str]:
               count(seconds) AS timed, max(seconds) AS longest
             FROM given GROUP BY ALL""",
         "cost_attribution": f"WITH {COSTS} SELECT * FROM costs",
+        "sort_by_cost": f"""WITH {COSTS}
+            SELECT event_id, position, node, execution_time_s,
+              row_number() OVER (ORDER BY execution_time_s DESC, event_id, position) - 1 AS place
+            FROM costs""",
+        "order_by_key": f"""WITH {SILVER_ROBOT},
+            robots AS (SELECT robot_model_id AS key FROM silver), {PLC}, {BIO}, {SUBS}, {ECRF},
+            keys AS (
+              SELECT DISTINCT 'robot_model_id' AS product, key FROM robots
+              UNION SELECT 'nameless', nullif(key, 'Optimus-Gen2') FROM robots
+              UNION SELECT 'facility_id', facility_id FROM plc
+              UNION SELECT 'region', region FROM bio
+              UNION SELECT 'plan_tier', plan_tier FROM subs
+              UNION SELECT 'study_id', study_id FROM ecrf)
+            SELECT product, key,
+              row_number() OVER (PARTITION BY product ORDER BY key NULLS LAST) - 1 AS place FROM keys""",
         "total_cost": f"""WITH {COSTS}
             SELECT data_product, node, round(sum(estimated_cost_usd), 4) AS total_cost_usd
             FROM costs GROUP BY 1, 2""",

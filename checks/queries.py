@@ -14,7 +14,8 @@ from tidemark.functions.embedding import digest_embedding as digest
 from tidemark.functions.embedding import hashed_words
 from tidemark.functions.masking import MaskingKey
 from tidemark.functions.text import extract_terms as terms
-from tidemark.operators import costs, flywheel, frames, gold, governance, quality, retrieval, silver
+from tidemark.operators import costs, flywheel, frames, gold, governance, quality, retrieval, silver, vector_index
+from tidemark.operators.ranking import position_in
 from tidemark.operators.topk import vector_topk as nearest
 from tidemark.plans import assistant, medallion, signals
 from tidemark.plans import flywheel as flywheel_plan
@@ -29,7 +30,7 @@ from tidemark.profiles import (
     ROBOTICS,
     Profile,
 )
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources import star_tables
 from tidemark.sources.alignment import align_to_schema as align
 from tidemark.sources.lakehouse import Lakehouse
@@ -50,6 +51,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """With ``place``, the position of each row in the order in which ``df`` gives them out."""
+    given = materialize(df.withColumn("_given", F.monotonically_increasing_id()), "ordered")
+    return position_in(given, ["_given"], name="place").drop("_given")
+
+
 def query(function: Query) -> Query:
     _REGISTRY[function.__name__] = function
     return function
@@ -154,6 +161,24 @@ def gold_study_safety(spark, folder):
     )
 
 
+@query
+def order_by_key(spark, folder):
+    """Where each key stands in the five Gold products, and a missing key among them."""
+    golds = {
+        "robot_model_id": gold_robot_health, "facility_id": gold_facility_health, "region": gold_cohort_summary,
+        "plan_tier": gold_account_health, "study_id": gold_study_safety,
+    }
+    placed = [
+        _placed(product(spark, folder).select(F.lit(key).alias("product"), F.col(key).alias("key")))
+        for key, product in golds.items()
+    ]
+    robots = _bronze(spark, folder, ROBOTICS)
+    nameless = robots.withColumn("robot_model_id", F.nullif("robot_model_id", F.lit("Optimus-Gen2")))
+    ordered = gold.gold_robot_health(silver.silver_robot_signals(nameless))
+    placed.append(_placed(ordered.select(F.lit("nameless").alias("product"), F.col("robot_model_id").alias("key"))))
+    return reduce(DataFrame.unionByName, placed)
+
+
 @query
 def align_to_schema(spark, folder):
     """Reordered, cast, one column missing, one too many."""
@@ -664,6 +689,18 @@ def vector_topk_blocks(spark, folder):
     return found.withColumn("score", F.round("score", 6))
 
 
+@query
+def vector_index_topk(spark, folder):
+    """The same through an index of vector lists; every second one asks for its own label only."""
+    vectors = _table(spark, folder, "embeddings")
+    index = vector_index.build(vectors, "vec_id", fields={"label": "label"})
+    asked = vectors.filter(F.col("vec_id") % 50 == 0).select(
+        F.col("vec_id").alias("query_id"), "embedding", F.when(F.col("vec_id") % 100 == 0, F.col("label")).alias("label")
+    )
+    found = vector_index.search(index, asked, 5, where={"label": "label"})
+    return found.withColumnRenamed("id", "vec_id").withColumn("score", F.round("score", 6))
+
+
 def _questions(spark, folder):
     """One question per nation and market segment found among the customers."""
     groups = _table(spark, folder, "customer").select("c_nationkey", "c_mktsegment").distinct()
@@ -860,6 +897,14 @@ def cost_attribution(spark, folder):
     return costs.sort_by_cost(costs.cost_attribution(results), "event_id", "position")
 
 
+@query
+def sort_by_cost(spark, folder):
+    """Where each node stands when the longest come first."""
+    results = parse_run_results(_runs(spark, folder), "document")
+    ordered = costs.sort_by_cost(costs.cost_attribution(results), "event_id", "position")
+    return _placed(ordered.select("event_id", "position", "node", "execution_time_s"))
+
+
 @query
 def total_cost(spark, folder):
     results = parse_run_results(_runs(spark, folder), "document")

@@ -80,6 +80,37 @@ def test_upsert_replaces_by_key(spark, lake):
     assert got == {(1, "new"), (2, "B"), (3, "c"), (9, "z")}
 
 
+def test_publish_refuses_a_table_that_changed(spark, lake):
+    from tidemark.sources.lakehouse import ConcurrentChangeError
+
+    house = lake(COMMERCIAL)
+    house.append_product("gold", "t", spark.range(5))
+    staged = house.stage("gold", "t", house.read_product("gold", "t").filter("id < 2"))
+    house.append_product("gold", "t", spark.range(100, 103))
+    with pytest.raises(ConcurrentChangeError):
+        house.publish(staged)
+    assert house.read_product("gold", "t").count() == 8  # the append is still there
+    first, second = (house.stage("gold", "t", spark.range(n)) for n in (1, 2))
+    house.publish(first)
+    with pytest.raises(ConcurrentChangeError):
+        house.publish(second)
+    made = house.stage("gold", "new", spark.range(4))
+    house.append_product("gold", "new", spark.range(1))
+    with pytest.raises(ConcurrentChangeError):
+        house.publish(made)
+    assert house.read_product("gold", "t").count() == 1 and house.read_product("gold", "new").count() == 1
+
+
+def test_upsert_refuses_null_and_repeated_keys(spark, lake):
+    house = lake(COMMERCIAL)
+    kinds = "k int, v string, n int"
+    house.append_product("gold", "t", spark.createDataFrame([(1, "a", 1)], kinds))
+    for rows, version in (([(None, "x", 1)], None), ([(None, "x", 1)], "n"), ([(2, "x", 1), (2, "y", 2)], None)):
+        with pytest.raises(ValueError, match="null or repeated"):
+            house.upsert_product("gold", "t", spark.createDataFrame(rows, kinds), "k", version)
+    assert [tuple(r) for r in house.read_product("gold", "t").collect()] == [(1, "a", 1)]
+
+
 def test_losing_the_create_race_still_appends(spark, lake, monkeypatch):
     house = lake(COMMERCIAL)
     house.append_product("gold", "t", spark.range(2))

@@ -194,3 +194,47 @@ def test_equal_rows_are_chunks_of_their_own(spark, lake, salt):
     assert len(set(ids)) == 6 and sum(i.endswith("-2") for i in ids) == 3
     house.append_product("bronze", COMMERCIAL.bronze_table, rows, COMMERCIAL.schema)
     assert assistant.build_index(house) == 6 and assistant.build_index(house) == 0
+
+
+def test_a_row_repeated_very_often_spreads_over_tasks(spark):
+    one = _accounts(spark, 2)
+    hot = one.limit(1).crossJoin(spark.range(300_000).select(F.lit(1).alias("n"))).drop("n")
+    # "None" written out and no value give the same text, but are different rows.
+    named = one.limit(1).withColumn("region", F.lit("None"))
+    rows = hot.unionByName(one).unionByName(named).unionByName(named.withColumn("region", F.lit(None).cast("string")))
+    found = retrieval.with_chunk_id(rows, COMMERCIAL)
+    assert found.count() == 300_004 and found.select("id").distinct().count() == 300_004
+    numbers = found.select(F.regexp_extract("id", "-([0-9]+)$", 1).alias("n")).where("n <> '' and length(n) < 10")
+    assert numbers.agg(F.max(F.col("n").cast("int"))).first()[0] == 300_001
+    per_task = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 200_000
+    assert found.where("region is null").count() == 1 and found.where("region = 'None'").count() == 1
+
+
+def test_terms_in_one_pass(spark):
+    """Overlapping terms, terms that begin another, letters that mean others, and one folding of the text."""
+    from tidemark.functions.text import extract_terms
+
+    words = {
+        "model": ("Optimus", "Optimus-Gen2", "Gen2"), "place": ("West", "EU West", "EU", "-a", "Été", "KS"), "none": ("absent",),
+    }
+    cases = {
+        "Optimus-Gen2 in EU West": {"model": "Optimus", "place": "West"},
+        "in optimus gen2x": {"model": "Optimus"},
+        "gen2, euro": {"model": "Gen2"},
+        "(EU) x-a revenue": {"place": "EU"},
+        "x-a": {"place": "-a"},
+        "-a": {},
+        "ÉTÉ Kſ": {"place": "Été"},
+        "Kſ!": {"place": "KS"},
+        "éEU EU_ absently": {},
+        "": {},
+        None: {},
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "text string")
+    found = df.select("text", extract_terms(F.col("text"), words).alias("found"))
+    assert {r.text: r.found for r in found.collect()} == cases
+    plan = found.select("found")._jdf.queryExecution().optimizedPlan().toString()
+    plain = df.select(extract_terms(F.col("text"), {"a": ("x", "y", "z"), "b": ("v", "w")}).alias("f"))
+    plan = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1 and plan.count("regexp_extract_all(") == 1

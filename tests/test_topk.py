@@ -100,3 +100,30 @@ def test_terms_asked_for_reach_the_scan(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(tag,b)" in plan and "LessThanOrEqual(tag,d)" in plan
     assert sorted((r.query_id, r.id) for r in found.collect()) == [(1, 55), (2, 57)]
+
+
+def test_a_task_gives_out_its_best_only(spark, monkeypatch):
+    """Many chunks a task, yet at most k rows per query and task, or per flush of what is kept."""
+    from tidemark.operators import topk
+
+    monkeypatch.setattr(topk, "CHUNK_BYTES", 2_000)
+    rng = np.random.default_rng(10)
+    corpus, queries = _corpus(rng, 400, 8), _corpus(rng, 30, 8)
+    c = spark.createDataFrame(corpus, "id string, embedding array<float>, tag string").coalesce(2)
+    q = spark.createDataFrame(queries, "id string, embedding array<float>, tag string").withColumnRenamed("id", "query_id")
+    merge, given = topk._merge, []
+
+    def counted(found, k):
+        given.append(found.count())
+        return merge(found, k)
+
+    monkeypatch.setattr(topk, "_merge", counted)
+    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        best = vector_topk(q, c, 3, block=7).collect()
+        assert len(best) == 90 and given[0] <= 2 * 30 * 3
+        monkeypatch.setattr(topk, "KEPT_BYTES", 100)
+        assert sorted(vector_topk(q, c, 3, block=7).collect()) == sorted(best) and given[1] > given[0]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)

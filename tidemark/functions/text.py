@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,33 +36,92 @@ def term_pattern(term: str) -> str:
 def folded(text: Column) -> Column:
     """Text in lower case, with every character that case-insensitive matching
     takes for an ASCII letter replaced by that letter."""
-    return F.lower(F.translate(text, ASCII_LIKE, ASCII_MEANT))
+    odd = reduce(lambda a, b: a | b, [text.contains(F.lit(char)) for char in ASCII_LIKE])
+    return F.lower(F.when(odd, F.translate(text, ASCII_LIKE, ASCII_MEANT)).otherwise(text))
 
 
-def first_term(text: Column, terms: Sequence[str]) -> Column:
-    """First term of the list, in list order, found as a whole word; else null.
+def _ends(term: str) -> str:
+    return rf"(?!{_WORD})" if _is_word(term[-1]) else rf"(?={_WORD})"
 
-    A plain substring search rules most texts out before the pattern runs, so a
-    long text is folded once instead of being matched once per term.
-    """
-    plain = folded(text)
+
+def _trie(terms: Sequence[str], depth: int = 0) -> str:
+    """Pattern of the longest of some terms with a common beginning of ``depth`` characters."""
+    by_next: dict[str, list[str]] = {}
+    for term in terms:
+        if len(term) > depth:
+            by_next.setdefault(term[depth], []).append(term)
+    ways = [rf"\Q{char}\E{_trie(own, depth + 1)}" for char, own in sorted(by_next.items())]
+    ways += [_ends(term) for term in terms if len(term) == depth]
+    return f"(?:{'|'.join(ways)})" if len(ways) > 1 else ways[0]
+
+
+def terms_pattern(terms: Sequence[str]) -> str:
+    """Pattern that captures, wherever one of the lower-case ``terms`` begins as a whole
+    word, the longest one that ends as one there. It consumes nothing, so terms that
+    lap over each other are all found; a trie makes a place cost one look, however
+    many terms there are."""
+    ways = []
+    for word in (True, False):
+        own = sorted({term for term in terms if _is_word(term[0]) is word})
+        if own:
+            first = "".join(sorted({rf"\Q{term[0]}\E" for term in own}))
+            ways.append(rf"(?=[{first}]){'(?<!' if word else '(?<='}{_WORD})({_trie(own)})")
+    return rf"(?=(?:{'|'.join(ways)}))"
+
+
+def _choose(found: Column, terms: Sequence[str], others: Sequence[str]) -> Column:
+    """First of ``terms`` that is found; ``others`` are all terms that were looked for."""
     cases = []
     for term in terms:
-        found = text.rlike(term_pattern(term))
-        if term.isascii():
-            found = plain.contains(F.lit(term.lower())) & found
-        cases.append(F.when(found, F.lit(term)))
+        low = term.lower()
+        # A longer term that begins with this one as a whole word was captured in its place.
+        longer = [o for o in others if o.startswith(low) and o != low and _is_word(o[len(low)]) != _is_word(low[-1])]
+        cases.append(F.when(F.arrays_overlap(found, F.array(*map(F.lit, [low, *longer]))), F.lit(term)))
     return F.coalesce(*cases)
 
 
+def _found(text: Column, terms: Sequence[str]) -> Column:
+    """The terms, in lower case, that a text holds, but for those that :func:`_choose` adds."""
+    plain = sorted({term.lower() for term in terms if term.isascii()})
+    parts = []
+    if plain:
+        whole = folded(text)
+        for group in (1, 2)[: 1 + (len({_is_word(term[0]) for term in plain}) > 1)]:
+            parts.append(F.array_distinct(F.regexp_extract_all(whole, F.lit(terms_pattern(plain)), F.lit(group))))
+    # Lower case alone does not say which other letters are the same.
+    rest = [F.when(text.rlike(term_pattern(term)), F.lit(term.lower())) for term in terms if not term.isascii()]
+    if rest:
+        parts.append(F.array_compact(F.array(*rest)))
+    return F.coalesce(F.concat(*parts), F.array().cast("array<string>"))
+
+
+def first_term(text: Column, terms: Sequence[str]) -> Column:
+    """First term of the list, in list order, found as a whole word; else null."""
+    plain = [term.lower() for term in terms if term.isascii()]
+    return F.transform(F.array(_found(text, terms)), lambda found: _choose(found, terms, plain))[0]
+
+
 def extract_terms(text: Column, vocabulary: Mapping[str, Sequence[str]]) -> Column:
-    """Map of field to found term; fields without one are absent."""
-    nothing = F.create_map().cast("map<string,string>")
-    found = []
-    for field, terms in vocabulary.items():
-        term = first_term(text, terms)
-        found.append(F.when(term.isNotNull(), F.create_map(F.lit(field), term)).otherwise(nothing))
-    return F.map_concat(*found)
+    """Map of field to found term; fields without one are absent.
+
+    The text is folded once and looked through once for the terms of all fields;
+    bound to a name in an array of one, what was found is not computed again for
+    every term.
+    """
+    terms = [term for own in vocabulary.values() for term in own]
+    plain = [term.lower() for term in terms if term.isascii()]
+
+    def chosen(found: Column) -> Column:
+        entries = [
+            F.struct(F.lit(field).alias("key"), _choose(found, own, plain).alias("value"))
+            for field, own in vocabulary.items()
+            if own
+        ]
+        return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+
+    if not terms:
+        return F.create_map().cast("map<string,string>")
+    return F.transform(F.array(_found(text, terms)), chosen)[0]
 
 
 def display(column: Column, kind: T.DataType) -> Column:

@@ -43,19 +43,45 @@ def content_id(profile: Profile, content: Column) -> Column:
     return F.concat(F.lit(f"{profile.name}-"), F.substring(digest, 1, 32))
 
 
+#: Copies of a row that one task makes out.
+_COPIES = 10_000
+
+
+def _copies(again: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose content repeats, numbered from 1 by content; equal ones travel as one row and a count."""
+    alike = F.xxhash64(*columns)
+    groups = again.groupBy("_base", alike.alias("_alike")).agg(
+        F.first(F.struct(*columns)).alias("_row"), F.count(F.lit(1)).alias("_n")
+    )
+    # A group's rows are equal; different rows of one content are few.
+    before = Window.partitionBy("_base").orderBy("_alike").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    chunks = groups.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"), F.lit(_COPIES).cast("bigint"))))
+    # A stated number: a few short rows would be brought together again otherwise.
+    tasks = int(again.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = chunks.filter(F.col("_n") > _COPIES).repartition(tasks, "_base", "_alike", "_from")
+    upto = F.least(F.col("_from") + F.lit(_COPIES - 1), F.col("_n"))
+    spread = chunks.filter(F.col("_n") <= _COPIES).unionByName(many)
+    copies = spread.select("_base", "_row", "_before", F.explode(F.sequence(F.col("_from"), upto)).alias("_copy"))
+    return copies.select("_base", (F.col("_before") + F.col("_copy")).alias("_number"), "_row.*")
+
+
 def with_chunk_id(bronze: DataFrame, profile: Profile) -> DataFrame:
     """Bronze rows with the id of their chunk in front.
 
     Equal rows are chunks of their own: the second one's id ends in ``-2``, and so
     on. Which of them gets which number does not matter, as they are equal.
+    Only ids are shuffled to find what repeats; the other rows stay where they
+    are, and a row that repeats very often is counted, then spread again.
     """
-    base = content_id(profile, chunk_text(profile))
-    number = F.row_number().over(Window.partitionBy("_base").orderBy("_base"))
-    numbered = bronze.withColumn("_base", base).withColumn("_number", number)
-    again = F.when(F.col("_number") > 1, F.concat(F.lit("-"), F.col("_number").cast("string")))
-    return numbered.select(
-        F.concat(F.col("_base"), F.coalesce(again, F.lit(""))).alias("id"), *bronze.columns
-    )
+    columns = bronze.columns
+    based = bronze.withColumn("_base", content_id(profile, chunk_text(profile)))
+    repeated = based.groupBy("_base").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("_base")
+    alone = based.join(repeated, "_base", "left_anti").select(F.col("_base").alias("id"), *columns)
+    numbered = _copies(based.join(repeated, "_base", "left_semi"), columns)
+    later = F.when(F.col("_number") > 1, F.concat(F.lit("-"), F.col("_number").cast("string")))
+    again = numbered.select(F.concat(F.col("_base"), F.coalesce(later, F.lit(""))).alias("id"), *columns)
+    return alone.unionByName(again)
 
 
 def build_chunks(bronze: DataFrame, profile: Profile) -> DataFrame:

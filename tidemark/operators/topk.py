@@ -2,9 +2,10 @@
 
 The corpus is scanned once and never paired up with the queries as rows. The
 queries are written to the shared folder; a task gathers a chunk of corpus
-vectors, reads the queries block by block, multiplies, and gives out the best
-``k`` of the chunk per query. So it holds one chunk and one block, however many
-queries there are; merging what tasks give out is a two-step top-k.
+vectors, reads the queries block by block, multiplies, and keeps the best ``k``
+per query from chunk to chunk. So it holds one chunk, one block and the best so
+far, and gives out at most ``k`` rows per query; merging what tasks give out is a
+two-step top-k.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from tidemark.session import folder_store, list_folder, scratch_path, shared_fol
 QUERY_BLOCK = 1024
 #: Corpus vectors that meet all blocks in turn before the next are read.
 CHUNK_BYTES = 64 << 20
+#: Best rows that a task keeps from chunk to chunk: one set for each query it has seen.
+KEPT_BYTES = 256 << 20
 #: Scores equal to this many digits are ties, broken by id; keeps the order free
 #: of the last-bit noise of blocked matrix products.
 SCORE_DIGITS = 10
@@ -90,6 +93,12 @@ def _best(candidates: pa.Table, k: int) -> pa.Table:
     return ordered.filter(pa.array(np.arange(len(q)) - first < k))
 
 
+def _named_best(found: pa.Table, k: int) -> pa.Table:
+    """First ``k`` of each query by score, then id, of what several chunks gave."""
+    codes = found.column("query").combine_chunks().dictionary_encode().indices
+    return _best(found.append_column("q", codes), k).drop_columns(["q"])
+
+
 def _search(block: _Block, k: int, id_type: pa.DataType):
     """The per-task scan: corpus batches in, at most ``k`` rows per query out."""
     queries, dim = block.vectors.shape
@@ -230,13 +239,24 @@ def vector_topk(
     folder = shared_folder(spark, path)
     names = sorted(name.rsplit("/", 1)[1] for name in list_folder(spark, path) if name.endswith(".parquet"))
 
-    chunk_bytes = CHUNK_BYTES
+    chunk_bytes, kept_bytes = CHUNK_BYTES, KEPT_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = _Blocks(folder, names, block, fields)
+        kept: dict[int, pa.Table] = {}
         for chunk in _chunks(batches, chunk_bytes):
-            for own in read:
-                yield from _search(own, k, id_type)(iter(chunk))
+            for number, own in enumerate(read):
+                found = [kept[number]] if number in kept else []
+                found += [pa.Table.from_batches([b]) for b in _search(own, k, id_type)(iter(chunk))]
+                if found:
+                    kept[number] = _named_best(pa.concat_tables(found), k)
+            if sum(table.nbytes for table in kept.values()) > kept_bytes:
+                # So many queries that not even their best fit: given out, and begun anew.
+                for table in kept.values():
+                    yield from table.to_batches()
+                kept = {}
+        for table in kept.values():
+            yield from table.to_batches()
 
     return _merge(rows.mapInArrow(run, result_schema), k).select(
         F.col("query").alias(query_id), "rank", F.col("id").alias(corpus_id), "score"

@@ -38,6 +38,11 @@ class Staged:
     schema: T.StructType
     rows: int
     metrics: dict[str, int] = field(default_factory=dict)
+    base: tuple[str, ...] | None = None
+
+
+class ConcurrentChangeError(RuntimeError):
+    """A table changed between the staging of its new version and the publishing."""
 
 
 class Lakehouse:
@@ -146,19 +151,38 @@ class Lakehouse:
         expected_schema: T.StructType | None = None,
     ) -> Staged:
         """Write a new version out of sight, gathering ``metrics`` in the same pass."""
+        base = self._content(tier, table)
         df = self._target(tier, table, df, expected_schema)
         path = self._new_location(tier, table)
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.parquet(path)
         values = {k: int(v or 0) for k, v in seen.get.items()}
-        return Staged(tier, table, path, df.schema, values.pop("rows"), values)
+        return Staged(tier, table, path, df.schema, values.pop("rows"), values, base)
 
     def staged_frame(self, staged: Staged) -> DataFrame:
         return self.spark.read.schema(staged.schema).parquet(staged.path)
 
+    def _location(self, tier: str, table: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE FORMATTED {self.identifier(tier, table)}").collect()
+        return next(r["data_type"] for r in rows if r["col_name"] == "Location").rstrip("/")
+
+    def _content(self, tier: str, table: str) -> tuple[str, ...] | None:
+        """Where a table lies and the names of its files; None if it does not exist."""
+        if not self.exists(tier, table):
+            return None
+        location = self._location(tier, table)
+        names = (path.rstrip("/").rsplit("/", 1)[-1] for path in list_folder(self.spark, location))
+        return (location, *sorted(name for name in names if not name.startswith(("_", "."))))
+
     def publish(self, staged: Staged) -> int:
-        """Make a staged version the table's content."""
+        """Make a staged version the table's content.
+
+        What was appended or published since the version was staged would be lost,
+        so the table must still be what it was then; else nothing changes.
+        """
         name = self.identifier(staged.tier, staged.table)
+        if self._content(staged.tier, staged.table) != staged.base:
+            raise ConcurrentChangeError(f"{name} has changed since its new version was made; make it anew")
         if self.exists(staged.tier, staged.table):
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{staged.path}'")
             self.spark.catalog.refreshTable(name)
@@ -185,8 +209,14 @@ class Lakehouse:
     ) -> int:
         """Insert rows, replacing those with the same key; returns rows in the table.
 
-        Keys in ``df`` are unique, or its row with the highest ``version`` wins.
+        Of rows with one key that with the highest ``version`` wins; without a
+        ``version`` keys must not repeat. A null key names no row and is refused.
         """
+        keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        bad = F.col(key).isNull() if version is not None else F.col(key).isNull() | (F.col("n") > 1)
+        refused = keys.filter(bad).take(1)
+        if refused:
+            raise ValueError(f"key {refused[0][key]!r} is null or repeated; nothing was written")
         if version is not None:
             latest = F.max_by(F.struct(*df.columns), version).alias("_row")
             df = df.groupBy(key).agg(latest).select("_row.*")
@@ -203,9 +233,7 @@ class Lakehouse:
         Overwrites and failed builds leave them behind. Run it when no reader of
         an old version and no build of a new one is under way.
         """
-        rows = self.spark.sql(f"DESCRIBE FORMATTED {self.identifier(tier, table)}").collect()
-        current = next(r["data_type"] for r in rows if r["col_name"] == "Location")
-        name = current.rstrip("/").rsplit("/", 1)[-1]
+        name = self._location(tier, table).rsplit("/", 1)[-1]
         old = [
             path
             for path in list_folder(self.spark, self._versions(tier, table))
