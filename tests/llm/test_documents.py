@@ -370,3 +370,64 @@ def test_benchmark_in_many_blocks_without_the_driver(spark, monkeypatch):
     assert got == {i: (14, [i]) for i in range(0, 60, 7)} | {100: (2, [7]), 101: (0, []), 102: (0, []), 103: (10, [])}
     kept = decontaminate.drop_contaminated(df, bench).collect()
     assert sorted(r.doc_id for r in kept) == [101, 102]
+
+
+def test_languages_equal_plain_sets(spark, tables, documents):
+    """lang_pred against sets of n-grams without any filter, ties included."""
+    rows = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text", "lang").collect()
+
+    def plain(text):
+        line = " ".join("".join(c if c.isalpha() else " " for c in (text or "").lower()).split())
+        data = f" {line} ".encode() if line else b""
+        return [data[i : i + language.GRAM] for i in range(len(data) - language.GRAM + 1)]
+
+    shown = {}
+    for row in rows:
+        if row.lang is not None and row.text is not None and zlib.crc32(str(row.doc_id).encode()) % 3 != 1:
+            shown.setdefault(row.lang, []).append(set(plain(row.text)))
+    sets = {}
+    for lang, own in shown.items():
+        own = [grams for grams in own if grams]
+        counts = {}
+        for grams in own:
+            for gram in grams:
+                counts[gram] = counts.get(gram, 0) + 1
+        sets[lang] = {gram for gram, n in counts.items() if n >= len(own) * language.SHARE}
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(spark.read.parquet(f"{tables}/documents.parquet")).collect()}
+    for row in rows:
+        own = plain(row.text)
+        shares = {lang: sum(gram in sets[lang] for gram in own) / len(own) for lang in sorted(sets)} if own else {}
+        want = max(shares, key=shares.get) if shares else "und"
+        assert found[row.doc_id][0] == want and abs(found[row.doc_id][1] - shares.get(want, 0)) < 0.01
+
+
+def test_the_table_grows_with_the_n_grams(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(400)]
+    rows = [(i, " ".join(words[:200]) if i % 2 else " ".join(words[200:]), "ab"[i % 2]) for i in range(20)]
+    monkeypatch.setattr(language, "CELLS", 64)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    languages, table = language.learn(df)
+    model = language.Model(languages, table)
+    assert table.shape[1] >= 16 * 2000 and model.chance.max() < 0.01
+    names, _ = model.predict([row[1] for row in rows])
+    assert names == [row[2] for row in rows]
+
+
+def test_quality_copies_do_not_fill_the_sample(spark):
+    good = [(i, " ".join(f"word{j % 17}x these are plain words of some length {i}" for j in range(9))) for i in range(60)]
+    bad = [(100 + i, "### *** %%% &&& " * 30 + str(i)) for i in range(20)]
+    many = spark.createDataFrame(good + bad + [good[0]] * 3000, "doc_id long, text string").repartition(3)
+    a, b = quality.learn(many, 200), quality.learn(many.repartition(5), 200)
+    assert (a.weights == b.weights).all()
+    # However many copies, the bad ones are still told from them.
+    rated = {r.doc_id: r.score for r in quality.rate(many, quality.learn(many, 4000)).collect()}
+    assert max(rated[i] for i, _ in bad) < min(rated[i] for i, _ in good)
+
+
+def test_long_shapes_are_told_apart():
+    a, b = "Aa0." * 6 + "A", "Aa0." * 6 + "0"
+    first, second = (quality.features(*quality.measures(f"{x} {x} {x}")) for x in (a, b))
+    assert first.keys() != second.keys()

@@ -13,7 +13,10 @@ n-grams (a popcount per bit); a filter with a share f of its bits set answers
 yes by chance for f**HASHES of the others, so n hits of m mean
 (n - m * p) / (1 - p) true ones. The most true hits win.
 
-The table takes 8 MB for every 64 languages, on the driver and in each worker, and
+The table has a power of two of cells, at least :data:`CELLS` and :data:`ROOM` for
+each n-gram of the language that has the most, which are counted before it is
+filled; so a filter answers by chance for some 0.5 % of the others at most. It
+takes 8 bytes a cell for every 64 languages, on the driver and in each worker, and
 is filled 64 languages at a time. An n-gram that is in SHARE of a language's documents
 counts towards their n-grams, so there are at most (mean number of distinct
 n-grams of a document) / SHARE of them per language, however large the corpus.
@@ -39,7 +42,9 @@ from tidemark.session import materialize
 GRAM = 4
 HASHES = 3
 SHARE = 0.02
+#: Cells of the table at least, and for each n-gram of the language with the most.
 CELLS = 1 << 20
+ROOM = 16
 UNKNOWN = "und"
 
 #: A language is counted in a bit of a cell; each word of a cell has so many.
@@ -93,11 +98,11 @@ def _counted(batches):
             )
 
 
-def cells(values: np.ndarray) -> list[np.ndarray]:
+def cells(values: np.ndarray, number: int = CELLS) -> list[np.ndarray]:
     """The cells of each n-gram, one array per hash function."""
     first = mix(values + np.uint64(0x51ED270B))
     step = mix(first) | np.uint64(1)
-    return [((first + step * np.uint64(j)) % np.uint64(CELLS)).astype(np.int64) for j in range(HASHES)]
+    return [((first + step * np.uint64(j)) % np.uint64(number)).astype(np.int64) for j in range(HASHES)]
 
 
 class Model:
@@ -108,12 +113,12 @@ class Model:
         bits = np.array(
             [np.count_nonzero(table[i // WORD] >> np.uint64(i % WORD) & np.uint64(1)) for i in range(len(languages))]
         )
-        self.chance = (bits / CELLS) ** HASHES
+        self.chance = (bits / table.shape[1]) ** HASHES
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score (share of the text's n-grams it truly has) of each text."""
         own, counts = grams(texts)
-        places = cells(own)
+        places = cells(own, self.table.shape[1])
         ends = np.concatenate([[0], np.cumsum(counts)])
         best, names = np.zeros(len(texts)), [UNKNOWN] * len(texts)
         for i, (lang, chance) in enumerate(zip(self.languages, self.chance, strict=True)):
@@ -145,16 +150,21 @@ def learn(docs: DataFrame, share: float = SHARE) -> tuple[list[str], np.ndarray]
     )
     totals = {row["lang"]: row["docs"] for row in counted.where("gram = -1").orderBy("lang").collect()}
     languages = sorted(totals)
-    table = np.zeros((max(1, -(-len(languages) // WORD)), CELLS), np.uint64)
-    for word, row in enumerate(table if languages else ()):
-        group = languages[word * WORD : (word + 1) * WORD]
-        place = {lang: i for i, lang in enumerate(group)}
+    groups = [languages[begin : begin + WORD] for begin in range(0, len(languages), WORD)]
+
+    def kept(group: list[str]) -> DataFrame:
         least = F.coalesce(*(F.when(F.col("lang") == lang, F.lit(totals[lang] * share)) for lang in group))
-        kept = counted.where((F.col("gram") >= 0) & (F.col("docs") >= least)).select("lang", "gram")
-        for batch in kept.toArrow().to_batches():
+        return counted.where((F.col("gram") >= 0) & (F.col("docs") >= least)).select("lang", "gram")
+
+    sizes = [kept(group).groupBy("lang").count().agg(F.max("count")).first()[0] or 0 for group in groups]
+    number = max(CELLS, 1 << (ROOM * max([1, *sizes]) - 1).bit_length())
+    table = np.zeros((max(1, len(groups)), number), np.uint64)
+    for row, group in zip(table, groups, strict=False):
+        place = {lang: i for i, lang in enumerate(group)}
+        for batch in kept(group).toArrow().to_batches():
             owner = np.array([place[lang] for lang in batch.column("lang").to_pylist()], np.uint64)
             values = batch.column("gram").to_numpy().astype(np.uint64)
-            for at in cells(values):
+            for at in cells(values, number):
                 np.bitwise_or.at(row, at, np.uint64(1) << owner)
     return languages, table
 
@@ -164,10 +174,10 @@ _MODELS: dict[str, Model] = {}
 
 def _model(sent) -> Model:
     """This worker's model; one is kept."""
-    name, languages, table = sent.value
+    name, languages, table, shape = sent.value
     if name not in _MODELS:
         _MODELS.clear()
-        _MODELS[name] = Model(languages, np.frombuffer(table, np.uint64).reshape(-1, CELLS))
+        _MODELS[name] = Model(languages, np.frombuffer(table, np.uint64).reshape(shape))
     return _MODELS[name]
 
 
@@ -199,7 +209,7 @@ def _keep(batches, sent, least: float):
 def _sent(spark, languages: list[str], table: np.ndarray):
     import uuid
 
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, languages, table.tobytes()))
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, languages, table.tobytes(), table.shape))
 
 
 def held_out(column: str = "doc_id"):

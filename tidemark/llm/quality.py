@@ -102,16 +102,13 @@ def votes(found: list[float], n_words: int) -> list[int]:
 
 
 def features(found: list[float], shapes: list[bytes]) -> dict[int, float]:
-    """Hashed features: shares of shapes and of pairs of shapes, and the measures.
-
-    A shape longer than 16 bytes is named by its first ones.
-    """
+    """Hashed features: shares of shapes and of pairs of shapes, and the measures."""
     out: dict[int, float] = {}
     for mark, items in ((b"1", shapes), (b"2", zip(shapes, shapes[1:], strict=False))):
         counted = Counter(items)
         total = sum(counted.values()) or 1
         for item, k in counted.items():
-            name = item[:16] if mark == b"1" else item[0][:16] + b" " + item[1][:16]
+            name = item if mark == b"1" else item[0] + b" " + item[1]
             place = zlib.crc32(mark + name) % WIDTH
             out[place] = out.get(place, 0.0) + k / total
     for name, value, (_, bad) in zip(HEURISTICS, found, HEURISTICS.values(), strict=True):
@@ -188,18 +185,19 @@ def _counted(batches):
 def _sampled(batches):
     for batch in batches:
         rows = []
-        for text in batch.column("text").to_pylist():
+        for lot, text in zip(batch.column("lot").to_pylist(), batch.column("text").to_pylist(), strict=True):
             if text and not text.isspace():
                 found, shapes = measures(text)
                 own = features(found, shapes)
                 rows.append(
                     {
+                        "lot": lot,
                         "votes": "".join(map(str, votes(found, len(shapes)))),
                         "places": list(own), "shares": list(own.values()),
                     }
                 )
         yield pa.RecordBatch.from_pylist(
-            rows, schema=pa.schema([("votes", pa.string()), ("places", pa.list_(pa.int32())), ("shares", pa.list_(pa.float64()))])
+            rows, schema=pa.schema([("lot", pa.int64()), ("votes", pa.string()), ("places", pa.list_(pa.int32())), ("shares", pa.list_(pa.float64()))])
         )
 
 
@@ -226,13 +224,15 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     patterns = _patterns([row["votes"] for row in counted])
     counts = np.array([row["docs"] for row in counted], float)
     prior, right = expectation_maximisation(patterns, counts)
-    # A share of about ``sample`` documents by hash; limit() only guards the bound.
+    # A share of about ``sample`` documents by hash, a repeated row once; in the order of
+    # the hash the bound always takes the same ones.
     bound = int(2**63 * min(1.0, sample / max(counts.sum(), 1.0))) - 1
+    lot = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2**63 - 1))
     taken = (
-        own.where((F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2**63 - 1))) <= F.lit(bound))
-        .select("text")
-        .mapInArrow(remote(_sampled), "votes string, places array<int>, shares array<double>")
-        .limit(sample + sample // 10)
+        own.withColumn("lot", lot).where(F.col("lot") <= F.lit(bound))
+        .groupBy("lot").agg(F.min("text").alias("text"))
+        .mapInArrow(remote(_sampled), "lot long, votes string, places array<int>, shares array<double>")
+        .orderBy("lot").limit(sample + sample // 10)
         .collect()
     )
     wanted = posterior(_patterns([row["votes"] for row in taken]), prior, right)
