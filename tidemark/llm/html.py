@@ -420,8 +420,8 @@ def _texts(batch: pa.RecordBatch, places: list[int], texts: list[str]) -> pa.Rec
 
 
 #: Pages of a host that one task reads at most, about; hosts are counted in so many cells by a hash.
-PAGES = 2048
-CELLS = 1 << 17
+PAGES = 256
+CELLS = 1 << 19
 
 
 def _parts(own: DataFrame) -> DataFrame:
