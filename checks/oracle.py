@@ -175,10 +175,22 @@ texts AS (
     || ', tenure_months=' || tenure_months || ', churned_flag='
     || CASE WHEN churned_flag THEN 'True' ELSE 'False' END AS text
   FROM subs),
+named AS (
+  SELECT 'COMMERCIAL-' || substr(sha256(epoch_us("timestamp") || '|' || text), 1, 32) AS base, * FROM texts),
+copies AS (SELECT row_number() OVER (PARTITION BY base) AS copy, * FROM named),
 chunks AS (
-  SELECT 'COMMERCIAL-' || substr(sha256(epoch_us("timestamp") || '|' || text), 1, 32)
-      AS id, text, plan_tier, region, 'COMMERCIAL' AS profile
-  FROM texts)"""
+  SELECT base || CASE WHEN copy > 1 THEN '-' || copy ELSE '' END AS id, text, plan_tier, region,
+    'COMMERCIAL' AS profile
+  FROM copies)"""
+
+
+#: Every row twice, and rows of one customer in sixteen three times.
+REPEATED = CHUNKS.replace(
+    "  FROM subs),\nnamed",
+    """  FROM (SELECT * FROM subs UNION ALL SELECT * FROM subs
+    UNION ALL SELECT * FROM subs WHERE customer_id_hashed LIKE '%0')),
+named""",
+)
 
 
 def _buckets(relation: str, key: str, text: str) -> str:
@@ -486,6 +498,7 @@ def oracle() -> dict[str, str]:
             FROM (SELECT 'd' || doc_id AS source_id, text FROM documents
                   UNION ALL SELECT 'c-' || conv_id || '-' || turn, text FROM conversations)""",
         "build_chunks": f"WITH {CHUNKS} SELECT * FROM chunks",
+        "build_chunks_repeated": f"WITH {REPEATED} SELECT * FROM chunks",
         "filter_by_terms": f"""WITH {SUBS}
             SELECT * FROM subs WHERE plan_tier = 'PRO' AND region = 'EU'
             ORDER BY "timestamp", customer_id_hashed, monthly_revenue LIMIT 20""",
@@ -528,7 +541,7 @@ def oracle() -> dict[str, str]:
               FROM scored)
             SELECT query_id, rank, vec_id, round(score, 6) AS score FROM ranked WHERE rank <= 5""",
         "retrieve": _retrieve("SELECT * FROM chunks"),
-        "ask": _retrieve("SELECT DISTINCT * FROM chunks"),
+        "ask": _retrieve("SELECT * FROM chunks"),
         "digest_embedding": """WITH bytes AS (
               SELECT doc_id, i AS place,
                 ('0x' || substr(sha256(text), 2 * (i % 32) + 1, 2))::INTEGER / 255.0::DOUBLE AS b

@@ -36,6 +36,7 @@ from tidemark.sources.alignment import align_to_schema as align
 from tidemark.sources.lakehouse import Lakehouse
 from tidemark.sources.run_results import parse_run_results
 from tidemark.sources.run_results import read_run_results as read_results
+from tidemark.sources.shards import read_training_shards
 from tidemark.streaming import stateful
 from tidemark.streaming.downsample import read_time_frames, write_time_frames
 from tidemark.streaming.downsample import stream_downsample_time as time_frames
@@ -617,15 +618,23 @@ def _raw_accounts(spark, folder):
     return governance.mask_sensitive(raw, COMMERCIAL, _key(spark))
 
 
-def _chunks(spark, folder):
-    return retrieval.build_chunks(_raw_accounts(spark, folder), COMMERCIAL)
+def _chunks(bronze):
+    return retrieval.build_chunks(bronze, COMMERCIAL).select(
+        "id", "text", *[F.col("metadata")[f].alias(f) for f in ("plan_tier", "region", "profile")]
+    )
 
 
 @query
 def build_chunks(spark, folder):
-    return _chunks(spark, folder).select(
-        "id", "text", *[F.col("metadata")[f].alias(f) for f in ("plan_tier", "region", "profile")]
-    )
+    return _chunks(_raw_accounts(spark, folder))
+
+
+@query
+def build_chunks_repeated(spark, folder):
+    """Every row twice, and those of one customer in sixteen three times."""
+    rows = _raw_accounts(spark, folder)
+    some = rows.filter(F.col("customer_id_hashed").endswith("0"))
+    return _chunks(rows.unionByName(rows).unionByName(some))
 
 
 @query
@@ -849,11 +858,11 @@ def append_scores(spark, folder):
 
 @query
 def write_training_shards(spark, folder):
-    """Which episode went to which shard, and the shards written."""
-    episodes = _signed_episodes(spark, folder)
-    written = flywheel.write_training_shards(episodes, scratch_path(spark, "tars"))
-    manifest = flywheel.shard_manifest(episodes).select("episode_id", "shard", "place")
-    return manifest.join(written.select("shard", "samples"), "shard")
+    """Which episode went to which shard, read back from the shards published."""
+    target = scratch_path(spark, "tars")
+    written = flywheel.write_training_shards(_signed_episodes(spark, folder), target)
+    samples = read_training_shards(spark, target).select("episode_id", "shard", "place")
+    return samples.join(written.select("shard", "samples"), "shard")
 
 
 # --- costs --------------------------------------------------------------------

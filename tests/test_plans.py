@@ -24,8 +24,19 @@ def test_row_work_needs_no_shuffle(spark, name):
     assert "Exchange" not in plan(spark, name)
 
 
-def test_chunks_are_numbered_in_one_shuffle(spark):
-    assert plan(spark, "build_chunks").count("Exchange hashpartitioning") == 1
+def test_chunks_move_no_rows_where_none_repeats(spark):
+    assert "Exchange" not in plan(spark, "build_chunks")
+
+
+def test_few_repeated_chunks_leave_the_others_in_place(spark):
+    from checks import queries
+    from tidemark.operators import retrieval
+    from tidemark.profiles import COMMERCIAL
+
+    rows = queries._raw_accounts(spark, FOLDER)
+    twice = rows.unionByName(rows.limit(3))
+    text = retrieval.build_chunks(twice, COMMERCIAL)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in text and "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
 @pytest.mark.parametrize("name", GOLD + ["retrieve", "vector_topk", "signal_downsample", "idle_frames",

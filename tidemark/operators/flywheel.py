@@ -2,15 +2,9 @@
 
 from __future__ import annotations
 
-import io
-import json
-import tarfile
-import uuid
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +13,8 @@ from tidemark.functions.numeric import whole_division
 from tidemark.functions.text import display
 from tidemark.operators.ranking import position_by_digest, position_in
 from tidemark.profiles import FAILURE_TAGS, ROBOTICS, Profile, declare
-from tidemark.session import delete_path, folder_store, materialize, shared_folder
+from tidemark.session import materialize, shared_folder
+from tidemark.sources.shards import FIRST, SAMPLE_COLUMNS, list_training_shards, write_shards
 
 # --- Fixed values: schemas, score constants, shard layout ---------------------
 EPISODES_TABLE = "vla_episodes"
@@ -49,8 +44,6 @@ CONFIDENCE_MIN, CONFIDENCE_MAX, FAILURE_BELOW = 0.01, 0.99, 0.55
 TAG_SCALE = 1000
 SAMPLES_PER_SHARD = 64
 SHUFFLE_SEED = 42
-SHARD_NAME = "shard-{:05d}.tar"
-SHARD_METADATA = ("robot_model_id", "failure_type_tag", "success_flag", "backbone")
 # ------------------------------------------------------------------------------
 
 EPISODE_ORDER = ("timestamp", "robot_id", "camera_frame_uri")
@@ -169,25 +162,53 @@ def shard_manifest(
     )
 
 
-def _tar(samples: pd.DataFrame) -> bytes:
-    buffer = io.BytesIO()
-    with tarfile.open(fileobj=buffer, mode="w") as tar:
-        for sample in samples.sort_values("place").itertuples():
-            vector = io.BytesIO()
-            np.save(vector, np.asarray(sample.vla_feature_vector, np.float32), allow_pickle=False)
-            # SHARD_METADATA values are strings, a bool, or missing
-            meta = {
-                f: None if pd.isna(v := getattr(sample, f)) else (bool(v) if f == "success_flag" else v)
-                for f in SHARD_METADATA
-            }
-            for suffix, payload in (
-                ("npy", vector.getvalue()),
-                ("json", json.dumps(meta).encode("utf-8")),
-            ):
-                member = tarfile.TarInfo(f"{sample.episode_id}.{suffix}")
-                member.size = len(payload)
-                tar.addfile(member, io.BytesIO(payload))
-    return buffer.getvalue()
+#: Runs that the shuffled order is cut in at most; each is written by one task.
+MOST_RUNS = 65_536
+
+
+def _runs(episodes: DataFrame, samples_per_shard: int, shuffle_seed: int) -> DataFrame:
+    """Samples with ``first``, the position their run begins at, a run whole in one partition.
+
+    Ids alone are shuffled to number the order and find where runs begin, at whole
+    shards; these bounds (:data:`MOST_RUNS` at most, hence broadcast) then send each
+    vector straight to the task that writes it, so vectors are shuffled once.
+    ``episodes`` must give the same rows each time it is computed.
+    """
+    spark = episodes.sparkSession
+    seeded = F.sha2(F.concat_ws(":", F.lit(str(shuffle_seed)), F.col("episode_id")), 256)
+    part = F.conv(F.substring("_shuffle", 1, 4), 16, 10).cast("int")
+    ids = (
+        episodes.select(seeded.alias("_shuffle"))
+        .groupBy("_shuffle")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_part", part)
+    )
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ids.groupBy("_part").agg(F.sum("_rows").alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+    )
+    within = Window.partitionBy("_part").orderBy("_shuffle").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.col("_before") + F.coalesce(F.sum("_rows").over(within), F.lit(0))
+    begins = ids.join(F.broadcast(offsets), "_part").select("_part", "_shuffle", begin.alias(FIRST))
+
+    shards = -(-episodes.count() // samples_per_shard)
+    span = samples_per_shard * max(1, -(-shards // MOST_RUNS))
+    # Samples of one id stay in one run, which then ends at a later whole shard.
+    cuts = (
+        begins.filter(F.pmod(F.col(FIRST), F.lit(samples_per_shard)) == 0)
+        .groupBy(whole_division(F.col(FIRST), span).alias("_span"))
+        .agg(F.min_by(F.struct("_part", "_shuffle", FIRST), FIRST).alias("_cut"))
+        .select("_cut.*")
+    )
+    cuts = materialize(cuts, "runs")
+    inside = cuts.groupBy("_part").agg(F.sort_array(F.collect_list(F.struct("_shuffle", FIRST))).alias("_cuts"))
+    parts = spark.range(1 << 16).select(F.col("id").cast("int").alias("_part")).join(inside, "_part", "left")
+    parts = parts.withColumn("_open", F.max(F.array_max("_cuts")[FIRST]).over(earlier))
+
+    keyed = episodes.withColumn("_shuffle", seeded).withColumn("_part", part).join(F.broadcast(parts), "_part")
+    last = F.array_max(F.filter("_cuts", lambda cut: cut["_shuffle"] <= F.col("_shuffle")))[FIRST]
+    runs = keyed.select("*", F.coalesce(last, "_open").alias(FIRST)).select(FIRST, "_shuffle", *SAMPLE_COLUMNS)
+    return runs.repartition(FIRST).sortWithinPartitions(FIRST, "_shuffle", *SAMPLE_COLUMNS)
 
 
 def write_training_shards(
@@ -200,33 +221,12 @@ def write_training_shards(
 
     Each task writes whole shards of a fixed number of samples. ``folder`` is a
     place every executor can reach, a new one per run; on a cluster a machine's
-    own disk is refused unless it lies in the shared checkpoint folder. A shard
-    is written in a folder of unfinished ones, removed in the end, and moved into
-    place; its bytes are the same on a retry. So a lost executor leaves neither
-    half nor doubled shards.
+    own disk is refused unless it lies in the shared checkpoint folder. Shards
+    appear, and the manifest beside the folder after them, when the whole job has
+    succeeded; a failed one leaves no shard. A repeated task writes the same
+    bytes, so a lost executor leaves neither half nor doubled shards.
     """
     spark = episodes.sparkSession
     folder = shared_folder(spark, folder).rstrip("/")
-    unfinished = f"{folder}/_unfinished"
-
-    def write(samples: pd.DataFrame) -> pd.DataFrame:
-        number = int(samples["shard"].iloc[0])
-        store, root = folder_store(folder)
-        parts = f"{root}/{unfinished.rsplit('/', 1)[1]}"
-        store.create_dir(parts, recursive=True)
-        path = f"{root}/{SHARD_NAME.format(number)}"
-        part = f"{parts}/{uuid.uuid4().hex}"
-        with store.open_output_stream(part) as out:
-            out.write(_tar(samples))
-        store.move(part, path)
-        return pd.DataFrame({"shard": [number], "path": [path], "samples": [len(samples)]})
-
-    manifest = shard_manifest(episodes, samples_per_shard, shuffle_seed)
-    narrow = manifest.select("shard", "place", "episode_id", "vla_feature_vector", *SHARD_METADATA)
-    written = narrow.groupBy("shard").applyInPandas(
-        write, "shard bigint, path string, samples bigint"
-    )
-    # Run the writing once, now; the result is the list of shards.
-    shards = materialize(written, "shards")
-    delete_path(spark, unfinished)
-    return shards.orderBy("shard")
+    write_shards(_runs(episodes, samples_per_shard, shuffle_seed), folder, samples_per_shard, shuffle_seed)
+    return list_training_shards(spark, folder).orderBy("shard")

@@ -13,6 +13,7 @@ from tidemark.functions import text as texts
 from tidemark.functions.embedding import Embedder
 from tidemark.operators.topk import vector_topk
 from tidemark.profiles import Profile
+from tidemark.session import materialize
 
 # --- Fixed values: sizes and the wording of a brief ---------------------------
 MATCHING_ROWS = 20
@@ -71,12 +72,16 @@ def with_chunk_id(bronze: DataFrame, profile: Profile) -> DataFrame:
 
     Equal rows are chunks of their own: the second one's id ends in ``-2``, and so
     on. Which of them gets which number does not matter, as they are equal.
-    Only ids are shuffled to find what repeats; the other rows stay where they
-    are, and a row that repeats very often is counted, then spread again.
+    Ids alone are shuffled, and those that repeat written down, so their size is
+    known: few are broadcast, and where none repeats no row moves. A row that
+    repeats very often is counted, then spread again.
     """
     columns = bronze.columns
     based = bronze.withColumn("_base", content_id(profile, chunk_text(profile)))
-    repeated = based.groupBy("_base").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("_base")
+    counts = based.groupBy("_base").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(counts.filter(F.col("_n") > 1).select("_base"), "repeated")
+    if repeated.isEmpty():
+        return based.select(F.col("_base").alias("id"), *columns)
     alone = based.join(repeated, "_base", "left_anti").select(F.col("_base").alias("id"), *columns)
     numbered = _copies(based.join(repeated, "_base", "left_semi"), columns)
     later = F.when(F.col("_number") > 1, F.concat(F.lit("-"), F.col("_number").cast("string")))
