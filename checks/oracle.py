@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks.queries import BATCH_US, CHECK_SALT, WORDS
 from tidemark.functions.masking import key_pads
+from tidemark.profiles import CLINICAL, HEALTH_TECH, MANUFACTURING, ROBOTICS, Profile
 
 _INNER, _OUTER = (pad.hex() for pad in key_pads(CHECK_SALT))
 
@@ -193,6 +194,45 @@ named""",
 )
 
 
+def _shown(name: str, kind: str) -> str:
+    """A Bronze value as a chunk's text shows it."""
+    if kind == "boolean":
+        text = f"CASE WHEN {name} THEN 'True' WHEN NOT {name} THEN 'False' END"
+    elif kind == "float":
+        text = f"{name}::DOUBLE::VARCHAR"
+    elif kind.startswith("array"):
+        text = f"'[' || array_to_string(list_transform({name}, lambda x: x::DOUBLE::VARCHAR), ', ') || ']'"
+    else:
+        text = f"{name}::VARCHAR"
+    return f"coalesce({text}, 'None')"
+
+
+def _profile_chunks(profile: Profile, bronze: str, part: str) -> str:
+    """Chunks of a profile whose last column is missing in every ninth row."""
+    fields = [(f.name, f.dataType.simpleString()) for f in profile.schema.fields if f.name != "timestamp"]
+    text = " || ', ' || ".join(f"'{name}=' || {_shown(name, kind)}" for name, kind in fields)
+    found = ", ".join(f"'{field}=' || {field}" for field in profile.vocabulary)
+    last = profile.schema.names[-1]
+    return f"""
+        SELECT base || CASE WHEN copy > 1 THEN '-' || copy ELSE '' END AS id, text, metadata FROM (
+          SELECT *, row_number() OVER (PARTITION BY base) AS copy FROM (
+            SELECT *, '{profile.name}-' || substr(sha256(epoch_us("timestamp"::TIMESTAMP) || '|' || text), 1, 32) AS base
+            FROM (
+              SELECT "timestamp", '[{profile.name}] ' || {text} AS text,
+                array_to_string(list_sort(list_filter([{found}, 'profile={profile.name}'],
+                  lambda x: x IS NOT NULL)), ',') AS metadata
+              FROM (SELECT * REPLACE (CASE WHEN {part}("timestamp") % 9 <> 4 THEN {last} END AS {last})
+                    FROM {bronze}))))"""
+
+
+def _measures(product: str, key: str, gold: str) -> str:
+    """A Gold product's SQL as one row per key and measure."""
+    return f"""
+        SELECT '{product}' AS product, {key} AS key, measure, value
+        FROM (UNPIVOT (SELECT {key}, COLUMNS(* EXCLUDE ({key}))::DOUBLE FROM ({gold}))
+              ON COLUMNS(* EXCLUDE ({key})) INTO NAME measure VALUE value)"""
+
+
 def _buckets(relation: str, key: str, text: str) -> str:
     """(key, bucket, tf) of the hashed words of a relation's text."""
     return f"""
@@ -307,7 +347,7 @@ def oracle() -> dict[str, str]:
     contract_rows = ", ".join(
         "(" + ", ".join("NULL" if v is None else f"'{v}'" for v in row) + ")" for row in contract
     )
-    return {
+    own = {
         "silver_robot_signals": f"""WITH {SILVER_ROBOT}
             SELECT * EXCLUDE (joint_positions), {joints} FROM silver""",
         "silver_robot_joints": f"""WITH {SILVER_ROBOT}
@@ -596,3 +636,43 @@ def oracle() -> dict[str, str]:
             SELECT data_product, node, round(sum(estimated_cost_usd), 4) AS total_cost_usd
             FROM costs GROUP BY 1, 2""",
     }
+    keys = {
+        "gold_robot_health": "robot_model_id", "gold_facility_health": "facility_id", "gold_cohort_summary": "region",
+        "gold_account_health": "plan_tier", "gold_study_safety": "study_id",
+    }
+    others = [(ROBOTICS, "robot", "second"), (MANUFACTURING, "plc", "day"), (HEALTH_TECH, "bio", "second"),
+              (CLINICAL, "ecrf", "second")]
+    return own | {
+        "enforce_profiles": " UNION ALL ".join(_measures(name, key, own[name]) for name, key in keys.items()),
+        "masked_join_stored": own["masked_join"],
+        "test_unique_tokens": own["test_unique"],
+        "stream_index_chunks": own["build_chunks_repeated"],
+        "build_chunks_profiles": f"WITH {ROBOT}, {PLC}, {BIO}, {ECRF} "
+        + " UNION ALL ".join(_profile_chunks(*other) for other in others),
+        "asset_chain": f"""SELECT *, (SELECT count(*) FROM orders) AS ingested,
+              (SELECT count(*) FROM orders) AS indexed, (SELECT count(*) FROM orders) AS silver_rows,
+              (SELECT count(DISTINCT o_custkey % 3) FROM orders) AS gold_rows
+            FROM ({own["ask"]})""",
+        "gold_patient_sketches": f"""WITH {ECRF},
+            keyed AS (SELECT study_id AS key, * FROM ecrf UNION ALL SELECT 'all', * FROM ecrf)
+            SELECT key, count(DISTINCT patient_id_hashed) AS exact, count(*) AS observation_count,
+              true AS within_bound FROM keyed GROUP BY 1""",
+        "stream_run_results_good": own["read_run_results"].replace(
+            "FROM results)", "FROM results WHERE event_id % 11 <> 3 AND event_id % 13 <> 5)"
+        ),
+        "stream_run_results_quarantine": """WITH documents AS (
+              SELECT event_id, '{"results":[{"unique_id":"' || event_type || '"' ||
+                CASE WHEN user_id % 7 = 0 THEN '' ELSE ',"status":"success"' END ||
+                ',"execution_time":' || (value / 1000)::VARCHAR || '}' ||
+                CASE WHEN user_id % 5 = 0 THEN ',{"status":"error"}' ELSE '' END || ']}' AS document
+              FROM events),
+            bad AS (
+              SELECT 'malformed' AS reason, substr(document, 1, length(document) - 5) AS document
+              FROM documents WHERE event_id % 11 = 3
+              UNION ALL
+              SELECT 'no results', '{"run": ' || event_id || '}' FROM documents
+              WHERE event_id % 13 = 5 AND event_id % 11 <> 3)
+            SELECT reason, count(*) AS documents, count(*) AS with_file,
+              sum(length(regexp_replace(document, '[0-9.eE-]', '', 'g')))::BIGINT AS characters
+            FROM bad GROUP BY 1""",
+    }

@@ -14,10 +14,22 @@ from tidemark.functions.embedding import digest_embedding as digest
 from tidemark.functions.embedding import hashed_words
 from tidemark.functions.masking import MaskingKey
 from tidemark.functions.text import extract_terms as terms
-from tidemark.operators import costs, flywheel, frames, gold, governance, quality, retrieval, silver, vector_index
+from tidemark.operators import (
+    colocated,
+    costs,
+    flywheel,
+    frames,
+    gold,
+    governance,
+    quality,
+    retrieval,
+    silver,
+    sketches,
+    vector_index,
+)
 from tidemark.operators.ranking import position_in
 from tidemark.operators.topk import vector_topk as nearest
-from tidemark.plans import assistant, medallion, signals
+from tidemark.plans import assistant, end_to_end, medallion, signals
 from tidemark.plans import flywheel as flywheel_plan
 from tidemark.plans.products import PRODUCT_LINES
 from tidemark.profiles import (
@@ -40,8 +52,10 @@ from tidemark.sources.shards import read_training_shards
 from tidemark.streaming import stateful
 from tidemark.streaming.downsample import read_time_frames, write_time_frames
 from tidemark.streaming.downsample import stream_downsample_time as time_frames
+from tidemark.streaming.index_feed import stream_index
 from tidemark.streaming.ingest import append_scores as stream_scores
 from tidemark.streaming.ingest import stream_bronze_ingest as stream_ingest
+from tidemark.streaming.run_feed import read_feed_results, read_quarantine, stream_run_results
 
 #: For checks only: the SQL side needs the same key.
 CHECK_SALT = "tidemark-check-salt-0123456789"
@@ -162,6 +176,29 @@ def gold_study_safety(spark, folder):
     )
 
 
+@query
+def gold_patient_sketches(spark, folder):
+    """Patients per study and in all, from sketches of two halves of Silver, against the exact counts."""
+    lake = _lake(spark, CLINICAL)
+    observations = silver.silver_ecrf_observations(_bronze(spark, folder, CLINICAL))
+    early = F.dayofmonth("timestamp") <= 15
+    sketches.append_sketches(lake, observations.filter(early), "study_id")
+    sketches.append_sketches(lake, observations.filter(~early), "study_id")
+    stored = lake.read_product("gold", sketches.SKETCH_TABLE)
+    estimates = sketches.distinct_patients(stored, "key").unionByName(
+        sketches.distinct_patients(stored).withColumn("key", F.lit("all"))
+    )
+    each = F.explode(F.array("study_id", F.lit("all"))).alias("key")
+    exact = observations.select(each, "patient_id_hashed").groupBy("key").agg(
+        F.count_distinct("patient_id_hashed").alias("exact")
+    )
+    off = F.abs(F.col("patient_count") - F.col("exact"))
+    bound = F.greatest(F.lit(1.0), 4 * sketches.relative_error() * F.col("exact"))
+    return estimates.join(exact, "key").select(
+        "key", "exact", "observation_count", (off <= bound).alias("within_bound")
+    )
+
+
 @query
 def order_by_key(spark, folder):
     """Where each key stands in the five Gold products, and a missing key among them."""
@@ -263,6 +300,22 @@ def enforce(spark, folder):
     return lake.read_product("gold", "gold_account_health")
 
 
+@query
+def enforce_profiles(spark, folder):
+    """Every measure of the Gold tables that the five builds publish."""
+    measures = []
+    for name, line in PRODUCT_LINES.items():
+        lake = _lake(spark, line.profile)
+        medallion.ingest(lake, star_tables.raw(spark, folder, name), CHECK_SALT)
+        medallion.enforce(lake, CHECK_SALT)
+        published = lake.read_product("gold", line.gold.name)
+        key, *others = published.columns
+        values = [F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in others]
+        apart = published.select(F.col(key).alias("key"), F.explode(F.array(*values)).alias("m"))
+        measures.append(apart.select(F.lit(line.gold.name).alias("product"), "key", "m.measure", "m.value"))
+    return reduce(DataFrame.unionByName, measures)
+
+
 @query
 def first_available(spark, folder):
     """Frames of the channel found in Bronze, as no Silver exists."""
@@ -308,6 +361,22 @@ def masked_join(spark, folder):
     return governance.masked_join(orders, customers, "masked_id")
 
 
+@query
+def masked_join_stored(spark, folder):
+    """The same from two bucketed tables; customers with more than 20 orders are in slices."""
+    key, lake = _key(spark), _lake(spark, COMMERCIAL)
+    orders = _table(spark, folder, "orders").select(
+        "o_orderkey", key.mask(F.col("o_custkey").cast("string")).alias("masked_id")
+    )
+    customers = _table(spark, folder, "customer").select(
+        key.mask(F.col("c_custkey").cast("string")).alias("masked_id"), "c_name", "c_mktsegment"
+    )
+    stored = colocated.store_for_join(
+        lake, "gold", "order_customers", orders, customers, "masked_id", buckets=8, slice_rows=20
+    )
+    return colocated.join_stored(lake, stored)
+
+
 def _accounts(spark, folder):
     return star_tables.subscription_events_raw(spark, folder)
 
@@ -398,6 +467,13 @@ def test_unique(spark, folder):
     return quality.test_unique(_dirty(spark, folder), "order_key")
 
 
+@query
+def test_unique_tokens(spark, folder):
+    """The same of masked order keys, told apart by their hashes first."""
+    token = _key(spark).mask(F.col("order_key").cast("string"))
+    return quality.test_unique(_dirty(spark, folder).withColumn("token", token), "token")
+
+
 @query
 def test_no_sensitive_columns(spark, folder):
     return quality.test_no_sensitive_columns(_dirty(spark, folder), ("register_id", "ssn"))
@@ -637,6 +713,34 @@ def build_chunks_repeated(spark, folder):
     return _chunks(rows.unionByName(rows).unionByName(some))
 
 
+@query
+def build_chunks_profiles(spark, folder):
+    """Chunks of the other four profiles, with lists, and a missing value in every ninth row."""
+    parts = []
+    for profile in (ROBOTICS, MANUFACTURING, HEALTH_TECH, CLINICAL):
+        bronze = _bronze(spark, folder, profile)
+        missing = F.second("timestamp") % 9 == 4 if profile is not MANUFACTURING else F.day("timestamp") % 9 == 4
+        last = profile.schema.names[-1]
+        chunks = retrieval.build_chunks(bronze.withColumn(last, F.when(~missing, F.col(last))), profile)
+        terms_found = F.array_join(F.transform(F.array_sort(F.map_entries("metadata")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
+        parts.append(chunks.select("id", "text", terms_found.alias("metadata")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def stream_index_chunks(spark, folder):
+    """The index fed from Bronze in three runs; the third brings rows that are there already."""
+    lake, checkpoint = _lake(spark, COMMERCIAL), scratch_path(spark, "checkpoint")
+    rows = _raw_accounts(spark, folder)
+    odd = F.col("tenure_months") % 2 == 1
+    again = rows.unionByName(rows.filter(F.col("customer_id_hashed").endswith("0")))
+    for part in (rows.filter(odd), rows.filter(~odd), again):
+        lake.append_product("bronze", COMMERCIAL.bronze_table, part, COMMERCIAL.schema)
+        stream_index(lake, checkpoint).awaitTermination()
+    index = lake.read_product(assistant.INDEX_TIER, COMMERCIAL.index_name)
+    return index.select("id", "text", *[F.col("metadata")[f].alias(f) for f in ("plan_tier", "region", "profile")])
+
+
 @query
 def filter_by_terms(spark, folder):
     return retrieval.filter_by_terms(
@@ -776,6 +880,22 @@ def ask(spark, folder):
     return _answers_flat(assistant.ask(lake, _questions(spark, folder)))
 
 
+@query
+def asset_chain(spark, folder):
+    """Ingest, build, publish, index and ask as one run, with the rows of each step."""
+    lake = _lake(spark, COMMERCIAL)
+    raw = star_tables.subscription_events_raw(spark, folder)
+    report = end_to_end.run(lake, raw, _questions(spark, folder), CHECK_SALT)
+    return _answers_flat(report.answers).withColumns(
+        {
+            "ingested": F.lit(report.ingested).cast("bigint"),
+            "indexed": F.lit(report.indexed).cast("bigint"),
+            "silver_rows": F.lit(report.published["silver.silver_subscription_events"]).cast("bigint"),
+            "gold_rows": F.lit(report.published["gold.gold_account_health"]).cast("bigint"),
+        }
+    )
+
+
 # --- flywheel -----------------------------------------------------------------
 @query
 def digest_embedding(spark, folder):
@@ -900,6 +1020,43 @@ def read_run_results(spark, folder):
     )
 
 
+def _run_feed(spark, folder):
+    """The artifacts as a feed of files; every eleventh document is cut off, every thirteenth has no list."""
+    source, target = scratch_path(spark, "artifacts"), scratch_path(spark, "run_feed")
+    number, document = F.col("event_id"), F.col("document")
+    given = F.when(number % 11 == 3, F.expr("left(document, length(document) - 5)")).when(
+        number % 13 == 5, F.concat(F.lit('{"run": '), number.cast("string"), F.lit("}"))
+    ).otherwise(document)
+    _runs(spark, folder).select(given.alias("value")).repartition(4, "value").write.text(source)
+    stream_run_results(
+        spark, source, target, scratch_path(spark, "checkpoint"), "HEALTH_TECH", one_per_line=True, once=True, files=1
+    ).awaitTermination()
+    return target
+
+
+@query
+def stream_run_results_good(spark, folder):
+    """Results of the good documents of the feed, in several micro-batches."""
+    results = read_feed_results(spark, _run_feed(spark, folder))
+    return results.groupBy("data_product", "position", "unique_id", "status").agg(
+        F.count(F.lit(1)).alias("results"),
+        F.count("execution_time").alias("timed"),
+        F.max("execution_time").alias("longest"),
+    )
+
+
+@query
+def stream_run_results_quarantine(spark, folder):
+    """The bad documents of the same feed, with the reason."""
+    bad = read_quarantine(spark, _run_feed(spark, folder))
+    return bad.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count("file").alias("with_file"),
+        # Without digits and exponents, which other engines print in other ways.
+        F.sum(F.length(F.regexp_replace("document", "[0-9.eE-]", ""))).alias("characters"),
+    )
+
+
 @query
 def cost_attribution(spark, folder):
     results = parse_run_results(_runs(spark, folder), "document")

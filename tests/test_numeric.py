@@ -42,3 +42,14 @@ def test_whole_division_is_exact_for_large_numbers(spark):
         10**9,
         10**9 - 1,
     ]
+
+
+def test_number_text_prints_as_python_does(spark):
+    from tidemark.functions.text import number_text
+
+    numbers = [0.0, -0.0, 1.0, -1.5, 0.001, 0.0005, -0.00012345, 0.0001, 0.00009999, 1e-5, -2.5e-10, 9999999.0,
+               1e7, 12345678.0, 123456789.125, 9007199254740993.0, 1e15, 1e16, -1.25e16, 1e22, 1.5e300, 1e-300,
+               float("inf"), float("-inf"), float("nan"), None]
+    rows = spark.createDataFrame([(n,) for n in numbers], "v double").select("v", number_text(F.col("v")).alias("t"))
+    for row in rows.collect():
+        assert row["t"] == (None if row["v"] is None else repr(row["v"]))

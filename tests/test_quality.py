@@ -48,3 +48,21 @@ def test_contract(spark):
     }
     same = spark.createDataFrame([], "Region string, n int, k string").schema
     assert quality.check_contract(_df(spark), same).collect() == []
+
+
+def test_unique_text_is_told_apart_by_hash_first(spark):
+    texts = [("a",), ("b",), ("a",), ("a",), (None,), (None,), ("",), ("",), ("c",)]
+    df = spark.createDataFrame(texts, "v string")
+    assert quality.test_unique(df, "v").first()["failing"] == 2
+    assert quality.test_unique(df.limit(0), "v").first()["failing"] == 0
+    alone = df.filter("v in ('b', 'c')")
+    assert quality.test_unique(alone, "v").first()["failing"] == 0
+    lists = spark.createDataFrame([([1, 2],), ([1, 2],), ([2, 1],)], "v array<int>")
+    assert quality.test_unique(lists, "v").first()["failing"] == 1
+
+
+def test_unique_with_all_hashes_shared(spark, monkeypatch):
+    """Values that only share a hash are no repeats."""
+    monkeypatch.setattr(quality.F, "xxhash64", lambda column: quality.F.lit(7).cast("bigint"))
+    df = spark.createDataFrame([("a",), ("b",), ("a",), ("c",)], "v string")
+    assert quality.test_unique(df, "v").first()["failing"] == 1

@@ -124,6 +124,41 @@ def extract_terms(text: Column, vocabulary: Mapping[str, Sequence[str]]) -> Colu
     return F.transform(F.array(_found(text, terms)), chosen)[0]
 
 
+def _with_exponent(text: Column) -> Column:
+    """``-1.25E-5`` as ``-1.25e-05``; plain digits from 1e-4 up to below 1e16."""
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    digits = F.regexp_replace(F.regexp_replace(F.substring_index(text, "E", 1), "[-.]", ""), "0+$", "")
+    power = F.substring_index(text, "E", -1).cast("int")
+    rest = F.substr(digits, F.lit(2))
+    large = F.concat(
+        F.rpad(F.substr(digits, F.lit(1), power + 1), power + 1, F.lit("0")),
+        F.lit("."),
+        F.when(F.length(digits) > power + 1, F.substr(digits, power + 2)).otherwise("0"),
+    )
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    size = F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0"))
+    scientific = F.concat(
+        F.substr(digits, F.lit(1), F.lit(1)),
+        F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""),
+        F.when(power < 0, "e-").otherwise("e+"),
+        size,
+    )
+    plain = F.when(power.between(0, 15), large).when(power.between(-4, -1), small)
+    return F.concat(sign, F.coalesce(plain, scientific))
+
+
+def number_text(column: Column) -> Column:
+    """A double's digits: ``0.0005``, ``12345678.0``, ``1e-05``, ``nan``, ``inf``."""
+    return F.transform(
+        # Bound to a name, so that the number is printed once.
+        F.array(column.cast("double").cast("string")),
+        lambda text: F.when(text.contains("E"), _with_exponent(text))
+        .when(text == "NaN", "nan")
+        .when(text.endswith("Infinity"), F.replace(text, F.lit("Infinity"), F.lit("inf")))
+        .otherwise(text),
+    )[0]
+
+
 def display(column: Column, kind: T.DataType) -> Column:
     """Text of a value in a chunk: ``None``, ``True``/``False``, digits, ``[a, b]``.
 
@@ -131,8 +166,8 @@ def display(column: Column, kind: T.DataType) -> Column:
     """
     if isinstance(kind, T.BooleanType):
         text = F.when(column, "True").when(~column, "False")
-    elif isinstance(kind, T.FloatType):
-        text = column.cast("double").cast("string")
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        text = number_text(column)
     elif isinstance(kind, T.ArrayType):
         items = F.transform(column, lambda v: display(v, kind.elementType))
         text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.numeric import count_true
+from tidemark.session import materialize
+
+#: Types no longer than a hash.
+_SHORT = (T.IntegralType, T.FractionalType, T.BooleanType, T.DatetimeType, T.TimestampNTZType)
 
 
 class ContractError(RuntimeError):
@@ -52,11 +56,29 @@ def test_accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> D
     return df.agg(unaccepted_count(column, values).alias("failing"))
 
 
+def _may_repeat(df: DataFrame, column: str) -> DataFrame:
+    """The column in rows whose hash another row shares; only hashes are shuffled.
+
+    The shared hashes are written down, so their size is known: few of them are
+    broadcast, and where none is shared no value moves.
+    """
+    hashed = df.select(column, F.xxhash64(column).alias("_hash"))
+    counts = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    shared = materialize(counts.filter(F.col("_n") > 1).select("_hash"), "shared")
+    return hashed.join(shared, "_hash", "left_semi").select(column)
+
+
 def test_unique(df: DataFrame, column: str) -> DataFrame:
-    """Number of non-null values that occur more than once."""
+    """Number of non-null values that occur more than once.
+
+    Values longer than a hash (text, binary, nested) are first told apart by their
+    hashes, and only those with a shared hash are grouped by value.
+    """
+    values = df.filter(F.col(column).isNotNull()).select(column)
+    if not isinstance(df.schema[column].dataType, _SHORT):
+        values = _may_repeat(values, column)
     repeated = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
+        values.groupBy(column)
         .agg(F.count(F.lit(1)).alias("occurrences"))
         .filter(F.col("occurrences") > 1)
     )

@@ -23,6 +23,7 @@ BRIEF = "Profile '{profile}' brief for: {question}\n  Applied filter: {scope}\n
 # ------------------------------------------------------------------------------
 
 _ANY = "*"
+_ID_DIGITS = 32
 _MERGE_GROUPS = 64
 
 
@@ -41,7 +42,34 @@ def content_id(profile: Profile, content: Column) -> Column:
     micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
     stamp = F.coalesce(micros.cast("string"), F.lit("None"))
     digest = F.sha2(F.concat_ws("|", stamp, content), 256)
-    return F.concat(F.lit(f"{profile.name}-"), F.substring(digest, 1, 32))
+    return F.concat(F.lit(f"{profile.name}-"), F.substring(digest, 1, _ID_DIGITS))
+
+
+def chunk_base(profile: Profile) -> Column:
+    """The id of a row's chunk, copies not told apart."""
+    return content_id(profile, chunk_text(profile))
+
+
+def id_parts(profile: Profile, chunk: Column) -> tuple[Column, Column]:
+    """A chunk id's base and the number of the copy, from 1."""
+    length = len(profile.name) + 1 + _ID_DIGITS
+    number = F.when(F.length(chunk) > length, F.substr(chunk, F.lit(length + 2)).cast("bigint"))
+    return F.substring(chunk, 1, length), F.coalesce(number, F.lit(1).cast("bigint"))
+
+
+def _copy_id(base: Column, number: Column) -> Column:
+    return F.concat(base, F.when(number > 1, F.concat(F.lit("-"), number.cast("string"))).otherwise(""))
+
+
+def numbered_after(rows: DataFrame, earlier: DataFrame, profile: Profile) -> DataFrame:
+    """Rows of :func:`with_chunk_id`, their copies counted on behind ``earlier`` (base, copies)."""
+    base, copy = id_parts(profile, F.col("id"))
+    columns = [c for c in rows.columns if c != "id"]
+    placed = rows.withColumns({"_base": base, "_copy": copy})
+    before = earlier.select(F.col("base").alias("_base"), F.col("copies").alias("_before"))
+    joined = placed.join(before, "_base", "left")
+    number = F.col("_copy") + F.coalesce(F.col("_before"), F.lit(0).cast("bigint"))
+    return joined.select(_copy_id(F.col("_base"), number).alias("id"), *columns)
 
 
 #: Copies of a row that one task makes out.
@@ -77,15 +105,14 @@ def with_chunk_id(bronze: DataFrame, profile: Profile) -> DataFrame:
     repeats very often is counted, then spread again.
     """
     columns = bronze.columns
-    based = bronze.withColumn("_base", content_id(profile, chunk_text(profile)))
+    based = bronze.withColumn("_base", chunk_base(profile))
     counts = based.groupBy("_base").agg(F.count(F.lit(1)).alias("_n"))
     repeated = materialize(counts.filter(F.col("_n") > 1).select("_base"), "repeated")
     if repeated.isEmpty():
         return based.select(F.col("_base").alias("id"), *columns)
     alone = based.join(repeated, "_base", "left_anti").select(F.col("_base").alias("id"), *columns)
     numbered = _copies(based.join(repeated, "_base", "left_semi"), columns)
-    later = F.when(F.col("_number") > 1, F.concat(F.lit("-"), F.col("_number").cast("string")))
-    again = numbered.select(F.concat(F.col("_base"), F.coalesce(later, F.lit(""))).alias("id"), *columns)
+    again = numbered.select(_copy_id(F.col("_base"), F.col("_number")).alias("id"), *columns)
     return alone.unionByName(again)
 
 

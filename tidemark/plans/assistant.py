@@ -10,6 +10,7 @@ from tidemark.sources.lakehouse import Lakehouse
 
 INDEX_TIER = "index"
 MODEL_PROPERTY = "tidemark.embedding_model"
+FEED_PROPERTY = "tidemark.index_feed"
 
 
 class ModelMismatchError(RuntimeError):
@@ -35,11 +36,17 @@ def build_index(lake: Lakehouse, embedder: Embedder | None = None) -> int:
     id is the same chunk: only new ones are embedded and appended, and the index
     is never rewritten. Known rows are sorted out before their text is made.
     The index names its model before it holds anything, so a run that breaks off
-    cannot leave chunks that another model would be mixed with.
+    cannot leave chunks that another model would be mixed with. All of Bronze is
+    compared; ``streaming.index_feed`` reads only new files, and an index that it
+    feeds is refused here, as it would add the same rows once more.
     """
     embedder = embedder or hashed_words()
     assert_same_model(lake, embedder)
     profile = lake.profile
+    if lake.exists(INDEX_TIER, profile.index_name) and lake.table_property(
+        INDEX_TIER, profile.index_name, FEED_PROPERTY
+    ):
+        raise ValueError(f"index {profile.index_name} is fed by a stream; run that instead")
     bronze = lake.read_product("bronze", profile.bronze_table)
     fresh = retrieval.with_chunk_id(bronze, profile)
     if lake.exists(INDEX_TIER, profile.index_name):

@@ -74,7 +74,8 @@ class Lakehouse:
     def _versions(self, tier: str, table: str) -> str:
         return f"{self.root}/{tier}/{table}"
 
-    def _new_location(self, tier: str, table: str) -> str:
+    def new_location(self, tier: str, table: str) -> str:
+        """An unused folder for a version of the table."""
         return f"{self._versions(tier, table)}/v-{uuid.uuid4().hex}"
 
     # --- reading ---------------------------------------------------------------
@@ -130,7 +131,7 @@ class Lakehouse:
         """
         df = self._target(tier, table, df, expected_schema)
         if not self.exists(tier, table):
-            self._create(tier, table, df.schema, self._new_location(tier, table))
+            self._create(tier, table, df.schema, self.new_location(tier, table))
             df = self._target(tier, table, df, None)
         if self.table_property(tier, table, _STREAM_FED):
             raise ValueError(
@@ -153,7 +154,7 @@ class Lakehouse:
         """Write a new version out of sight, gathering ``metrics`` in the same pass."""
         base = self._content(tier, table)
         df = self._target(tier, table, df, expected_schema)
-        path = self._new_location(tier, table)
+        path = self.new_location(tier, table)
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.parquet(path)
         values = {k: int(v or 0) for k, v in seen.get.items()}
@@ -162,7 +163,8 @@ class Lakehouse:
     def staged_frame(self, staged: Staged) -> DataFrame:
         return self.spark.read.schema(staged.schema).parquet(staged.path)
 
-    def _location(self, tier: str, table: str) -> str:
+    def location(self, tier: str, table: str) -> str:
+        """The folder that a table points to."""
         rows = self.spark.sql(f"DESCRIBE FORMATTED {self.identifier(tier, table)}").collect()
         return next(r["data_type"] for r in rows if r["col_name"] == "Location").rstrip("/")
 
@@ -170,7 +172,7 @@ class Lakehouse:
         """Where a table lies and the names of its files; None if it does not exist."""
         if not self.exists(tier, table):
             return None
-        location = self._location(tier, table)
+        location = self.location(tier, table)
         names = (path.rstrip("/").rsplit("/", 1)[-1] for path in list_folder(self.spark, location))
         return (location, *sorted(name for name in names if not name.startswith(("_", "."))))
 
@@ -233,7 +235,7 @@ class Lakehouse:
         Overwrites and failed builds leave them behind. Run it when no reader of
         an old version and no build of a new one is under way.
         """
-        name = self._location(tier, table).rsplit("/", 1)[-1]
+        name = self.location(tier, table).rsplit("/", 1)[-1]
         old = [
             path
             for path in list_folder(self.spark, self._versions(tier, table))
@@ -264,7 +266,7 @@ class Lakehouse:
         same reason a table that already holds rows of others is refused here.
         """
         if not self.exists(tier, table):
-            self._create(tier, table, schema, self._new_location(tier, table))
+            self._create(tier, table, schema, self.new_location(tier, table))
         elif not self.table_property(tier, table, _STREAM_FED) and not self.read_product(tier, table).isEmpty():
             raise ValueError(
                 f"{self.identifier(tier, table)} holds rows a stream's table would hide; feed another table"

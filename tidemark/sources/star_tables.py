@@ -110,7 +110,7 @@ def subscription_events_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def robot_signals_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """Embedding vectors as robot episodes; the first seven numbers are the joints."""
+    """Embedding vectors as robot episodes; all numbers are joints."""
     number = F.col("vec_id")
     success = number % 5 != 0
     start = F.unix_micros(F.lit(EPISODE_START).cast("timestamp"))

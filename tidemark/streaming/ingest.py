@@ -15,7 +15,7 @@ from tidemark.sources.alignment import align_to_schema
 from tidemark.sources.lakehouse import Lakehouse
 
 
-def _trigger(once: bool, interval: str) -> dict:
+def trigger(once: bool, interval: str) -> dict:
     return {"availableNow": True} if once else {"processingTime": interval}
 
 
@@ -40,12 +40,12 @@ def stream_bronze_ingest(
     return (
         align_to_schema(masked, profile.schema)
         .writeStream.option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(once, interval))
+        .trigger(**trigger(once, interval))
         .toTable(lake.identifier("bronze", table))
     )
 
 
-def _checkpoint_id(lake: Lakehouse, checkpoint: str) -> str:
+def checkpoint_id(lake: Lakehouse, checkpoint: str) -> str:
     """The id Spark wrote into a checkpoint when it was made."""
     text = lake.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
     return json.loads(text)["id"]
@@ -73,7 +73,7 @@ def append_scores(
     def append(batch: DataFrame, number: int) -> None:
         if not lake.exists("bronze", LIVE_TABLE):
             lake.append_product("bronze", LIVE_TABLE, lake.spark.createDataFrame([], LIVE_SCHEMA))
-        mark = f"tidemark.batch.{name}.{_checkpoint_id(lake, checkpoint)}"
+        mark = f"tidemark.batch.{name}.{checkpoint_id(lake, checkpoint)}"
         done = lake.table_property("bronze", LIVE_TABLE, f"{mark}.done")
         if done is not None and int(done) >= number:
             return
@@ -89,7 +89,7 @@ def append_scores(
 
     return (
         events.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(once, interval))
+        .trigger(**trigger(once, interval))
         .foreachBatch(append)
         .start()
     )
