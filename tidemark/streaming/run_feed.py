@@ -65,6 +65,7 @@ def stream_run_results(
     The file sink commits a micro-batch as a whole and a restart neither loses
     nor repeats a document. Good and bad ones lie in folders of their own, so
     readers of the results do not touch the quarantine. Spark reads each file once.
+    A file without a byte gives Spark no row, so it shows in neither.
     """
     lines = (
         spark.readStream.option("maxFilesPerTrigger", files)
