@@ -158,6 +158,22 @@ def test_matching_rows_of_several_scopes(spark):
     assert found["*\x1f*"] == [0, 1, 2, 3, 4] and set(found) == {"PRO\x1fEU", "*\x1f*"}
 
 
+def test_rows_are_not_dealt_by_scope(spark):
+    """The asked scopes' size is not known from the plan, as with a large table of questions."""
+    df = _accounts(spark, 400)
+    scopes = spark.createDataFrame([("*\x1f*",)] * 50, "scope string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = retrieval.matching_rows(df, COMMERCIAL, scopes, ["timestamp"], 5)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [[x.tenure_months for x in r.rows] for r in rows] == [[0, 1, 2, 3, 4]]
+
+
 def test_index_grows_only_by_new_chunks_and_guards_its_model(spark, lake, salt):
     house = lake(COMMERCIAL)
     medallion.ingest(house, _accounts(spark, 10), salt)
