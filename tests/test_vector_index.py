@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +74,23 @@ def test_empty_corpus_and_only_zero_vectors(spark, corpus):
     found = vector_index.search(index, zeros.select(F.col("id").alias("query_id"), "embedding"), 2)
     assert _rows(found) == [(q, n, i, 0.0) for q in (5, 17, 900) for n, i in ((1, 5), (2, 17))]
     assert vector_index.search(index, zeros.limit(0).select(F.col("id").alias("query_id"), "embedding"), 2).collect() == []
+
+
+def test_pairs_of_queries_and_lists_are_given_out_in_bounded_batches():
+    """Without clusters every query asks for every list; the pairs of a batch must not be held at once."""
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(300, 8))
+    centers /= np.sqrt((centers * centers).sum(axis=1, keepdims=True))
+    bounds = vector_index.Centers(centers, np.zeros(300), np.full(300, np.pi))
+    index = vector_index.VectorIndex("", None, bounds, {i: 1 for i in range(0, 300, 2)})
+    queries = pa.RecordBatch.from_pydict(
+        {
+            "query": pa.array(range(3000)),
+            "vector": pa.array(list(rng.normal(size=(3000, 8))), pa.list_(pa.float64())),
+            "bar": pa.array([None] * 3000, pa.float64()),
+        }
+    )
+    given = list(vector_index._asked(index, 0, 300)(iter([queries])))
+    assert max(len(batch) for batch in given) <= 10_000
+    pairs = {(q, own) for batch in given for q, own in zip(batch["query"].to_pylist(), batch["list"].to_pylist())}
+    assert pairs == {(q, own) for q in range(3000) for own in range(0, 300, 2)}

@@ -33,6 +33,9 @@ BLOCK = 4096
 #: Lists of the first round; each round goes on to this many times as many.
 PROBES = 4
 GROWTH = 4
+#: Pairs of a query and a list that are tested, and that are given out, at once.
+TESTED = 250_000
+GIVEN = 8192
 _ROUNDS = 12
 _SLACK = 1e-6
 
@@ -154,24 +157,35 @@ def _asked(index: VectorIndex, first: int, stop: int):
     number = len(index.centers.vectors)
     dim = index.centers.vectors.shape[1]
 
+    step = max(1, TESTED // (number + 1))
+
+    def wanted(batch: pa.RecordBatch) -> np.ndarray:
+        units, some = _units(batch.column("vector"), dim)
+        bar = batch.column("bar").to_numpy(zero_copy_only=False)
+        angles = index.centers.angles(units)
+        ceiling = index.centers.ceilings(angles)
+        ceiling[~some] = 0.0  # a zero vector scores 0 everywhere
+        place = angles.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
+        lists = (place >= first) & (place < stop) & ~(ceiling + 1e-9 < bar[:, None])
+        # The list of zero vectors, all of which score 0, comes with the last.
+        last = ~(1e-9 < bar) & (stop >= number)
+        lists = np.hstack([lists, last[:, None]])
+        lists[:, [i for i in range(number + 1) if i not in index.parts]] = False
+        return lists
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units, some = _units(batch.column("vector"), dim)
-            bar = batch.column("bar").to_numpy(zero_copy_only=False)
-            angles = index.centers.angles(units)
-            ceiling = index.centers.ceilings(angles)
-            ceiling[~some] = 0.0  # a zero vector scores 0 everywhere
-            place = angles.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
-            wanted = (place >= first) & (place < stop) & ~(ceiling + 1e-9 < bar[:, None])
-            # The list of zero vectors, all of which score 0, comes with the last.
-            last = ~(1e-9 < bar) & (stop >= number)
-            wanted = np.hstack([wanted, last[:, None]])
-            wanted[:, [i for i in range(number + 1) if i not in index.parts]] = False
-            row, own = np.nonzero(wanted)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name).take(pa.array(row)) for name in batch.schema.names if name != "bar"), pa.array(own.astype(np.int32))],
-                [*(name for name in batch.schema.names if name != "bar"), "list"],
-            )
+            names = [name for name in batch.schema.names if name != "bar"]
+            for begin in range(0, len(batch), step):
+                # A query may ask for every list, and each pair carries the vector.
+                part = batch.slice(begin, step)
+                row, own = np.nonzero(wanted(part))
+                for start in range(0, len(row), GIVEN):
+                    rows = pa.array(row[start : start + GIVEN])
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(name).take(rows) for name in names), pa.array(own[start : start + GIVEN].astype(np.int32))],
+                        [*names, "list"],
+                    )
 
     return run
 
