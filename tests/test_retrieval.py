@@ -158,6 +158,28 @@ def test_matching_rows_of_several_scopes(spark):
     assert found["*\x1f*"] == [0, 1, 2, 3, 4] and set(found) == {"PRO\x1fEU", "*\x1f*"}
 
 
+def test_memory_for_word_vectors_does_not_grow_with_the_texts():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.functions import embedding
+
+    def plain(text):
+        words = [w for w in (text or "").lower().replace("-", " ").split(" ") if w]
+        return np.bincount([word_bucket(w, 16) for w in words], minlength=16).tolist()
+
+    few = ["One two-two", None, "", "x " * 700_000, "Three one", "é É"]
+    assert embedding._word_counter(16).func(pa.array(few)).to_pylist() == [plain(t) for t in few]
+    many = pa.array(["alpha beta gamma delta " * 250] * 8000)
+    tracemalloc.start()
+    embedding._word_counter(16).func(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20  # 46 MB of text
+
+
 def test_rows_are_not_dealt_by_scope(spark):
     """The asked scopes' size is not known from the plan, as with a large table of questions."""
     df = _accounts(spark, 400)
