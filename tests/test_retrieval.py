@@ -158,6 +158,14 @@ def test_matching_rows_of_several_scopes(spark):
     assert found["*\x1f*"] == [0, 1, 2, 3, 4] and set(found) == {"PRO\x1fEU", "*\x1f*"}
 
 
+def test_plain_numbers_are_printed_without_further_steps(spark):
+    numbers = [0.5, -12.25, 1e-5, 12345678.0, 1e300, float("nan"), float("inf"), float("-inf"), None, -1.5e-7]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    shown = df.select(texts.number_text(F.col("x")).alias("t"))
+    assert [r.t for r in shown.collect()] == [None if x is None else repr(x) for x in numbers]
+    assert "THEN transform(" in shown._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_memory_for_word_vectors_does_not_grow_with_the_texts():
     import tracemalloc
 
