@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -204,6 +205,31 @@ def test_rows_are_not_dealt_by_scope(spark):
     assert [[x.tenure_months for x in r.rows] for r in rows] == [[0, 1, 2, 3, 4]]
 
 
+@pytest.fixture
+def sizes_unknown(spark):
+    """No table counts as small, as when sizes are large or not known."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _scope_joins(answers):
+    """How Bronze rows meet the asked scopes."""
+    plan = answers._jdf.queryExecution().executedPlan().toString()
+    return set(re.findall(r"(\w+Join) \[scope#\d+\], \[scope#\d+\], LeftSemi", plan))
+
+
+def test_ask_does_not_deal_bronze_by_scope(spark, lake, salt, sizes_unknown):
+    house = lake(COMMERCIAL)
+    medallion.ingest(house, _accounts(spark, 400), salt)
+    assistant.build_index(house)
+    answers = assistant.ask(house, _questions(spark))
+    rows = {r.question_id: [x.tenure_months for x in r.rows] for r in answers.collect()}
+    assert _scope_joins(answers) == {"BroadcastHashJoin"}
+    assert rows == {"a": list(range(1, 121, 6)), "b": list(range(20)), "c": [], "d": list(range(0, 60, 3))}
+
+
 def test_index_grows_only_by_new_chunks_and_guards_its_model(spark, lake, salt):
     house = lake(COMMERCIAL)
     medallion.ingest(house, _accounts(spark, 10), salt)
