@@ -230,6 +230,14 @@ def test_ask_does_not_deal_bronze_by_scope(spark, lake, salt, sizes_unknown):
     assert rows == {"a": list(range(1, 121, 6)), "b": list(range(20)), "c": [], "d": list(range(0, 60, 3))}
 
 
+def test_the_whole_chain_does_not_deal_bronze_by_scope(spark, lake, salt, sizes_unknown):
+    raw = _accounts(spark, 400).fillna("ENTERPRISE", ["plan_tier"])
+    report = end_to_end.run(lake(COMMERCIAL), raw, _questions(spark), salt)
+    rows = {r.question_id: [x.tenure_months for x in r.rows] for r in report.answers.collect()}
+    assert _scope_joins(report.answers) == {"BroadcastHashJoin"}
+    assert rows == {"a": list(range(1, 121, 6)), "b": list(range(20)), "c": list(range(2, 62, 3)), "d": list(range(0, 60, 3))}
+
+
 def test_index_grows_only_by_new_chunks_and_guards_its_model(spark, lake, salt):
     house = lake(COMMERCIAL)
     medallion.ingest(house, _accounts(spark, 10), salt)
